@@ -21,8 +21,10 @@ def json_node(document: Column | str, *keys: str) -> Column:
 
 
 def unwrap_id(raw: Column) -> Column:
-    """``{"$oid": x}`` or a plain value, both read as text, to the plain text."""
-    return F.when(F.ltrim(raw).startswith("{"), F.get_json_object(raw, "$.$oid")).otherwise(raw)
+    """An id read as variant, ``{"$oid": x}`` or a plain value, as text; null for other objects."""
+    plain = F.try_variant_get(raw, "$", "string")
+    wrapped = F.try_variant_get(raw, "$['$oid']", "string")
+    return F.coalesce(wrapped, F.when(~plain.startswith("{"), plain))
 
 
 def merge_objects(left: Column, right: Column) -> Column:

@@ -30,10 +30,11 @@ def time_cuts(times: DataFrame, column: str, pieces: int) -> list[float]:
 
 def _with_piece(points: DataFrame, cuts: list[float]) -> DataFrame:
     if not cuts:
-        return points.withColumn(_PIECE, F.lit(0.0))
+        return points.withColumn(_PIECE, F.lit(0))
     timed = points.withColumn("__t", F.unix_micros(F.col(_AT).cast("timestamp")).cast("double"))
     splits = [float("-inf"), *cuts, float("inf")]
-    return Bucketizer(splits=splits, inputCol="__t", outputCol=_PIECE).transform(timed).drop("__t")
+    cut = Bucketizer(splits=splits, inputCol="__t", outputCol=_PIECE).transform(timed)
+    return cut.withColumn(_PIECE, F.col(_PIECE).cast("int")).drop("__t")
 
 
 def asof_join(

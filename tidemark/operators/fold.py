@@ -88,7 +88,7 @@ def change_entries(events: DataFrame, removal: str = "intended") -> DataFrame:
 
 def reduce_entries(entries: DataFrame) -> DataFrame:
     """The newest entry per (id, field). Reducing twice changes nothing."""
-    newest = F.max_by(F.struct("at", "gone", "value"), "at").alias("e")
+    newest = F.max(F.struct("at", "gone", "value")).alias("e")
     return entries.groupBy("_id", "field").agg(newest).select("_id", "field", "e.*")
 
 

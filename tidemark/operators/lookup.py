@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.jsondoc import unwrap_id
+from tidemark.functions.once import with_once
 from tidemark.functions.times import epoch_ms
 from tidemark.sources import schemas
 
@@ -24,7 +25,7 @@ def with_lookup_keys(keywords: DataFrame) -> DataFrame:
     scan, a filter on a JSON path does not.
     """
     eligibility = F.col("k.eligibility")
-    return keywords.withColumn("k", F.from_json("document", schemas.KEYWORD_KEYS)).select(
+    return with_once(keywords, "k", F.from_json("document", schemas.KEYWORD_KEYS)).select(
         *keywords.columns,
         eligibility["name"].alias("name"),
         unwrap_id(eligibility["program_id"]["_id"]).alias("program_id"),

@@ -15,6 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.once import with_once
 from tidemark.functions.text import safe_metric_name
 
 
@@ -121,7 +122,7 @@ def rename_metrics(
             labels.cast("map<string,string>").alias("labels"),
         )
         outcome = F.when(text.rlike(pattern), result).otherwise(outcome)
-    return rows.withColumn("__r", outcome).filter("__r IS NOT NULL").select(
+    return with_once(rows, "__r", outcome, drop_null=True).select(
         *rows.columns, F.col("__r.metric").alias("metric"), F.col("__r.labels").alias("labels")
     )
 

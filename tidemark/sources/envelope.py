@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.jsondoc import unwrap_id
+from tidemark.functions.once import with_once
 from tidemark.functions.times import epoch_ms, resolve_event_ms
 from tidemark.sources import schemas
 
@@ -21,7 +22,7 @@ def parse_json(records: DataFrame, ddl: str, malformed: str | None = "_malformed
     options = {"mode": "PERMISSIVE"}
     if malformed:
         options["columnNameOfCorruptRecord"] = malformed
-    return records.withColumn("event", F.from_json("value", ddl, options))
+    return with_once(records, "event", F.from_json("value", ddl, options))
 
 
 def parse_changes(records: DataFrame, order: Column | str | None = None, now: Column | None = None) -> DataFrame:

@@ -7,7 +7,7 @@ LOG_RECORD = (
 
 # A change event. The document stays an open map, so a job parses only one
 # level of it and any field can still be reached through the variant values.
-# Ids and dates are read as text because each has two shapes in the wild.
+# Ids and dates are read openly because each has two shapes in the wild.
 CHANGE_EVENT = """
     operationType string,
     clusterTime struct<`$timestamp`: struct<t: bigint, i: bigint>, t: bigint, i: bigint>,
@@ -17,7 +17,7 @@ CHANGE_EVENT = """
                              removedFields: array<string>,
                              truncatedArrays: array<string>>,
     ns struct<db: string, coll: string>,
-    documentKey struct<_id: string>,
+    documentKey struct<_id: variant>,
     _malformed string
 """
 
@@ -26,14 +26,14 @@ KEYWORD_KEYS = """
     eligibility struct<name: string,
                        start_period: struct<`$date`: string>,
                        end_period: struct<`$date`: string>,
-                       program_id: struct<_id: string>>
+                       program_id: struct<_id: variant>>
 """
 
 # A small change event: id, keyword text and points only.
 POINTS_EVENT = """
     operationType string,
-    fullDocument struct<_id: string, keyword: string, points: int>,
-    documentKey struct<_id: string>
+    fullDocument struct<_id: variant, keyword: string, points: int>,
+    documentKey struct<_id: variant>
 """
 
 REDEEM_EVENT = """
@@ -41,7 +41,7 @@ REDEEM_EVENT = """
                 transaction_id: string, channel_id: string, callback_url: string,
                 transaction_source: string, send_notification: boolean,
                 additional: map<string, string>>,
-    account struct<_id: string, user_id: string>,
+    account struct<_id: variant, user_id: string>,
     token string,
     transaction_id string,
     path string,

@@ -10,6 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.jsondoc import unwrap_id
 from tidemark.sources import topics
 from tidemark.sources.envelope import parse_json
 
@@ -118,8 +119,8 @@ def points_rows(records: DataFrame, ddl: str) -> DataFrame:
     """Id, keyword and points of a small change event."""
     parsed = parse_json(records, ddl, malformed=None)
     document = F.col("event.fullDocument")
-    from tidemark.functions.jsondoc import unwrap_id
-
     return parsed.filter(document.isNotNull()).select(
-        unwrap_id(document["_id"]).alias("id"), document["keyword"].alias("keyword"), document["points"].alias("points")
+        unwrap_id(document["_id"]).alias("id"),
+        document["keyword"].alias("keyword"),
+        document["points"].alias("points"),
     )
