@@ -10,11 +10,12 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.metrics import Matcher, compare, offset_join, select_series, series_key
+from tidemark.operators.metrics import Matcher, compare, offset_join, series_key
 
 
 @dataclass(frozen=True)
@@ -34,12 +35,34 @@ class AlertRule:
     description: str = ""
 
 
-def active_series(vector: DataFrame, rule: AlertRule) -> DataFrame:
-    """Samples for which the condition of a rule holds."""
-    if rule.offset_seconds is not None:
-        return offset_join(vector, rule.metric, rule.op, rule.offset_seconds, rule.ignoring)
-    rows = select_series(vector, rule.metric, rule.matchers)
-    return rows.filter(compare(F.col("value"), rule.op, rule.threshold))
+def _holds(rule: AlertRule) -> Column:
+    conditions = [F.col("metric") == rule.metric, *[m.condition() for m in rule.matchers]]
+    return reduce(Column.__and__, [*conditions, compare(F.col("value"), rule.op, rule.threshold)])
+
+
+def active_series(vector: DataFrame, rules: Sequence[AlertRule]) -> DataFrame:
+    """Samples for which the condition of a rule holds: ``alert, series, value, eval_ts``.
+
+    All threshold rules share one pass over the vector; a rule over its own
+    past needs a join of its own.
+    """
+    simple = [rule for rule in rules if rule.offset_seconds is None]
+    parts = []
+    if simple:
+        names = F.array(*[F.when(_holds(rule), F.lit(rule.name)) for rule in simple])
+        metrics = sorted({rule.metric for rule in simple})
+        parts.append(
+            vector.filter(F.col("metric").isin(*metrics)).select(
+                F.explode(F.array_compact(names)).alias("alert"), series_key("labels").alias("series"), "value", "eval_ts"
+            )
+        )
+    for rule in rules:
+        if rule.offset_seconds is not None:
+            changed = offset_join(vector, rule.metric, rule.op, rule.offset_seconds, rule.ignoring)
+            parts.append(
+                changed.select(F.lit(rule.name).alias("alert"), series_key("labels").alias("series"), "value", "eval_ts")
+            )
+    return reduce(DataFrame.unionByName, parts)
 
 
 def streaks(active: DataFrame, step_seconds: int, by: Sequence[str] = ("labels",)) -> DataFrame:
@@ -87,7 +110,7 @@ def merge_runs(runs: DataFrame, step_seconds: int, by: Sequence[str]) -> DataFra
 
 
 def with_state(
-    runs: DataFrame, for_seconds: int, as_of: Column, step_seconds: int, close_after_seconds: int = 60
+    runs: DataFrame, for_seconds: Column | int, as_of: Column, step_seconds: int, close_after_seconds: int = 60
 ) -> DataFrame:
     """Add ``fired_at``, ``ends_at`` and ``state`` as seen at ``as_of``.
 
@@ -95,8 +118,9 @@ def with_state(
     is over once it was not renewed for ``close_after_seconds``. A run that
     ended before firing has the state ``inactive``.
     """
-    wait = -(-for_seconds // step_seconds) * step_seconds
-    fires = F.col("starts_at") + F.make_dt_interval(secs=F.lit(wait))
+    waits = for_seconds if isinstance(for_seconds, Column) else F.lit(for_seconds)
+    steps = F.ceil(waits / step_seconds)
+    fires = F.col("starts_at") + F.make_dt_interval(secs=steps * step_seconds)
     fired = fires <= F.col("last_active")
     closes = F.col("last_active") + F.make_dt_interval(secs=F.lit(close_after_seconds))
     over = closes <= as_of
@@ -130,31 +154,38 @@ def annotation(template: str) -> Column:
     return F.concat(*parts, F.lit(template[at:]))
 
 
-def evaluate_alert(
-    vector: DataFrame, rule: AlertRule, as_of: Column, step_seconds: int = 60, close_after_seconds: int = 60
+def evaluate_alerts(
+    vector: DataFrame,
+    rules: Sequence[AlertRule],
+    as_of: Column,
+    step_seconds: int = 60,
+    close_after_seconds: int = 60,
 ) -> DataFrame:
-    """All alerts of one rule up to ``as_of``, past ones included."""
-    active = active_series(vector, rule).withColumn("series", series_key("labels"))
-    runs = streaks(active, step_seconds, ["series"]).withColumn("labels", F.map_from_entries("series"))
-    alerts = with_state(runs, rule.for_seconds, as_of, step_seconds, close_after_seconds)
-    return alerts.filter(F.col("state") != "inactive").select(
-        F.lit(rule.name).alias("alert"),
-        "labels",
-        F.lit(rule.severity).alias("severity"),
-        "value",
-        "state",
-        "starts_at",
-        "fired_at",
-        "ends_at",
-        annotation(rule.summary).alias("summary"),
-        annotation(rule.description).alias("description"),
+    """All alerts of the rules up to ``as_of``, past ones included."""
+
+    def by_rule(value) -> Column:
+        """A value that depends on the rule of the row."""
+        chosen = F.when(F.lit(False), value(rules[0]))
+        for rule in rules:
+            chosen = chosen.when(F.col("alert") == rule.name, value(rule))
+        return chosen
+
+    runs = streaks(active_series(vector, rules), step_seconds, ["alert", "series"])
+    waits = by_rule(lambda rule: F.lit(rule.for_seconds))
+    alerts = with_state(runs, waits, as_of, step_seconds, close_after_seconds)
+    return (
+        alerts.filter(F.col("state") != "inactive")
+        .withColumn("labels", F.map_from_entries("series"))
+        .select(
+            "alert",
+            "labels",
+            by_rule(lambda rule: F.lit(rule.severity)).alias("severity"),
+            "value",
+            "state",
+            "starts_at",
+            "fired_at",
+            "ends_at",
+            by_rule(lambda rule: annotation(rule.summary)).alias("summary"),
+            by_rule(lambda rule: annotation(rule.description)).alias("description"),
+        )
     )
-
-
-def evaluate_alerts(vector: DataFrame, rules: Sequence[AlertRule], as_of: Column, **settings: int) -> DataFrame:
-    """The alerts of several rules together; store the vector partitioned by metric."""
-    parts = [evaluate_alert(vector, rule, as_of, **settings) for rule in rules]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result

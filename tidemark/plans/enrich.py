@@ -56,15 +56,19 @@ def redeem_rejects(spark, folder):
     return redeems.filter(F.col("reject").isNotNull()).select("offset", "reject")
 
 
-def redeem_columns(spark, folder):
+def flat(redeems):
     """Nested fields and record metadata as flat columns."""
-    return _redeems(spark, folder).select(
+    return redeems.select(
         "transaction_id", "request_id", "msisdn", "account_id", "user_id", "send_notification",
         F.col("additional")["priority"].alias("priority"), "partition", "offset",
         F.unix_millis("kafka_timestamp").alias("kafka_ms"),
     )
 
 
+def redeem_columns(spark, folder):
+    return flat(_redeems(spark, folder))
+
+
 def reason(spark, folder):
     redeems = lookup.redeem_periods(_redeems(spark, folder), fixtures.keywords(spark, folder))
     judged = eligibility.with_reason(redeems, F.lit(AS_OF).cast("timestamp"))

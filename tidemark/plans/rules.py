@@ -207,7 +207,7 @@ def changed_alert(spark, folder):
         offset_seconds=DAY, ignoring=("broker",), summary="changed", description="Changed by {{ $value }}.",
     )
     as_of = F.lit("2030-01-01 00:00:00").cast("timestamp")
-    found = alerts.evaluate_alert(_status_counts(spark, folder), rule, as_of, DAY, DAY)
+    found = alerts.evaluate_alerts(_status_counts(spark, folder), [rule], as_of, DAY, DAY)
     return _alert_rows(found.withColumn("labels", F.map_concat("labels", F.create_map(F.lit("broker"), "labels.priority"))))
 
 

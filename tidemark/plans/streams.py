@@ -9,11 +9,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark import session
-from tidemark.operators import eligibility, fold, lookup, rulebook
+from tidemark.operators import fold, lookup
 from tidemark.operators.alerts import AlertRule
-from tidemark.plans import cdc, chores, enrich, fixtures, rules
+from tidemark.plans import cdc, enrich, fixtures, rules
 from tidemark.plans.fixtures import DAY
-from tidemark.sources import files, topics
+from tidemark.sources import files
 from tidemark.sources.envelope import accepted, parse_redeems
 from tidemark.streaming import io, jobs
 
@@ -92,13 +92,20 @@ def stream_dedup(spark, folder):
 
 
 def stream_eligibility(spark, folder):
-    """Stateless pipeline with a static lookup side, appended to files."""
     records, base = _stream(spark, fixtures.redeem_log(spark, folder), "offset", "eligibility")
-    redeems = lookup.redeem_periods(accepted(parse_redeems(records)), fixtures.keywords(spark, folder))
-    judged = eligibility.with_reason(redeems, F.lit(enrich.AS_OF).cast("timestamp")).select(
+    as_of = F.lit(enrich.AS_OF).cast("timestamp")
+    io.finish(
+        jobs.judge_redeems(records, lambda: fixtures.keywords(spark, folder), f"{base}/out", f"{base}/cp", as_of)
+    )
+    return io.read_batches(spark, f"{base}/out").select(
         "transaction_id", "keyword", "start_period", "end_period", "reason"
     )
-    io.finish(io.start_files(judged, f"{base}/out", f"{base}/cp"))
+
+
+def stream_redeem_columns(spark, folder):
+    """Stateless pipeline: parse, project, append."""
+    records, base = _stream(spark, fixtures.redeem_log(spark, folder), "offset", "redeems")
+    io.finish(io.start_files(enrich.flat(accepted(parse_redeems(records))), f"{base}/out", f"{base}/cp"))
     return spark.read.parquet(f"{base}/out")
 
 
@@ -175,6 +182,7 @@ QUERIES = {
     "stream_enrich": stream_enrich,
     "stream_dedup": stream_dedup,
     "stream_eligibility": stream_eligibility,
+    "stream_redeem_columns": stream_redeem_columns,
     "stream_asof": stream_asof,
     "stream_step_values": stream_steps,
     "stream_rules": stream_rules,
@@ -190,6 +198,7 @@ ORACLE = {
     "stream_enrich": enrich.ORACLE["lookup_message"],
     "stream_dedup": f"WITH {enrich._R} SELECT transaction_id, keyword FROM r",
     "stream_eligibility": enrich.ORACLE["eligibility_reason"],
+    "stream_redeem_columns": enrich.ORACLE["redeem_columns"],
     "stream_asof": enrich.ORACLE["asof_left"],
     "stream_step_values": f"WITH {_STEPS} SELECT metric, grp, value, eval_s FROM steps",
     "stream_rules": f"""WITH {_STEPS} SELECT 'clicks' AS record, grp, value, eval_s FROM steps WHERE metric = 'click'""",

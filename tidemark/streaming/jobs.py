@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators import alerts, asof, fold, lookup, metrics
+from tidemark.operators import alerts, asof, eligibility, fold, lookup, metrics
 from tidemark.sources.envelope import accepted, parse_changes, parse_redeems, rejected
 from tidemark.streaming.io import SAMPLE_DELAY, read_batches, start_batches, write_batch
 
@@ -69,6 +69,25 @@ def enrich_redeems(
     return start_batches(records, apply, checkpoint, continuous)
 
 
+def judge_redeems(
+    records: DataFrame,
+    read_keywords: Callable[[], DataFrame],
+    path: str,
+    checkpoint: str,
+    as_of: Column | None = None,
+    continuous: bool = False,
+) -> StreamingQuery:
+    """Redeem records to eligibility rows with their latency, by the keywords of the moment."""
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        redeems = lookup.redeem_periods(accepted(parse_redeems(batch)), read_keywords())
+        judged = eligibility.with_latency(eligibility.with_reason(redeems, as_of))
+        columns = ["transaction_id", "keyword", "start_period", "end_period", "kafka_timestamp", "reason", "latency_ms"]
+        write_batch(judged.select(*columns), path, batch_id)
+
+    return start_batches(records, apply, checkpoint, continuous)
+
+
 def join_versions(
     probes: DataFrame,
     read_versions: Callable[[], DataFrame],
@@ -151,12 +170,11 @@ def watch(
     batch has its own folder, so a repeated batch starts from the same state.
     """
     if rule.offset_seconds is not None:
-        raise ValueError("a rule over its own past is evaluated in batch, see alerts.evaluate_alert")
+        raise ValueError("a rule over its own past is evaluated in batch, see alerts.evaluate_alerts")
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        active = alerts.active_series(batch, rule).withColumn("series", metrics.series_key("labels"))
-        runs = alerts.streaks(active, step_seconds, ["series"])
+        runs = alerts.streaks(alerts.active_series(batch, [rule]), step_seconds, ["series"])
         now = batch.agg(F.max("eval_ts")).first()[0]
         if batch_id > 0:
             before = spark.read.parquet(f"{path}/open/batch={batch_id - 1}")
