@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.jsondoc import unwrap_id
+from tidemark.functions.jsondoc import is_json, unwrap_id
 from tidemark.functions.once import with_once
 from tidemark.functions.times import epoch_ms, resolve_event_ms
 from tidemark.sources import schemas
@@ -16,8 +16,8 @@ OPERATIONS = ("insert", "replace", "update", "delete")
 def parse_json(records: DataFrame, ddl: str, malformed: str | None = "_malformed") -> DataFrame:
     """Decode ``value`` into the struct column ``event``.
 
-    A field of the wrong type becomes null and the others survive; text that
-    is no JSON object at all leaves every field null and fills ``malformed``.
+    A field of the wrong type becomes null and the others survive, also in text
+    that breaks off later; either fills ``malformed``.
     """
     options = {"mode": "PERMISSIVE"}
     if malformed:
@@ -41,7 +41,7 @@ def parse_changes(records: DataFrame, order: Column | str | None = None, now: Co
     cluster = F.coalesce(event["clusterTime"]["$timestamp"]["t"], event["clusterTime"]["t"])
     broken = event["_malformed"].isNotNull()
     reject = (
-        F.when(broken & op.isNull() & document_id.isNull(), "malformed_json")
+        F.when(broken & ((op.isNull() & document_id.isNull()) | ~is_json(F.col("value"))), "malformed_json")
         .when(document_id.isNull(), "missing_key")
         .when(op.isNull() | ~op.isin(*OPERATIONS), "unknown_operation")
         .when(broken & whole & event["fullDocument"].isNull(), "invalid_document")
@@ -88,7 +88,7 @@ def parse_redeems(records: DataFrame, now: Column | None = None) -> DataFrame:
     data = event["data"]
     keyword = F.coalesce(data["keyword"], data["keyword_id"])
     reject = (
-        F.when(event["_malformed"].isNotNull() & data.isNull(), "malformed_json")
+        F.when(event["_malformed"].isNotNull() & (data.isNull() | ~is_json(F.col("value"))), "malformed_json")
         .when(keyword.isNull(), "missing_keyword")
     )
     return parse_json(records, schemas.REDEEM_EVENT).select(
