@@ -91,7 +91,7 @@ def test_lookup_is_read_anew(spark, tmp_path):
     known = []
 
     def read_lookup():
-        columns = "name string, keyword_id string, program_id string, keyword_doc string, program_doc string"
+        columns = "name string, keyword_id string, documents string"
         return spark.createDataFrame(known, columns)
 
     for offset in range(2):
@@ -100,7 +100,7 @@ def test_lookup_is_read_anew(spark, tmp_path):
         stream = spark.readStream.schema(log).parquet(source)
         query = jobs.enrich_redeems(stream, read_lookup, out, checkpoint, "with_event", ["transaction_id"])
         io.finish(query)
-        known = [("A", "1", "p", "{}", "{}")]
+        known = [("A", "1", '{"keyword":{}}')]
     sent = [json.loads(r["value"]) for r in io.read_batches(spark, out).collect()]
     assert [m["event"]["transaction_id"] for m in sent] == ["1"]
 

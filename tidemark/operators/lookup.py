@@ -45,6 +45,8 @@ def first_per_name(keywords: DataFrame, programs: DataFrame) -> DataFrame:
     """One row per keyword name: the smallest keyword id that has a program.
 
     The program documents join after the choice, so only one per name moves.
+    ``documents`` is the outgoing JSON text, made here once per name rather
+    than once per event; the customer in it is always null.
     """
     k = with_lookup_keys(keywords).filter(F.col("name").isNotNull())
     with_program = k.join(programs.select(F.col("_id").alias("program_id")), "program_id", "left_semi")
@@ -55,7 +57,21 @@ def first_per_name(keywords: DataFrame, programs: DataFrame) -> DataFrame:
     return (
         first.select("name", "k.*")
         .join(p, "program_id", "inner")
-        .select("name", F.col("_id").alias("keyword_id"), "program_id", "keyword_doc", "program_doc")
+        .select(
+            "name",
+            F.col("_id").alias("keyword_id"),
+            "program_id",
+            "keyword_doc",
+            "program_doc",
+            F.to_json(
+                F.struct(
+                    F.parse_json("keyword_doc").alias("keyword"),
+                    F.parse_json("program_doc").alias("program"),
+                    F.lit(None).cast("string").alias("customer"),
+                ),
+                {"ignoreNullFields": "false"},
+            ).alias("documents"),
+        )
     )
 
 
@@ -66,22 +82,18 @@ def enrich(events: DataFrame, lookup: DataFrame, keyword: str = "keyword") -> Da
 
 def matched(enriched: DataFrame) -> DataFrame:
     """Only events whose keyword was found."""
-    return enriched.filter(F.col("keyword_doc").isNotNull())
+    return enriched.filter(F.col("keyword_id").isNotNull())
 
 
 def message(enriched: DataFrame, mode: str = "documents_only", event_columns: list[str] | None = None) -> DataFrame:
-    """The outgoing record: JSON text of the three documents, customer always null."""
+    """The outgoing record: JSON text of the documents, or also of the event itself."""
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
-    fields = [
-        F.parse_json("keyword_doc").alias("keyword"),
-        F.parse_json("program_doc").alias("program"),
-        F.lit(None).cast("string").alias("customer"),
-    ]
-    if mode == "with_event":
-        fields.insert(0, F.struct(*(event_columns or [])).alias("event"))
-    value = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
-    return enriched.select(value.alias("value"))
+    if mode == "documents_only":
+        return enriched.select(F.col("documents").alias("value"))
+    event = F.to_json(F.struct(*(event_columns or [])), {"ignoreNullFields": "false"})
+    rest = F.substring("documents", F.lit(2), F.length("documents"))
+    return enriched.select(F.concat(F.lit('{"event":'), event, F.lit(","), rest).alias("value"))
 
 
 def with_existence(events: DataFrame, keywords: DataFrame, keyword: str = "keyword") -> DataFrame:

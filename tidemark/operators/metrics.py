@@ -186,61 +186,74 @@ class RecordingRule:
     keep: tuple[str, float] | None = None
     inner_by: tuple[str, ...] | None = None
 
-    def condition(self) -> Column:
-        conditions = [F.col("metric") == self.metric, *[m.condition() for m in self.matchers]]
+    def condition(self) -> Column | None:
+        """Which samples of the metric count; None for all."""
+        conditions = [m.condition() for m in self.matchers]
         if self.keep:
             conditions.append(compare(F.col("value"), *self.keep))
-        return reduce(Column.__and__, conditions)
-
-
-def _group_labels(names: Sequence[str]) -> Column:
-    """The named labels as sorted pairs, empty ones left out."""
-    pairs = F.array(
-        *[F.struct(F.lit(n).alias("key"), label(n).alias("value")) for n in sorted(names)]
-    ).cast("array<struct<key: string, value: string>>")
-    return F.filter(pairs, lambda e: e["value"] != "")
+        return reduce(Column.__and__, conditions) if conditions else None
 
 
 def evaluate_rules(vector: DataFrame, rules: Sequence[RecordingRule]) -> DataFrame:
     """All rules at all evaluation times: ``record, labels, value, eval_ts``.
 
-    The vector is read once. Each row is tagged with the rules it feeds, and
-    one aggregation (two for sums of maxima) serves every rule; partial sums
+    The vector is read once. Each row is repeated for the rules of its metric,
+    and one aggregation (two for sums of maxima) serves every rule; partial sums
     are formed before the shuffle, so a large group costs no more than a small.
     """
-    tag = "struct<record: string, grp: array<struct<key: string, value: string>>, outer: array<struct<key: string, value: string>>, nested: boolean, counted: boolean>"
-    tags = [
-        F.when(
-            rule.condition(),
-            F.struct(
-                F.lit(rule.record),
-                _group_labels(rule.inner_by or rule.by),
-                _group_labels(rule.by),
-                F.lit(rule.inner_by is not None),
-                F.lit(rule.agg == "count"),
-            ).cast(tag),
-        )
-        for rule in rules
-    ]
-    names = sorted({rule.metric for rule in rules})
-    tagged = vector.filter(F.col("metric").isin(*names)).select(
-        "eval_ts", "value", F.explode(F.array_compact(F.array(*tags))).alias("t")
-    ).select("eval_ts", "value", "t.*")
-    inner = tagged.groupBy("record", "eval_ts", "grp", "outer", "nested", "counted").agg(
-        F.sum("value").alias("total"), F.max("value").alias("top"), F.count("value").alias("n")
+    numbers = range(len(rules))
+    names = sorted({name for rule in rules for name in (*rule.by, *(rule.inner_by or ()))})
+    of_metric = {m: [i for i in numbers if rules[i].metric == m] for m in {rule.metric for rule in rules}}
+
+    def chosen(test) -> Column:
+        return F.col("rule").isin([i for i in numbers if test(rules[i])])
+
+    def grouping(by) -> list[Column]:
+        """One column per label name, null for rules that do not group by it."""
+        return [F.when(chosen(lambda rule: name in by(rule)), F.col(name)).alias(name) for name in names]
+
+    counts = F.lit(True)
+    for i in numbers:
+        condition = rules[i].condition()
+        if condition is not None:
+            counts = counts & ((F.col("rule") != i) | condition)
+    applicable = F.create_map(
+        *[part for m, ids in of_metric.items() for part in (F.lit(m), F.array(*[F.lit(i) for i in ids]))]
     )
-    flat = F.when(F.col("counted"), F.col("n").cast("double")).otherwise(F.col("total"))
-    value = F.when(F.col("nested"), F.col("top")).otherwise(flat)
-    return (
-        inner.groupBy("record", "eval_ts", "outer")
-        .agg(F.sum(value).alias("value"))
-        .select("record", F.map_from_entries("outer").alias("labels"), "value", "eval_ts")
+    inner = (
+        vector.filter(F.col("metric").isin(*of_metric))
+        .select("eval_ts", "value", "labels", F.explode(applicable[F.col("metric")]).alias("rule"))
+        .filter(counts)
+        .select("eval_ts", "value", "rule", *[F.nullif(F.col("labels")[name], F.lit("")).alias(name) for name in names])
+        .select("eval_ts", "value", "rule", *grouping(lambda rule: rule.inner_by or rule.by))
+        .groupBy("rule", "eval_ts", *names)
+        .agg(F.sum("value").alias("total"), F.max("value").alias("top"), F.count("value").alias("n"))
+    )
+    value = (
+        F.when(chosen(lambda rule: rule.inner_by is not None), F.col("top"))
+        .when(chosen(lambda rule: rule.agg == "count"), F.col("n").cast("double"))
+        .otherwise(F.col("total"))
+    )
+    outer = (
+        inner.select("rule", "eval_ts", value.alias("value"), *grouping(lambda rule: rule.by))
+        .groupBy("rule", "eval_ts", *names)
+        .agg(F.sum("value").alias("value"))
+    )
+    pairs = F.array(*[F.struct(F.lit(name).alias("key"), F.col(name).alias("value")) for name in names])
+    labels = F.map_from_entries(F.filter(pairs, lambda pair: pair["value"].isNotNull())) if names else F.create_map()
+    records = F.array(*[F.lit(rule.record) for rule in rules])
+    return outer.select(
+        records[F.col("rule")].alias("record"),
+        labels.cast("map<string,string>").alias("labels"),
+        "value",
+        "eval_ts",
     )
 
 
 def count_by_count(vector: DataFrame, metric: str, by: Sequence[str]) -> DataFrame:
     """``count(count by (...) (metric))``: the number of distinct label groups."""
-    groups = select_series(vector, metric).select("eval_ts", _group_labels(by).alias("g")).distinct()
+    values = [label(name).alias(f"l{i}") for i, name in enumerate(by)]
+    groups = select_series(vector, metric).select("eval_ts", *values).distinct()
     return groups.groupBy("eval_ts").agg(F.count("*").cast("double").alias("value"))
 
 

@@ -1,7 +1,7 @@
 """Registered queries that run as streams and then read their sink.
 
 Each first writes its input as log files in several parts, in order, and lets
-the stream take one file per micro-batch.
+the stream take the files of one part per micro-batch.
 """
 
 from __future__ import annotations
@@ -18,6 +18,9 @@ from tidemark.sources.envelope import accepted, parse_redeems
 from tidemark.streaming import io, jobs
 
 
+FILES = 4  # per part
+
+
 def _parts(rows, by: str, path: str, parts: int = 3) -> None:
     """Write rows in consecutive ranges of ``by``, one after the other."""
     number = F.col(by).cast("double")
@@ -27,14 +30,14 @@ def _parts(rows, by: str, path: str, parts: int = 3) -> None:
         inside = number >= low + part * width
         if part < parts - 1:
             inside = inside & (number < low + (part + 1) * width)
-        rows.filter(inside).write.mode("append").parquet(path)
+        rows.filter(inside).repartition(FILES).write.mode("append").parquet(path)
 
 
 def _stream(spark, rows, by: str, label: str):
     """Rows written in parts and read back as a stream, with a folder for its outputs."""
     base = session.scratch_dir(spark, label)
     _parts(rows, by, f"{base}/in")
-    reader = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 8)
+    reader = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", FILES)
     return reader.parquet(f"{base}/in"), base
 
 
