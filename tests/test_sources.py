@@ -213,6 +213,16 @@ def test_first_keyword_and_missing_program(spark):
     assert flags == {"1": True, "2": True, "3": True, "4": False}
 
 
+def test_regular_join_keeps_every_keyword_of_a_name(spark):
+    def keyword(key, name, start):
+        return (key, json.dumps({"eligibility": {"name": name, "start_period": {"$date": start}}}))
+
+    keywords = spark.createDataFrame([keyword("1", "A", 10), keyword("2", "A", 20)], "_id string, document string")
+    events = spark.createDataFrame([("1", "A"), ("2", "B"), (None, "A")], "transaction_id string, keyword string")
+    joined = lookup.redeem_periods(events, keywords).collect()
+    assert sorted((r["transaction_id"], r["start_period"] or 0) for r in joined) == [("1", 10), ("1", 20), ("2", 0)]
+
+
 def test_reason_boundaries(spark):
     rows = spark.createDataFrame(
         [(1, None, 5), (2, 1, None), (3, 10_001, 20_000), (4, 10_000, 10_000), (5, 1, 9_999)],

@@ -105,6 +105,14 @@ def test_lookup_is_read_anew(spark, tmp_path):
     assert [m["event"]["transaction_id"] for m in sent] == ["1"]
 
 
+def test_console_sink_runs(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("id bigint").parquet(str(tmp_path / "in"))
+    query = io.start_console(stream, str(tmp_path / "cp"))
+    io.finish(query)
+    assert query.exception() is None
+
+
 def test_scratch_folder_is_the_shared_one(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     first, second = session.scratch_dir(spark, "x"), session.scratch_dir(spark, "x")

@@ -10,8 +10,9 @@ def with_once(rows: DataFrame, name: str, value: Column, drop_null: bool = False
     """Add a column that is evaluated exactly once per row.
 
     The optimizer copies an ordinary computed column into each filter and
-    projection that uses it, so a JSON text would be parsed several times. The
-    output of a generator is not copied. ``drop_null`` also drops rows whose
+    projection that uses it, and generated code may put it off until after a
+    join has multiplied the rows, so a JSON text would be handled many times.
+    The output of a generator is neither copied nor put off. ``drop_null`` also drops rows whose
     value is null.
     """
     single = F.array(value)

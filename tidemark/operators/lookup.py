@@ -54,25 +54,20 @@ def first_per_name(keywords: DataFrame, programs: DataFrame) -> DataFrame:
         F.min_by(F.struct("_id", "program_id", F.col("document").alias("keyword_doc")), "_id").alias("k")
     )
     p = programs.select(F.col("_id").alias("program_id"), F.col("document").alias("program_doc"))
-    return (
+    both = (
         first.select("name", "k.*")
         .join(p, "program_id", "inner")
-        .select(
-            "name",
-            F.col("_id").alias("keyword_id"),
-            "program_id",
-            "keyword_doc",
-            "program_doc",
-            F.to_json(
-                F.struct(
-                    F.parse_json("keyword_doc").alias("keyword"),
-                    F.parse_json("program_doc").alias("program"),
-                    F.lit(None).cast("string").alias("customer"),
-                ),
-                {"ignoreNullFields": "false"},
-            ).alias("documents"),
-        )
+        .select("name", F.col("_id").alias("keyword_id"), "program_id", "keyword_doc", "program_doc")
     )
+    documents = F.to_json(
+        F.struct(
+            F.parse_json("keyword_doc").alias("keyword"),
+            F.parse_json("program_doc").alias("program"),
+            F.lit(None).cast("string").alias("customer"),
+        ),
+        {"ignoreNullFields": "false"},
+    )
+    return with_once(both, "documents", documents)
 
 
 def enrich(events: DataFrame, lookup: DataFrame, keyword: str = "keyword") -> DataFrame:

@@ -111,14 +111,19 @@ def programs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def keywords(spark: SparkSession, folder: str) -> DataFrame:
-    """Names repeat; some periods and some programs are missing."""
+def keywords(spark: SparkSession, folder: str, names: int | None = 1000) -> DataFrame:
+    """Some periods and some programs are missing.
+
+    There are ``names`` keyword names, so they repeat and a lookup has to choose
+    one; with None every keyword has its own.
+    """
+    number = "c_custkey" if names is None else f"c_custkey % {names}"
     start = "820454400000 + (c_custkey % 1000) * 86400000"
     return spread_table(spark, folder, "customer").selectExpr("*", f"{start} AS start_ms").selectExpr(
         "cast(c_custkey AS string) AS _id",
-        """to_json(named_struct('eligibility', named_struct(
+        f"""to_json(named_struct('eligibility', named_struct(
              'end_period', if(c_custkey % 11 = 0, null, named_struct('$date', start_ms + 365 * 86400000L)),
-             'name', concat('KW', c_custkey % 1000),
+             'name', concat('KW', {number}),
              'program_id', named_struct('_id', named_struct('$oid',
                  cast(if(c_custkey % 17 = 0, 99, c_nationkey) AS string))),
              'start_period', if(c_custkey % 11 = 0, null, named_struct('$date', start_ms))),
@@ -126,8 +131,11 @@ def keywords(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def redeem_log(spark: SparkSession, folder: str, broken: bool = False) -> DataFrame:
-    keyword = "if(o_orderkey % 13 = 0, concat('NONE', o_orderkey), concat('KW', o_custkey % 1000))"
+def redeem_log(
+    spark: SparkSession, folder: str, broken: bool = False, names: int | None = 1000
+) -> DataFrame:
+    number = "o_custkey" if names is None else f"o_custkey % {names}"
+    keyword = f"if(o_orderkey % 13 = 0, concat('NONE', o_orderkey), concat('KW', {number}))"
     if broken:
         keyword = f"if(o_orderkey % 101 = 0, null, {keyword})"
     text = "if(o_orderkey % 107 = 0, substring(json, 1, 40), json)" if broken else "json"

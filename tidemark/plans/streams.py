@@ -95,10 +95,10 @@ def stream_dedup(spark, folder):
 
 
 def stream_eligibility(spark, folder):
-    records, base = _stream(spark, fixtures.redeem_log(spark, folder), "offset", "eligibility")
+    records, base = _stream(spark, fixtures.redeem_log(spark, folder, names=None), "offset", "eligibility")
     as_of = F.lit(enrich.AS_OF).cast("timestamp")
     io.finish(
-        jobs.judge_redeems(records, lambda: fixtures.keywords(spark, folder), f"{base}/out", f"{base}/cp", as_of)
+        jobs.judge_redeems(records, lambda: fixtures.keywords(spark, folder, None), f"{base}/out", f"{base}/cp", as_of)
     )
     return io.read_batches(spark, f"{base}/out").select(
         "transaction_id", "keyword", "start_period", "end_period", "reason"
