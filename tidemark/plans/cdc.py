@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.functions.jsondoc import document_text, unwrap_id
+from tidemark.functions.jsondoc import document_text, merge_objects, unwrap_id, without_keys
 from tidemark.operators import fold, lookup, tables
 from tidemark.plans import fixtures
 from tidemark.sources import envelope, schemas, specs
@@ -145,6 +145,19 @@ def update_documents(spark, folder):
     return events.select(F.col("seq").alias("event_id"), document_text(F.col("patch")).alias("document"))
 
 
+def merge_remove(spark, folder):
+    """Shallow merge of two objects, right side winning, less one field."""
+    rows = fixtures.table(spark, folder, "events").selectExpr(
+        "event_id",
+        "concat('{\"a\":', event_id, ',\"b\":{\"x\":', user_id, '}}') AS l",
+        "concat('{\"b\":\"', event_type, '\",\"c\":null}') AS r",
+    )
+    left, right = F.from_json("l", "map<string,variant>"), F.from_json("r", "map<string,variant>")
+    merged = merge_objects(left, right)
+    less = without_keys(merged, F.when(F.col("event_id") % 2 == 0, F.array(F.lit("a"))))
+    return rows.select("event_id", document_text(merged).alias("merged"), document_text(less).alias("less"))
+
+
 _EV = """ev AS (
   SELECT event_id AS seq, cast(user_id AS varchar) AS id, event_type,
          cast(json_extract_string(props, '$.k') AS bigint) AS k,
@@ -227,6 +240,7 @@ QUERIES = {
     "cdc_declared_table": declared_table,
     "cdc_verify_written": verify_written,
     "cdc_update_documents": update_documents,
+    "json_merge_remove": merge_remove,
 }
 
 _INTENDED = _state_sql("intended")
@@ -276,6 +290,9 @@ ORACLE = {
         SELECT ids._id, state._id IS NOT NULL AS found,
           CASE WHEN length(document) > 50 THEN substr(document, 1, 50) || '...' ELSE document END AS excerpt
         FROM ids LEFT JOIN state ON state._id = ids._id""",
+    "json_merge_remove": """WITH m AS (SELECT event_id, '"b":"' || event_type || '","c":null}' AS rest FROM events)
+        SELECT event_id, '{"a":' || event_id || ',' || rest AS merged,
+          CASE WHEN event_id % 2 = 0 THEN '{' || rest ELSE '{"a":' || event_id || ',' || rest END AS less FROM m""",
     "cdc_update_documents": f"""WITH {_EV.format(where="")}
         SELECT seq AS event_id, CASE WHEN op = 'delete' THEN '{{}}' ELSE {_DOC_SQL} END AS document FROM ev""",
 }
