@@ -12,6 +12,8 @@ from pyspark.sql import SparkSession
 #  - Repeated keys inside a document are legal input; the last one is kept.
 #  - AQE picks broadcast joins from measured shuffle sizes and splits skewed
 #    join partitions, also where a later aggregate then needs another shuffle.
+#  - Compressed files are taken for several times their size, so that the
+#    planner broadcasts a scanned side only when it is surely small.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
@@ -20,6 +22,7 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     # Keyed stream state lives on disk, not in executor heaps.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
