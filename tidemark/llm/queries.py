@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import grace, jump
+from tidemark.llm import decon, grace, jump
 from tidemark.llm.scratch import table
 
 
@@ -12,12 +12,17 @@ def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return grace.dedup(table(spark, folder, "documents"))
 
 
+def op8_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decon.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"), span=10)
+
+
 def op10_jump_shards(spark: SparkSession, folder: str) -> DataFrame:
     return jump.shard_documents(table(spark, folder, "documents"), shards=8)
 
 
 QUERIES = {
     "op6_exact_dedup": op6_exact_dedup,
+    "op8_decontaminate": op8_decontaminate,
     "op10_jump_shards": op10_jump_shards,
 }
 
