@@ -4,10 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decon, grace, jump
+from tidemark.llm import decon, grace, jump, mix, pii
 from tidemark.llm.scratch import table
 
 
+def op2_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    return mix.report(table(spark, folder, "documents"))
+
+
+def op5_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.report(table(spark, folder, "documents"))
+
+
 def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return grace.dedup(table(spark, folder, "documents"))
 
@@ -21,12 +29,15 @@ def op10_jump_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_mix_sources": op2_mix_sources,
+    "op5_pii": op5_pii,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_decontaminate": op8_decontaminate,
     "op10_jump_shards": op10_jump_shards,
 }
 
 ORACLE = {
+    "op2_mix_sources": mix.report_sql(),
     "op6_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
