@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decon, grace, jump, mix, pii
+from tidemark.llm import decon, grace, jump, langid, mix, pii
 from tidemark.llm.scratch import table
 
 
@@ -20,6 +20,10 @@ def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return grace.dedup(table(spark, folder, "documents"))
 
 
+def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.report(table(spark, folder, "documents"))
+
+
 def op8_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decon.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"), span=10)
 
@@ -32,6 +36,7 @@ QUERIES = {
     "op2_mix_sources": op2_mix_sources,
     "op5_pii": op5_pii,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_language_id": op7_language_id,
     "op8_decontaminate": op8_decontaminate,
     "op10_jump_shards": op10_jump_shards,
 }

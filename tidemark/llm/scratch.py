@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
+import tidemark
 from tidemark import session
 
+_shipped: list[SparkContext] = []
+
 
 def keep(rows: DataFrame, label: str) -> DataFrame:
     """Write rows once and read them back: a lost executor costs no recomputation."""
@@ -14,8 +22,22 @@ def keep(rows: DataFrame, label: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+def prepare(spark: SparkSession) -> SparkSession:
+    """Settings, and this package's code for the Python workers, which may not have it installed."""
     session.configure(spark)
+    if spark.sparkContext not in _shipped:
+        root = Path(tidemark.__file__).parent
+        packed = Path(tempfile.mkdtemp(prefix="code-"), "tidemark-code.zip")
+        with zipfile.ZipFile(packed, "w") as archive:
+            for source in sorted(root.rglob("*.py")):
+                archive.write(source, Path(root.name, source.relative_to(root)))
+        spark.sparkContext.addPyFile(str(packed))
+        _shipped.append(spark.sparkContext)
+    return spark
+
+
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    prepare(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
