@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decon, grace, jump, langid, mix, pii
+from tidemark.llm import decon, grace, jump, langid, mix, pii, rans
 from tidemark.llm.scratch import table
 
 
@@ -12,6 +13,10 @@ def op2_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mix.report(table(spark, folder, "documents"))
 
 
+def op3_rans_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    return rans.report(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op5_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.report(table(spark, folder, "documents"))
 
@@ -34,6 +39,7 @@ def op10_jump_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op2_mix_sources": op2_mix_sources,
+    "op3_rans_tokens": op3_rans_tokens,
     "op5_pii": op5_pii,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_language_id": op7_language_id,
