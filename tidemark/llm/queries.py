@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decon, grace, jump, langid, mix, pii, rans
+from tidemark.llm import decon, grace, jump, langid, mix, pii, rans, viterbi
 from tidemark.llm.scratch import table
 
 
@@ -33,6 +33,11 @@ def op8_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decon.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"), span=10)
 
 
+def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = viterbi.vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    return viterbi.with_counts(table(spark, folder, "documents"), pieces)
+
+
 def op10_jump_shards(spark: SparkSession, folder: str) -> DataFrame:
     return jump.shard_documents(table(spark, folder, "documents"), shards=8)
 
@@ -44,6 +49,7 @@ QUERIES = {
     "op6_exact_dedup": op6_exact_dedup,
     "op7_language_id": op7_language_id,
     "op8_decontaminate": op8_decontaminate,
+    "op9_token_counts": op9_token_counts,
     "op10_jump_shards": op10_jump_shards,
 }
 
