@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decon, grace, jump, langid, mix, pii, rans, viterbi
+from tidemark.llm import chosen, decon, grace, jump, langid, mix, pii, rans, viterbi
 from tidemark.llm.scratch import table
 
 
@@ -17,6 +17,10 @@ def op3_rans_tokens(spark: SparkSession, folder: str) -> DataFrame:
     return rans.report(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op4_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return chosen.report(table(spark, folder, "documents"))
+
+
 def op5_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.report(table(spark, folder, "documents"))
 
@@ -45,6 +49,7 @@ def op10_jump_shards(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op2_mix_sources": op2_mix_sources,
     "op3_rans_tokens": op3_rans_tokens,
+    "op4_near_dedup": op4_near_dedup,
     "op5_pii": op5_pii,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_language_id": op7_language_id,

@@ -8,6 +8,7 @@ from pathlib import Path
 
 from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import tidemark
 from tidemark import session
@@ -43,3 +44,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def by_keys(rows: DataFrame, keys: DataFrame, names: list[str], how: str, sent: int = 2_000_000) -> DataFrame:
+    """Semi or anti join that leaves wide rows where they are if the keys, by count, are few enough to send.
+
+    ``keys`` should be a kept table; beyond ``sent`` keys both sides are shuffled.
+    """
+    return rows.join(F.broadcast(keys) if keys.count() <= sent else keys, names, how)
