@@ -5,10 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import chosen, decon, grace, jump, langid, mix, pii, rans, viterbi
+from tidemark.llm import chosen, decon, grace, jump, langid, mix, pii, rans, superkmer, viterbi
 from tidemark.llm.scratch import table
 
 
+def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return superkmer.report(table(spark, folder, "documents"), size=13)
+
+
 def op2_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mix.report(table(spark, folder, "documents"))
 
@@ -47,6 +51,7 @@ def op10_jump_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_mix_sources": op2_mix_sources,
     "op3_rans_tokens": op3_rans_tokens,
     "op4_near_dedup": op4_near_dedup,
