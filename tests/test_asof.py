@@ -83,3 +83,11 @@ def test_other_join_kinds_are_refused(spark):
     p, v = frames(spark, [], [])
     with pytest.raises(ValueError):
         asof_join(p, v, ["k"], "pt", "vt", how="outer")
+
+
+def test_more_pieces_than_any_ceiling(spark):
+    probes = [(i, "k", i) for i in range(1200)]
+    versions = [("k", 3 * i, i, False) for i in range(400)]
+    p, v = frames(spark, probes, versions)
+    joined = asof_join(p, v, ["k"], "pt", "vt", pieces=600)
+    assert answers(joined) == {i: i // 3 for i in range(1200)}

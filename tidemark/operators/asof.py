@@ -50,13 +50,15 @@ def asof_join(
     tie_order: Column | None = None,
     closed_by: Column | None = None,
     cuts: list[float] | None = None,
+    pieces: int | None = None,
 ) -> DataFrame:
     """Add the other columns of the valid version to each probe row.
 
     ``tie_order`` decides between versions of one key and time (the greatest
     wins), ``closed_by`` marks a version that ends validity, such as a delete.
     ``cuts`` are the time cuts; by default they are measured with one pass over
-    the two time columns, one piece per shuffle partition.
+    the two time columns. ``pieces`` is how finely a key is cut at most, by
+    default once per shuffle partition.
     """
     if how not in ("left", "inner"):
         raise ValueError("how must be 'left' or 'inner'")
@@ -92,7 +94,7 @@ def asof_join(
         .agg(F.max_by(_ROW, _ORD).alias(_ROW), F.max(_PROBE).alias(_PROBE))
     )
     if cuts is None:
-        pieces = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 400)
+        pieces = pieces or int(spark.conf.get("spark.sql.shuffle.partitions"))
         times = probe_points.select(_AT).unionByName(version_points.select(_AT))
         cuts = time_cuts(times, _AT, pieces) if pieces > 1 else []
     points = _with_piece(points, cuts)

@@ -14,24 +14,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table whose rows cost much work each, over all cores.
-
-    Large tables arrive in enough splits and are left alone; one that comes as
-    fewer splits than there are cores, because it is small, is dealt out.
-    """
-    rows = table(spark, folder, name)
-    cores = spark.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
-
-
 # One record per event: signups insert, purchases replace, clicks and views
-# update, errors delete. A view also removes field k.
-_DOCUMENT = "named_struct('cents', cents, 'k', k, 'last_type', event_type)"
+# update, errors delete. A view also removes field k. A replacement does not
+# name k, so what was stored under it tells a merge from an overwrite.
+_DOCUMENT = "named_struct('cents', cents, 'k', if(op = 'replace', null, k), 'last_type', event_type)"
 
 
 def change_log(spark: SparkSession, folder: str, removals: bool = True, broken: bool = False) -> DataFrame:
-    events = spread_table(spark, folder, "events").selectExpr(
+    events = table(spark, folder, "events").selectExpr(
         "*",
         "cast(get_json_object(props, '$.k') as bigint) AS k",
         "cast(round(value * 100) as bigint) AS cents",
@@ -70,7 +60,7 @@ def nested_change_log(spark: SparkSession, folder: str) -> DataFrame:
     A signup inserts an empty document, a view removes one nested field, an
     error replaces the whole ``click`` object, other types set a nested field.
     """
-    return spread_table(spark, folder, "events").selectExpr(
+    return table(spark, folder, "events").selectExpr(
         "cast(user_id AS string) AS _id",
         "if(event_type = 'signup', 'insert', 'update') AS op",
         "event_id AS seq",
@@ -119,7 +109,7 @@ def keywords(spark: SparkSession, folder: str, names: int | None = 1000) -> Data
     """
     number = "c_custkey" if names is None else f"c_custkey % {names}"
     start = "820454400000 + (c_custkey % 1000) * 86400000"
-    return spread_table(spark, folder, "customer").selectExpr("*", f"{start} AS start_ms").selectExpr(
+    return table(spark, folder, "customer").selectExpr("*", f"{start} AS start_ms").selectExpr(
         "cast(c_custkey AS string) AS _id",
         f"""to_json(named_struct('eligibility', named_struct(
              'end_period', if(c_custkey % 11 = 0, null, named_struct('$date', start_ms + 365 * 86400000L)),
@@ -139,7 +129,7 @@ def redeem_log(
     if broken:
         keyword = f"if(o_orderkey % 101 = 0, null, {keyword})"
     text = "if(o_orderkey % 107 = 0, substring(json, 1, 40), json)" if broken else "json"
-    return spread_table(spark, folder, "orders").selectExpr(
+    return table(spark, folder, "orders").selectExpr(
         "*",
         f"""to_json(named_struct(
               'data', named_struct(
@@ -182,7 +172,7 @@ METRICS = tuple(dict.fromkeys(rule.metric for rule in (*RECORDING_RULES, *OVERVI
 def partition_vector(spark: SparkSession, folder: str) -> DataFrame:
     """Line items as daily partition metrics; the part key picks the metric."""
     names = ", ".join(f"'{name}'" for name in METRICS)
-    return spread_table(spark, folder, "lineitem").selectExpr(
+    return table(spark, folder, "lineitem").selectExpr(
         f"element_at(array({names}), cast(l_partkey % {len(METRICS)} + 1 AS int)) AS metric",
         """map('topic', if(l_returnflag = 'R', '__cluster_metadata', l_returnflag),
                'partition', cast(l_linenumber AS string),
@@ -196,7 +186,7 @@ def partition_vector(spark: SparkSession, folder: str) -> DataFrame:
 
 def event_samples(spark: SparkSession, folder: str) -> DataFrame:
     """Events as samples, a series per type and tenth of the users."""
-    return spread_table(spark, folder, "events").selectExpr(
+    return table(spark, folder, "events").selectExpr(
         "event_type AS metric",
         "map('grp', cast(user_id % 10 AS string), 'empty', '') AS labels",
         "round(value * 100) AS value",
