@@ -229,3 +229,42 @@ def test_latest_per_key(spark):
     assert {tuple(r) for r in fold.latest_per_key(log, ["k"], "o").collect()} == {("a", 2, None), ("b", 3, "z")}
     live = fold.latest_per_key(log, ["k"], "o", F.col("v").isNull())
     assert [tuple(r) for r in live.collect()] == [("b", 3, "z")]
+
+
+def test_older_events_after_compaction(spark, tmp_path):
+    """An event that arrives late but is older in the log gives the same with and without compaction."""
+    log = [event("insert", "a", {"x": 1}), event("update", "b", updated={"y": 1}), event("delete", "a")]
+    log += [event("insert", "c", {"x": 1, "z": 1}), event("update", "c", removed=["x"])]
+    late = [event("insert", "a", {"x": 9}), event("insert", "b", {"x": 2}), event("update", "c", updated={"x": 5})]
+    path, compact = str(tmp_path / "entries"), str(tmp_path / "compact")
+    fold.write_entries(parsed(spark, log, 10), path, 0)
+    fold.compact_entries(spark, path, compact)
+    got = []
+    for folder in (path, compact):
+        fold.write_entries(parsed(spark, late, 1), folder, 1)
+        reduced = fold.reduce_entries(fold.read_entries(spark, folder))
+        got.append(documents(fold.state_from_entries(reduced)))
+    assert got[0] == got[1] == {"b": {"x": 2, "y": 1}, "c": {"z": 1}}
+
+
+def test_stored_rows(spark):
+    stored = [("same", '{ "x" : 1.10 }'), ("bad", '{"x":1'), ("worse", "[1]"), ("new", "{oops"), ("sound", '{"x":1}')]
+    snapshot = spark.createDataFrame(stored, "_id string, document string")
+    log = [event("update", "bad", updated={"y": 1}), event("insert", "new", {"y": 1}), event("update", "sound", updated={"y": 1})]
+    got = {row["_id"]: row["document"] for row in fold.fold(parsed(spark, log), snapshot).collect()}
+    assert got == {**dict(stored), "new": '{"y":1}', "sound": '{"x":1,"y":1}'}
+    assert {row["_id"] for row in fold.damaged_rows(snapshot).collect()} == {"bad", "worse", "new"}
+
+
+def test_steps_into_lists(spark):
+    log = [
+        event("insert", "l", {"l": [1, {"a": 2}]}),
+        event("update", "l", updated={"l.foo": 1, "l.99999999999": 1, "l.7000000": 1, "l.2": 3, "l.1.a": 5}),
+        event("update", "l", removed=["l.0", "l.9"]),
+    ]
+    assert documents(fold.fold_paths(parsed(spark, log))) == {"l": {"l": [None, {"a": 5}, 3]}}
+
+
+def test_no_window_in_the_plan(spark):
+    frame = fold.state_fields(fold.reduce_entries(fold.change_entries(parsed(spark, random_log(6)))))
+    assert "Window" not in frame._jdf.queryExecution().toString()

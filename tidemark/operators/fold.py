@@ -19,7 +19,7 @@ from __future__ import annotations
 import json
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.jsondoc import object_from_entries, without_keys
@@ -92,22 +92,29 @@ def reduce_entries(entries: DataFrame) -> DataFrame:
     return entries.groupBy("_id", "field").agg(newest).select("_id", "field", "e.*")
 
 
-def live_entries(reduced: DataFrame) -> DataFrame:
-    """Entries of existing documents only; the barrier stays, so ``{}`` survives.
+def with_barriers(reduced: DataFrame) -> DataFrame:
+    """Add the newest barrier of each id as ``barrier`` (seq, gone), null where it has none.
 
-    The window sees one row per distinct field of an id, not one per event.
+    There is one barrier row per id at most after the reduction, so this is a
+    join that AQE can split where an id has very many fields. The condition
+    names ``gone`` so that it is not pushed below the reduction, which both sides
+    then share.
     """
-    barrier = F.max(F.when(F.col("field").isNull(), F.struct("at.seq", "gone"))).over(
-        Window.partitionBy("_id")
-    )
-    is_barrier = F.col("field").isNull()
+    own = F.when(F.col("gone").isNotNull(), F.col("field")).isNull()
+    barriers = reduced.filter(own).select("_id", F.struct("at.seq", "gone").alias("barrier"))
+    return reduced.join(barriers, "_id", "left")
+
+
+def _since_barrier() -> Column:
     # A row of an earlier snapshot has no seq and precedes everything.
-    after = ~F.col("gone") & (F.col("barrier.seq").isNull() | (F.col("at.seq") >= F.col("barrier.seq")))
-    return (
-        reduced.withColumn("barrier", barrier)
-        .filter(~F.col("barrier.gone") & (is_barrier | after))
-        .drop("barrier")
-    )
+    return F.col("field").isNull() | F.col("barrier.seq").isNull() | (F.col("at.seq") >= F.col("barrier.seq"))
+
+
+def live_entries(reduced: DataFrame) -> DataFrame:
+    """Entries of existing documents only; the barrier stays, so ``{}`` survives."""
+    exists = F.col("barrier").isNotNull() & ~F.col("barrier.gone")
+    shown = F.col("field").isNull() | ~F.col("gone")
+    return with_barriers(reduced).filter(exists & shown & _since_barrier()).drop("barrier")
 
 
 def state_from_entries(reduced: DataFrame) -> DataFrame:
@@ -127,6 +134,11 @@ def state_fields(reduced: DataFrame) -> DataFrame:
     return live_entries(reduced).filter(F.col("field").isNotNull()).select("_id", "field", "value")
 
 
+def damaged_rows(snapshot: DataFrame) -> DataFrame:
+    """Rows of a state table whose document is not a JSON object."""
+    return snapshot.filter(F.from_json("document", "map<string,variant>").isNull())
+
+
 def snapshot_entries(snapshot: DataFrame, like: DataFrame) -> DataFrame:
     """An existing state table as inserts that precede every event of ``like``."""
     seq = F.lit(None).cast(like.schema["seq"].dataType)
@@ -141,11 +153,24 @@ def snapshot_entries(snapshot: DataFrame, like: DataFrame) -> DataFrame:
 
 
 def fold(events: DataFrame, snapshot: DataFrame | None = None, removal: str = "intended") -> DataFrame:
-    """Events over an optional earlier state to the new state ``(_id, document)``."""
+    """Events over an optional earlier state to the new state ``(_id, document)``.
+
+    Stored rows without an event pass through with their text as it is. A stored
+    document that is damaged (see ``damaged_rows``) keeps its text unless an
+    insert or delete replaces it.
+    """
     entries = change_entries(events, removal)
-    if snapshot is not None:
-        entries = entries.unionByName(snapshot_entries(snapshot, events))
-    return state_from_entries(reduce_entries(entries))
+    if snapshot is None:
+        return state_from_entries(reduce_entries(entries))
+    stored = snapshot.select("_id", "document")
+    touched = stored.join(events.select("_id").distinct(), "_id", "left_semi")
+    renewed = events.filter(F.col("op").isin("insert", "delete")).select("_id").distinct()
+    sound = F.from_json("document", "map<string,variant>").isNotNull()
+    entries = entries.unionByName(snapshot_entries(touched.filter(sound), events))
+    untouched = stored.join(events.select("_id").distinct(), "_id", "left_anti")
+    held_back = damaged_rows(touched).join(renewed, "_id", "left_anti")
+    folded = state_from_entries(reduce_entries(entries))
+    return folded.unionByName(untouched).unionByName(held_back)
 
 
 def latest_per_key(log: DataFrame, keys: list[str], order: Column, tombstone: Column | None = None) -> DataFrame:
@@ -172,14 +197,19 @@ def read_entries(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop("batch")
 
 
-def compact_entries(spark: SparkSession, path: str, target: str) -> None:
-    """Write the live entries of all batches as one batch into another folder.
+def compacted(reduced: DataFrame) -> DataFrame:
+    """Entries that can still matter: from the newest barrier of their id on.
 
-    Deletes are no longer needed there, since later events cannot revive a
-    field older than the delete.
+    Deletes and removed fields stay, one row each, so that an event which comes
+    later but is older in the log cannot revive what they removed.
     """
-    live = live_entries(reduce_entries(read_entries(spark, path)))
-    live.write.mode("overwrite").parquet(f"{target}/batch=-1")
+    return with_barriers(reduced).filter(_since_barrier()).drop("barrier")
+
+
+def compact_entries(spark: SparkSession, path: str, target: str) -> None:
+    """Write what still matters of all batches as one batch into another folder."""
+    rows = compacted(reduce_entries(read_entries(spark, path)))
+    rows.write.mode("overwrite").parquet(f"{target}/batch=-1")
 
 
 def _apply_paths(ordered: Column) -> Column:
@@ -196,7 +226,12 @@ def _apply_paths(ordered: Column) -> Column:
                 return
             slot: str | int = step
             if isinstance(place, list):
+                # Not a place, or one so far out that filling up would be absurd.
+                if not (step.isascii() and step.isdigit() and len(step) < 10):
+                    return
                 slot = int(step)
+                if slot >= len(place) + (0 if gone else 1_500_000):
+                    return
                 place.extend([None] * (slot + 1 - len(place)))
             if not last:
                 inside = place[slot] if isinstance(place, list) else place.get(slot)
@@ -232,7 +267,8 @@ def fold_paths(events: DataFrame) -> DataFrame:
     entry per distinct path of a document, is applied in log order; a later
     write to an outer object replaces what was set inside it before. A nested
     write also leaves an entry ``outer.`` for each object around it, which then
-    exists even if the field itself is removed again.
+    exists even if the field itself is removed again. A step into a list that is
+    no number, or lies more than 1.5 million places behind its end, is ignored.
     """
     steps = F.split("field", "\\.")
     outer = F.transform(
@@ -245,14 +281,10 @@ def fold_paths(events: DataFrame) -> DataFrame:
         "_id", F.explode(fields).alias("field"), "at", "gone", "value"
     )
     reduced = reduce_entries(entries)
-    barrier = F.max(F.when(F.col("field").isNull(), F.struct("at.seq", "gone"))).over(
-        Window.partitionBy("_id")
-    )
-    since = F.col("field").isNull() | F.col("barrier.seq").isNull() | (F.col("at.seq") >= F.col("barrier.seq"))
     entry = F.when(F.col("field").isNotNull(), F.struct("at", "field", "gone", "value"))
     kept = (
-        reduced.withColumn("barrier", barrier)
-        .filter(~F.col("barrier.gone") & since)
+        with_barriers(reduced)
+        .filter(F.col("barrier").isNotNull() & ~F.col("barrier.gone") & _since_barrier())
         .groupBy("_id")
         .agg(F.array_sort(F.collect_list(entry)).alias("entries"))
     )

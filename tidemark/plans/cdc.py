@@ -176,7 +176,8 @@ def _state_sql(mode: str, fields: bool = False, where: str = "") -> str:
     head = f"""WITH {_EV.format(where=where)},
     barrier AS (SELECT id, max(seq) AS bseq, arg_max(op, seq) AS bop FROM ev WHERE op IN ('insert', 'delete') GROUP BY id),
     sets AS (
-      SELECT id, 'k' AS field, cast(k AS varchar) AS v, 2 * seq AS o, false AS gone FROM ev WHERE op <> 'delete' {keep_k}
+      SELECT id, 'k' AS field, cast(k AS varchar) AS v, 2 * seq AS o, false AS gone FROM ev
+        WHERE op NOT IN ('delete', 'replace') {keep_k}
       UNION ALL SELECT id, 'cents', cast(cents AS varchar), 2 * seq, false FROM ev WHERE op <> 'delete'
       UNION ALL SELECT id, 'last_type', '"' || event_type || '"', 2 * seq, false FROM ev WHERE op <> 'delete'
       {gone_k if mode == "intended" else ""}),
@@ -190,7 +191,8 @@ def _state_sql(mode: str, fields: bool = False, where: str = "") -> str:
     FROM live GROUP BY id"""
 
 
-_DOC_SQL = """'{"cents":' || cents || ',"k":' || k || ',"last_type":"' || event_type || '"}'"""
+_DOC_SQL = """'{"cents":' || cents || CASE WHEN op = 'replace' THEN '' ELSE ',"k":' || k END ||
+   ',"last_type":"' || event_type || '"}'"""
 
 _KEYWORD_DOC = """'{"eligibility":{' ||
    CASE WHEN c_custkey % 11 = 0 THEN '' ELSE '"end_period":{"$date":' || (820454400000 + (c_custkey % 1000) * 86400000 + 365 * 86400000::bigint) || '},' END ||
@@ -257,7 +259,7 @@ ORACLE = {
         GROUP BY user_id HAVING arg_max(event_type, event_id) <> 'error'""",
     "cdc_upsert_filter": f"""WITH {_EV.format(where="")},
         newest AS (SELECT id, arg_max(op, seq) AS op, max(seq) AS seq FROM ev WHERE op IN ('insert', 'update') GROUP BY id)
-        SELECT n.id AS _id, CASE WHEN n.op = 'insert' THEN {_DOC_SQL} END AS document, n.op AS "operationType"
+        SELECT n.id AS _id, CASE WHEN n.op = 'insert' THEN {_DOC_SQL.replace("WHEN op", "WHEN ev.op")} END AS document, n.op AS "operationType"
         FROM newest n JOIN ev ON ev.seq = n.seq
         UNION ALL
         SELECT cast(c_custkey AS varchar), {_KEYWORD_DOC}, 'insert' FROM customer
@@ -276,13 +278,14 @@ ORACLE = {
              WHEN event_id % 101 = 0 THEN 'missing_key' ELSE 'unknown_operation' END AS reject
         FROM events WHERE event_id % 101 = 0 OR event_id % 103 = 0 OR event_id % 107 = 0 OR event_id % 109 = 0""",
     "cdc_full_document": f"""WITH {_EV.format(where="")}
-        SELECT cents, k, event_type AS last_type FROM ev WHERE op IN ('insert', 'replace')""",
+        SELECT cents, CASE WHEN op = 'insert' THEN k END AS k, event_type AS last_type
+        FROM ev WHERE op IN ('insert', 'replace')""",
     "cdc_points_rows": """SELECT cast(c_custkey AS varchar) AS id, 'KW' || (c_custkey % 1000) AS keyword,
         c_nationkey AS points FROM customer WHERE c_custkey % 17 <> 0""",
     "cdc_declared_table": f"""WITH {_EV.format(where="")}
         SELECT id AS _id, op AS "operationType",
           CASE WHEN event_id % 7 <> 0 THEN epoch_us(ts) // 1000 END AS wall_ms,
-          CASE WHEN op IN ('insert', 'replace') THEN k END AS k,
+          CASE WHEN op = 'insert' THEN k END AS k,
           CASE WHEN op IN ('insert', 'replace') THEN ev.event_type END AS last_type
         FROM ev JOIN events ON events.event_id = ev.seq""",
     "cdc_verify_written": f"""WITH state AS ({_INTENDED}),
