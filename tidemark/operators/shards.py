@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 
 def hashed_shard(key: Column, shards: int) -> Column:
-    """Shard of a hashed key field."""
-    return F.pmod(F.xxhash64(key), F.lit(shards)).cast("int")
+    """Shard of a hashed key field, by the first 32 bits of an MD5 of its text."""
+    digest = F.md5(F.coalesce(key.cast("string"), F.lit("")))
+    return F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long"), F.lit(shards)).cast("int")
 
 
 def shard_report(rows: DataFrame, shard: Column) -> DataFrame:

@@ -38,15 +38,31 @@ def append_rows(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").parquet(path)
 
 
-def merge_statement(table: str, staging: str, columns: list[str], key: str) -> str:
-    """SQL that moves a staged batch into a keyed database table."""
+def apply_changes(
+    table: DataFrame, changes: DataFrame, keys: list[str], order: Column | str, deleted: Column
+) -> DataFrame:
+    """Upserts and deletes in one pass: the last change per key decides, and ``deleted`` removes the row."""
+    newest = latest_per_key(changes.withColumn("__gone", deleted), keys, order)
+    kept = table.join(newest.select(*keys), keys, "left_anti")
+    return kept.unionByName(newest.filter(~F.coalesce("__gone", F.lit(False))).select(*table.columns))
+
+
+def merge_statement(table: str, staging: str, columns: list[str], key: str, deleted: str | None = None) -> str:
+    """SQL that moves a staged batch into a keyed database table.
+
+    ``deleted`` names a boolean column of the staged rows that asks for the
+    removal of the row; it is not a column of the table.
+    """
+    columns = [c for c in columns if c != deleted]
     names = ", ".join(columns)
     sets = ", ".join(f"{c} = s.{c}" for c in columns if c != key)
     values = ", ".join(f"s.{c}" for c in columns)
+    gone = f"WHEN MATCHED AND s.{deleted} THEN DELETE " if deleted else ""
+    new = f"WHEN NOT MATCHED AND NOT s.{deleted}" if deleted else "WHEN NOT MATCHED"
     return (
-        f"MERGE INTO {table} t USING {staging} s ON t.{key} = s.{key} "
+        f"MERGE INTO {table} t USING {staging} s ON t.{key} = s.{key} {gone}"
         f"WHEN MATCHED THEN UPDATE SET {sets} "
-        f"WHEN NOT MATCHED THEN INSERT ({names}) VALUES ({values})"
+        f"{new} THEN INSERT ({names}) VALUES ({values})"
     )
 
 
@@ -58,6 +74,7 @@ def upsert_jdbc(
     execute: Callable[[str], None],
     properties: dict[str, str] | None = None,
     batch_rows: int = 10_000,
+    deleted: str | None = None,
 ) -> None:
     """Stage a batch in ``<table>_staging`` from all executors, then merge it once.
 
@@ -67,4 +84,4 @@ def upsert_jdbc(
     staging = f"{table}_staging"
     options = {"batchsize": str(batch_rows), "truncate": "true", **(properties or {})}
     rows.write.mode("overwrite").jdbc(url, staging, properties=options)
-    execute(merge_statement(table, staging, rows.columns, key))
+    execute(merge_statement(table, staging, rows.columns, key, deleted))

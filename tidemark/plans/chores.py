@@ -70,7 +70,8 @@ def shard_report(spark, folder):
 
 def hashed_shard_report(spark, folder):
     rows = fixtures.table(spark, folder, "lineitem")
-    return shards.shard_report(rows, shards.hashed_shard(F.col("l_orderkey"), 3))
+    report = shards.shard_report(rows, shards.hashed_shard(F.col("l_orderkey"), 3))
+    return report.select("shard", "rows", F.round("share", 6).alias("share"))
 
 
 _LINE = """CASE WHEN o_orderkey % 97 = 0 THEN 'no separator ' || o_orderkey
@@ -101,4 +102,6 @@ ORACLE = {
     "log_collect": """SELECT doc_id, unnest(string_split(text, chr(10))) AS value, source AS job, 'document' AS kind FROM documents""",
     "shard_report": """SELECT cast(l_orderkey % 3 AS integer) AS shard, count(*) AS rows,
         round(count(*) * 100.0 / sum(count(*)) OVER (), 6) AS share FROM lineitem GROUP BY 1""",
+    "shard_report_hashed": """SELECT cast(('0x' || substr(md5(l_orderkey::varchar), 1, 8))::bigint % 3 AS integer) AS shard,
+        count(*) AS rows, round(count(*) * 100.0 / sum(count(*)) OVER (), 6) AS share FROM lineitem GROUP BY 1""",
 }
