@@ -128,3 +128,26 @@ def test_latest_rows_with_tombstone(spark, tmp_path):
     io.finish(jobs.upsert_rows(stream, str(tmp_path / "t"), str(tmp_path / "cp"), ["k"], F.col("o")))
     rows = jobs.latest_rows(spark, str(tmp_path / "t"), ["k"], F.col("v").isNull()).collect()
     assert [(r["k"], r["v"]) for r in rows] == [("b", "y")]
+
+
+def test_state_table_keeps_deletes_and_replays(spark, tmp_path):
+    """Versions, a late older event, and a batch that is run again."""
+    from test_fold import documents, event, parsed
+
+    from tidemark.streaming import state
+
+    batches = [
+        (10, [event("insert", "a", {"x": 1}), event("insert", "b", {"x": 1}), event("delete", "a")]),
+        (20, [event("update", "b", updated={"y": 2})]),
+        (1, [event("insert", "a", {"x": 9}), event("update", "b", updated={"x": 7, "y": 7})]),
+        (30, [event("insert", "c", {"z": 1}), event("delete", "b")]),
+    ]
+    path = str(tmp_path / "state")
+    assert state.current(spark, path).count() == 0
+    want = [{"b": {"x": 1}}, {"b": {"x": 1, "y": 2}}, {"b": {"x": 1, "y": 2}}, {"c": {"z": 1}}]
+    for batch_id, (start, log) in enumerate(batches):
+        for _ in range(2):
+            state.add_batch(spark, path, parsed(spark, log, start), batch_id, every=2)
+            assert documents(state.current(spark, path)) == want[batch_id]
+    state.add_batch(spark, path, parsed(spark, batches[0][1], 10), 0, every=2)
+    assert documents(state.current(spark, path)) == want[-1]

@@ -15,22 +15,22 @@ from tidemark.plans import cdc, enrich, fixtures, rules
 from tidemark.plans.fixtures import DAY
 from tidemark.sources import files
 from tidemark.sources.envelope import accepted, parse_redeems
-from tidemark.streaming import io, jobs
+from tidemark.streaming import io, jobs, state
 
 
 FILES = 4  # per part
 
 
 def _parts(rows, by: str, path: str, parts: int = 3) -> None:
-    """Write rows in consecutive ranges of ``by``, one after the other."""
+    """Write rows in consecutive ranges of ``by``, one after the other; the last takes all others too."""
     number = F.col(by).cast("double")
-    low, high = rows.agg(F.min(number), F.max(number)).first()
-    width = (high - low) / parts
+    finite = F.when(~F.isnan(number), number)
+    low, high = rows.agg(F.min(finite), F.max(finite)).first()
+    width = ((high or 0) - (low or 0)) / parts
+    place = F.floor((finite - (low or 0)) / width) if width else F.lit(None)
+    place = F.coalesce(F.least(place, F.lit(parts - 1)), F.lit(parts - 1))
     for part in range(parts):
-        inside = number >= low + part * width
-        if part < parts - 1:
-            inside = inside & (number < low + (part + 1) * width)
-        rows.filter(inside).repartition(FILES).write.mode("append").parquet(path)
+        rows.filter(place == part).repartition(FILES).write.mode("append").parquet(path)
 
 
 def _stream(spark, rows, by: str, label: str):
@@ -54,6 +54,13 @@ def stream_fold_compacted(spark, folder):
     return fold.state_from_entries(fold.reduce_entries(fold.read_entries(spark, f"{base}/compacted")))
 
 
+def stream_state(spark, folder):
+    """The maintained table: a version of the first two batches, and one batch since."""
+    records, base = _stream(spark, fixtures.change_log(spark, folder), "offset", "state")
+    io.finish(jobs.maintain_state(records, f"{base}/state", f"{base}/cp", order="offset", every=2))
+    return state.current(spark, f"{base}/state")
+
+
 def stream_rejects(spark, folder):
     records, base = _stream(spark, fixtures.change_log(spark, folder, broken=True), "offset", "rejects")
     query = jobs.materialize_changes(
@@ -88,7 +95,7 @@ def stream_dedup(spark, folder):
     again = redeems.withColumn("partition", F.lit(1))
     records, base = _stream(spark, redeems.unionByName(again), "timestamp", "dedup")
     rows = io.watermarked(accepted(parse_redeems(records)), "kafka_timestamp", io.TABLE_DELAY)
-    once = io.drop_copies(rows, ["transaction_id"], ["partition", "offset"])
+    once = io.drop_copies(rows, ["transaction_id"])
     out = once.select("transaction_id", "keyword")
     io.finish(io.start_files(out, f"{base}/out", f"{base}/cp"))
     return spark.read.parquet(f"{base}/out")
@@ -180,6 +187,7 @@ _STEPS = """s AS (SELECT event_type AS metric, cast(user_id % 10 AS varchar) AS
 QUERIES = {
     "stream_cdc_fold": stream_fold,
     "stream_cdc_fold_compacted": stream_fold_compacted,
+    "stream_cdc_state": stream_state,
     "stream_cdc_rejects": stream_rejects,
     "stream_latest_per_key": stream_latest,
     "stream_enrich": stream_enrich,
@@ -196,6 +204,7 @@ QUERIES = {
 ORACLE = {
     "stream_cdc_fold": cdc.ORACLE["cdc_fold_removed_intended"],
     "stream_cdc_fold_compacted": cdc.ORACLE["cdc_fold_removed_intended"],
+    "stream_cdc_state": cdc.ORACLE["cdc_fold_removed_intended"],
     "stream_cdc_rejects": cdc.ORACLE["cdc_rejects"],
     "stream_latest_per_key": cdc.ORACLE["cdc_latest_per_key"],
     "stream_enrich": enrich.ORACLE["lookup_message"],

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.sources import schemas
 
+OFFSETS_PER_BATCH = 10_000_000
 RECORD_COLUMNS = ["key", "value", "topic", "partition", "offset", "timestamp"]
 
 
@@ -44,8 +45,13 @@ def _records(raw: DataFrame) -> DataFrame:
 
 
 def stream_topic(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
-    """A topic as a stream of log records, metadata columns included."""
-    return _records(spark.readStream.format("kafka").options(**options).load())
+    """A topic as a stream of log records, metadata columns included.
+
+    A batch takes at most ``OFFSETS_PER_BATCH`` records unless the options say
+    otherwise: from the earliest offset on, the first one would else be all of the log.
+    """
+    bounded = {"maxOffsetsPerTrigger": str(OFFSETS_PER_BATCH), **options}
+    return _records(spark.readStream.format("kafka").options(**bounded).load())
 
 
 def replay_topic(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
@@ -64,7 +70,3 @@ def stream_log_files(spark: SparkSession, path: str, files_per_batch: int | None
 def replay_log_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.LOG_RECORD).parquet(path)
 
-
-def values_only(records: DataFrame) -> DataFrame:
-    """Drop everything but the record text."""
-    return records.select(F.col("value").cast("string").alias("value"))

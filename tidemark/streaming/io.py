@@ -28,16 +28,21 @@ def _triggered(writer, continuous: bool):
 
 
 def start_batches(
-    stream: DataFrame, action: BatchAction, checkpoint: str, continuous: bool = False
+    stream: DataFrame, action: BatchAction, checkpoint: str, continuous: bool = False, reused: bool = False
 ) -> StreamingQuery:
     """Run ``action(batch, batch_id)`` per micro-batch, all available data or every 10 s.
 
+    ``reused`` batches are kept while the action runs, since it reads them several times.
+
     Streams plan without AQE; inside a batch action the joins and aggregations
     are ordinary ones, so it is switched on again there.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         session.configure(batch.sparkSession)
+        if not reused:
+            action(batch, batch_id)
+            return
         batch.persist()
         try:
             action(batch, batch_id)
@@ -83,14 +88,16 @@ def finish(query: StreamingQuery) -> None:
 
 
 def drop_copies(
-    stream: DataFrame, keys: list[str], salt_by: list[str], salts: int = 32
+    stream: DataFrame, keys: list[str], salt_by: list[str] | None = None, salts: int = 32
 ) -> DataFrame:
     """Keep one row per key within the watermark delay.
 
-    Copies of one key are first thinned in ``salts`` separate groups, chosen by
-    columns in which the copies differ (such as partition and offset), so that
-    a key with very many copies does not pass through one task.
+    Where a key may have very many copies, name columns in which they differ (such as
+    partition and offset): copies are then first thinned in ``salts`` separate
+    groups, so that the key does not pass through one task. This keeps every
+    key twice in state and is not done by default.
     """
-    salted = stream.withColumn("__salt", F.pmod(F.xxhash64(*salt_by), F.lit(salts)))
-    thinned = salted.dropDuplicatesWithinWatermark([*keys, "__salt"])
-    return thinned.dropDuplicatesWithinWatermark(keys).drop("__salt")
+    if salt_by:
+        salted = stream.withColumn("__salt", F.pmod(F.xxhash64(*salt_by), F.lit(salts)))
+        stream = salted.dropDuplicatesWithinWatermark([*keys, "__salt"]).drop("__salt")
+    return stream.dropDuplicatesWithinWatermark(keys)

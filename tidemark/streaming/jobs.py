@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators import alerts, asof, eligibility, fold, lookup, metrics
 from tidemark.sources.envelope import accepted, parse_changes, parse_redeems, rejected
+from tidemark.streaming import state
 from tidemark.streaming.io import SAMPLE_DELAY, read_batches, start_batches, write_batch
 
 
@@ -26,9 +27,36 @@ def materialize_changes(
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         events = parse_changes(batch, order)
-        fold.write_entries(accepted(events), path, batch_id, removal)
-        if rejects:
+        if not rejects:
+            fold.write_entries(accepted(events), path, batch_id, removal)
+            return
+        events = events.persist()  # parsed once for both
+        try:
+            fold.write_entries(accepted(events), path, batch_id, removal)
             write_batch(rejected(events), rejects, batch_id)
+        finally:
+            events.unpersist()
+
+    return start_batches(records, apply, checkpoint, continuous)
+
+
+def maintain_state(
+    records: DataFrame,
+    path: str,
+    checkpoint: str,
+    order: Column | str | None = None,
+    removal: str = "intended",
+    every: int = 6,
+    continuous: bool = False,
+) -> StreamingQuery:
+    """Change log, with all four operations, to a table of documents; ``state.current`` reads it.
+
+    ``every`` batches (a minute of the usual trigger) the stored version is renewed.
+    """
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        events = accepted(parse_changes(batch, order))
+        state.add_batch(batch.sparkSession, path, events, batch_id, every, removal)
 
     return start_batches(records, apply, checkpoint, continuous)
 
@@ -112,7 +140,7 @@ def join_versions(
         joined = asof.asof_join(batch, versions, keys, probe_time, version_time, **settings)
         write_batch(joined, path, batch_id)
 
-    return start_batches(probes, apply, checkpoint, continuous)
+    return start_batches(probes, apply, checkpoint, continuous, reused=True)
 
 
 def step_values(samples: DataFrame, step_seconds: int, delay: str = SAMPLE_DELAY) -> DataFrame:
@@ -187,7 +215,7 @@ def watch(
         write_batch(states.filter(is_open).withColumn("as_of", as_of), f"{path}/open", batch_id)
         write_batch(states.filter(F.col("state") == "resolved"), f"{path}/closed", batch_id)
 
-    return start_batches(vector, apply, checkpoint, continuous)
+    return start_batches(vector, apply, checkpoint, continuous, reused=True)
 
 
 def watched(spark, path: str) -> DataFrame:
