@@ -264,13 +264,17 @@ def offset_join(
     offset_seconds: int,
     ignoring: Sequence[str] = (),
     labels: str = "matched",
+    step_seconds: int | None = None,
 ) -> DataFrame:
     """``metric op ignoring(...) metric offset d``: keep samples that compare true.
 
     Matching is one-to-one on the labels that are not ignored; if two series
     fall together the job fails, as the expression would. The result carries
     those matched labels, or with ``labels='left'`` all labels of the left side.
+    An offset between two steps would match nothing; ``step_seconds`` checks it.
     """
+    if step_seconds and offset_seconds % step_seconds:
+        raise ValueError("the offset must be a multiple of the step")
     if labels not in ("matched", "left"):
         raise ValueError("labels must be 'matched' or 'left'")
     kept = F.map_filter("labels", lambda key, _: ~key.isin(*ignoring)) if ignoring else F.col("labels")

@@ -87,10 +87,10 @@ def reason_views(spark, folder):
         WHERE r.transaction_id IS NOT NULL""")
     return spark.sql(f"""
         SELECT transaction_id, keyword, start_period, end_period,
-          CASE WHEN start_period IS NULL OR end_period IS NULL THEN 'Missing keyword period'
-               WHEN timestamp '{AS_OF}' < timestamp_millis(start_period) THEN 'Keyword period not yet started'
-               WHEN timestamp '{AS_OF}' > timestamp_millis(end_period) THEN 'Keyword period expired'
-               ELSE 'ELIGIBLE' END AS reason
+          CASE WHEN start_period IS NULL OR end_period IS NULL THEN '{eligibility.MISSING}'
+               WHEN timestamp '{AS_OF}' < timestamp_millis(start_period) THEN '{eligibility.NOT_STARTED}'
+               WHEN timestamp '{AS_OF}' > timestamp_millis(end_period) THEN '{eligibility.EXPIRED}'
+               ELSE '{eligibility.ELIGIBLE}' END AS reason
         FROM redeem_period""")
 
 
@@ -161,9 +161,9 @@ _DOCS = """'"keyword":' || keyword_doc || ',"program":' || program_doc || ',"cus
 
 _REASON = f"""WITH {_OWN_KW}, {_OWN_R}
     SELECT transaction_id, keyword, start_period, end_period,
-      CASE WHEN start_period IS NULL OR end_period IS NULL THEN 'Missing keyword period'
-           WHEN epoch_ms(timestamp '{AS_OF}') < start_period THEN 'Keyword period not yet started'
-           WHEN epoch_ms(timestamp '{AS_OF}') > end_period THEN 'Keyword period expired' ELSE 'ELIGIBLE' END AS reason
+      CASE WHEN start_period IS NULL OR end_period IS NULL THEN '{eligibility.MISSING}'
+           WHEN epoch_ms(timestamp '{AS_OF}') < start_period THEN '{eligibility.NOT_STARTED}'
+           WHEN epoch_ms(timestamp '{AS_OF}') > end_period THEN '{eligibility.EXPIRED}' ELSE '{eligibility.ELIGIBLE}' END AS reason
     FROM r LEFT JOIN k ON r.keyword = k.name"""
 
 _PROBE = "(SELECT event_id AS probe_id, user_id, ts FROM events WHERE event_type = 'purchase')"

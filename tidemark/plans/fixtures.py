@@ -185,10 +185,10 @@ def partition_vector(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def event_samples(spark: SparkSession, folder: str) -> DataFrame:
-    """Events as samples, a series per type and tenth of the users."""
+    """Events as samples, a series per type and tenth of the users, labelled by half too."""
     return table(spark, folder, "events").selectExpr(
         "event_type AS metric",
-        "map('grp', cast(user_id % 10 AS string), 'empty', '') AS labels",
+        "map('grp', cast(user_id % 10 AS string), 'half', cast(user_id % 2 AS string), 'empty', '') AS labels",
         "round(value * 100) AS value",
         "cast(ts AS timestamp) AS ts",
     )

@@ -112,6 +112,15 @@ def stream_eligibility(spark, folder):
     )
 
 
+def stream_eligibility_keyed(spark, folder):
+    """The same as keyed messages, with the latency up to a fixed moment."""
+    records, base = _stream(spark, fixtures.redeem_log(spark, folder, names=None), "offset", "eligibility")
+    as_of, now = F.lit(enrich.AS_OF).cast("timestamp"), F.lit("2024-03-01 00:00:00").cast("timestamp")
+    keywords = lambda: fixtures.keywords(spark, folder, None)
+    io.finish(jobs.judge_redeems(records, keywords, f"{base}/out", f"{base}/cp", as_of, keyed=True, now=now))
+    return io.read_batches(spark, f"{base}/out")
+
+
 def stream_redeem_columns(spark, folder):
     """Stateless pipeline: parse, project, append."""
     records, base = _stream(spark, fixtures.redeem_log(spark, folder), "offset", "redeems")
@@ -146,10 +155,10 @@ def stream_steps(spark, folder):
 
 def stream_rules(spark, folder):
     steps, base = _samples(spark, folder)
-    rule = rules.metrics.RecordingRule("clicks", "click", ("grp",))
+    rule = rules.metrics.RecordingRule("clicks", "click", ("half",))
     io.finish(jobs.record_rules(steps, [rule], f"{base}/out", f"{base}/cp"))
     return io.read_batches(spark, f"{base}/out").select(
-        "record", F.col("labels")["grp"].alias("grp"), F.col("value").cast("bigint").alias("value"),
+        "record", F.col("labels")["half"].alias("half"), F.col("value").cast("bigint").alias("value"),
         F.unix_seconds("eval_ts").alias("eval_s"),
     )
 
@@ -193,6 +202,7 @@ QUERIES = {
     "stream_enrich": stream_enrich,
     "stream_dedup": stream_dedup,
     "stream_eligibility": stream_eligibility,
+    "stream_eligibility_keyed": stream_eligibility_keyed,
     "stream_redeem_columns": stream_redeem_columns,
     "stream_asof": stream_asof,
     "stream_step_values": stream_steps,
@@ -210,10 +220,18 @@ ORACLE = {
     "stream_enrich": enrich.ORACLE["lookup_message"],
     "stream_dedup": f"WITH {enrich._R} SELECT transaction_id, keyword FROM r",
     "stream_eligibility": enrich.ORACLE["eligibility_reason"],
+    "stream_eligibility_keyed": f"""WITH judged AS ({enrich.ORACLE["eligibility_reason"]})
+        SELECT '{{"transaction_id":"' || transaction_id || '"}}' AS key,
+          '{{"transaction_id":"' || transaction_id || '","keyword":"' || keyword || '","start_period":' ||
+          coalesce(cast(start_period AS varchar), 'null') || ',"end_period":' || coalesce(cast(end_period AS varchar), 'null') ||
+          ',"reason":"' || reason || '","latency_ms":' ||
+          cast(trunc((epoch_us(timestamp '2024-03-01') - epoch_us(o_orderdate)) / 1000) AS bigint) || '}}' AS value
+        FROM judged JOIN orders ON cast(o_orderkey AS varchar) = transaction_id""",
     "stream_redeem_columns": enrich.ORACLE["redeem_columns"],
     "stream_asof": enrich.ORACLE["asof_left"],
     "stream_step_values": f"WITH {_STEPS} SELECT metric, grp, value, eval_s FROM steps",
-    "stream_rules": f"""WITH {_STEPS} SELECT 'clicks' AS record, grp, value, eval_s FROM steps WHERE metric = 'click'""",
+    "stream_rules": f"""WITH {_STEPS} SELECT 'clicks' AS record, cast(cast(grp AS integer) % 2 AS varchar) AS half,
+        cast(sum(value) AS bigint) AS value, eval_s FROM steps WHERE metric = 'click' GROUP BY half, eval_s""",
     "stream_alerts": f"""WITH {_STEPS},
         low AS (SELECT grp, eval_s AS s, value FROM steps WHERE metric = 'click' AND value < 3000),
         runs AS ({rules._runs_sql("low", "grp")}),

@@ -55,12 +55,12 @@ def _all(frames: list[DataFrame]) -> DataFrame:
 
 def collect_logs(spark: SparkSession, jobs: Sequence[LogJob]) -> DataFrame:
     """Lines of all jobs: ``value, path, labels``."""
-    return _all([_labelled(spark.read.text(job.path), job) for job in jobs])
+    return _all([_labelled(spark.read.text(job.path, lineSep="\n"), job) for job in jobs])
 
 
 def stream_logs(spark: SparkSession, jobs: Sequence[LogJob]) -> DataFrame:
     """As a stream; which files were read is kept in the query's checkpoint."""
-    return _all([_labelled(spark.readStream.text(job.path), job) for job in jobs])
+    return _all([_labelled(spark.readStream.text(job.path, lineSep="\n"), job) for job in jobs])
 
 
 def keyed_lines(lines: DataFrame, separator: str = "|") -> DataFrame:

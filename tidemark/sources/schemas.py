@@ -48,7 +48,3 @@ REDEEM_EVENT = """
     keyword_priority string,
     _malformed string
 """
-
-CURRENT_STATE = "_id string, document string"
-SAMPLE = "metric string, labels map<string, string>, value double, ts timestamp"
-LOG_LINE = "value string, path string, labels map<string, string>"

@@ -104,14 +104,23 @@ def judge_redeems(
     checkpoint: str,
     as_of: Column | None = None,
     continuous: bool = False,
+    keyed: bool = False,
+    now: Column | None = None,
 ) -> StreamingQuery:
-    """Redeem records to eligibility rows with their latency, by the keywords of the moment."""
+    """Redeem records to eligibility rows with their latency, by the keywords of the moment.
+
+    ``keyed`` writes them as JSON key and value for an upsert sink. ``as_of`` is the moment of the
+    judgement and ``now`` that of the latency, both the clock's by default.
+    """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         redeems = lookup.redeem_periods(accepted(parse_redeems(batch)), read_keywords())
-        judged = eligibility.with_latency(eligibility.with_reason(redeems, as_of))
+        judged = eligibility.with_latency(eligibility.with_reason(redeems, as_of), now=now)
         columns = ["transaction_id", "keyword", "start_period", "end_period", "kafka_timestamp", "reason", "latency_ms"]
-        write_batch(judged.select(*columns), path, batch_id)
+        judged = judged.select(*columns)
+        if keyed:
+            judged = lookup.keyed_message(judged.drop("kafka_timestamp"), "transaction_id")
+        write_batch(judged, path, batch_id)
 
     return start_batches(records, apply, checkpoint, continuous)
 
