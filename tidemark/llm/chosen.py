@@ -9,11 +9,13 @@ similarity s stays together on s / least paths per step, which neither dies out
 multiplies. Trees are repeated independently; a pair at the threshold is missed by all of them with a probability
 below 1e-5 even four levels deep, and far less where nodes are small at once.
 
-In each node the least class is a pivot that every other one is compared with, so that a large group of near
-copies is joined by as many comparisons as it has members. Between classes not yet joined, a node is then compared
-exhaustively if that takes at most ``small`` comparisons per member, as in every node of up to ``small``; other nodes
-branch again, until none is left. Candidates pass exact length bounds and a 128-bit sketch (a true pair fails it once in a million),
-and what is left is confirmed on the complete sets. Links, labels and nodes stay in tables throughout.
+In each first node the least class is a pivot that the others are compared with, and in large nodes what this joins
+is compared through one class per label, so that a large group of near copies is joined by about as many
+comparisons as it has members. Between classes not yet joined, a node is then compared exhaustively if that takes at
+most ``small`` comparisons per member, as in every node of up to ``small``; other nodes branch again, until what is
+left of them all is no more than one comparison for each class. Candidates pass exact length bounds and a 128-bit
+sketch (a true pair fails it once in a million), and what is left is confirmed on the complete sets. Links, labels
+and nodes stay in tables throughout.
 
 Defined cases: null and blank texts have an empty set and are linked with nothing; fewer words than a shingle
 are one shingle; a null doc_id takes part and is never the smallest unless the component has no other; rows that
@@ -105,11 +107,11 @@ class Sets:
         self.docs, self.classes, self.shingle = docs, classes, shingle
         self.made: DataFrame | None = None
 
-    def need(self, ids: DataFrame) -> DataFrame:
+    def need(self, ids: DataFrame, parts: int) -> DataFrame:
         """id, shingles for at least these ids."""
         if self.made is not None:
             ids = ids.join(self.made.select("id"), "id", "left_anti")
-        wanted = scratch.keep(ids.distinct().join(self.classes.select("id", "text_code", "key"), "id"), "wanted")
+        wanted = scratch.keep(ids.distinct().join(self.classes.select("id", "text_code", "key"), "id"), "wanted", parts)
         text = F.col("text").cast("string")
         coded = self.docs.select(F.xxhash64(text).alias("text_code"), text.alias("text"))
         # One text per class: rows of a text are many, its set is made once per task.
@@ -132,12 +134,12 @@ class Sets:
 
         made = texts_of.select("text").mapInArrow(run, "key binary, shingles binary")
         made = made.join(wanted.select("id", "key"), "key").select("id", "shingles").dropDuplicates(["id"])
-        made = scratch.keep(made, "sets")
+        made = scratch.keep(made, "sets", parts)
         self.made = made if self.made is None else self.made.unionByName(made)
         return self.made
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, least: tuple[int, int]) -> DataFrame:
+def confirmed(pairs: DataFrame, sets: DataFrame, least: tuple[int, int], parts: int) -> DataFrame:
     """The pairs (a, b) whose complete sets are similar enough, kept."""
     top, bottom = least
 
@@ -158,37 +160,50 @@ def confirmed(pairs: DataFrame, sets: DataFrame, least: tuple[int, int]) -> Data
     wide = pairs.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b").join(
         sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a"
     )
-    return scratch.keep(wide.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "confirmed")
+    return scratch.keep(wide.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "confirmed", parts)
+
+
+def _differing(one: str, other: str) -> Column:
+    """Number of sketch bits in which two classes differ; ``one`` and ``other`` prefix their columns."""
+    parts = [F.bit_count(F.col(f"{one}bits{i}").bitwiseXOR(F.col(f"{other}bits{i}"))) for i in (0, 1)]
+    return parts[0] + parts[1]
 
 
 def _near(one: str, other: str) -> Column:
-    """Exact length bound and sketch; ``one`` and ``other`` prefix the columns n, bits0, bits1."""
-    differ = sum(
-        (F.bit_count(F.col(f"{one}bits{i}").bitwiseXOR(F.col(f"{other}bits{i}"))) for i in (0, 1)), F.lit(0)
-    )
+    """Exact length bound and sketch."""
     low, high = F.least(f"{one}n", f"{other}n"), F.greatest(f"{one}n", f"{other}n")
-    return (low * 4 >= high * 3) & (differ <= _DIFFER)
+    return (low * 4 >= high * 3) & (_differing(one, other) <= _DIFFER)
 
 
-def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
+    if labels is None:
+        return rows.withColumn("label", F.col("id"))
     return rows.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
 
 
-def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """Labels after more links between ids."""
-    ends = links
+def _joined(pairs: DataFrame, sets: Sets, labels: DataFrame | None, least: tuple[int, int]) -> DataFrame | None:
+    """Labels after those of the pairs (a, b) that the complete sets confirm."""
+    pairs = scratch.keep(pairs.distinct(), "pairs")
+    n = pairs.count()
+    if not n:
+        return labels
+    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
+    wide = 1 + n // 4000  # some 10 KB of sets a pair
+    links = confirmed(pairs, sets.need(ids, wide), least, wide)
+    if labels is None:
+        return scratch.keep(components.label(links), "labels")
     for name in ("a", "b"):
         known = labels.select(F.col("id").alias(name), F.col("label").alias("l"))
-        ends = ends.join(known, name, "left").withColumn(name, F.coalesce("l", name)).drop("l")
-    moved = components.label(ends)
+        links = links.join(known, name, "left").withColumn(name, F.coalesce("l", name)).drop("l")
+    moved = components.label(links)
     old = labels.join(moved.select(F.col("id").alias("label"), F.col("label").alias("to")), "label", "left")
     old = old.select("id", F.coalesce("to", "label").alias("label"))
-    return scratch.keep(old.unionByName(moved), "labels")
+    return scratch.keep(old.unionByName(moved), "labels", 1 + labels.count() // 250_000)
 
 
 def class_labels(docs: DataFrame, classes: DataFrame, shingle: int, trees: int, small: int) -> DataFrame:
     """(id, label) for classes joined with a smaller one."""
-    spark, least = docs.sparkSession, (3, 4)
+    least = (3, 4)
     draw = random.Random(7)
     expected = POSITIONS * least[0] / least[1]
     roots = []
@@ -196,57 +211,65 @@ def class_labels(docs: DataFrame, classes: DataFrame, shingle: int, trees: int,
         picked = [i for i in range(POSITIONS) if draw.random() < 1 / expected] or [draw.randrange(POSITIONS)]
         roots += [F.xxhash64(F.lit(tree), F.lit(i), F.get("values", F.lit(i))) for i in picked]
     carried = ["id", "n", "bits0", "bits1"]
+    other = [F.col(c).alias(f"p_{c}") for c in [*carried, "label"]]
+    pair = [F.least("p_id", "id").alias("a"), F.greatest("p_id", "id").alias("b")]
     rows = classes.select(F.explode(F.array(*roots)).alias("node"), *carried)
-    labels = spark.createDataFrame([], "id long, label long")
-    sets = Sets(docs, classes, shingle)
+    sets, n_classes = Sets(docs, classes, shingle), classes.count()
+
+    # Each class against the least pivot that may be near it.
+    nodes = rows.groupBy("node").agg(F.count("*").alias("size"), F.min(F.struct(*carried)).alias("pivot")).where("size > 1")
+    nodes = nodes.select("node", *[F.col(f"pivot.{c}").alias(f"p_{c}") for c in carried])
+    live = scratch.keep(rows.join(scratch.keep(nodes, "nodes"), "node"), "live")
+    near = live.where("id != p_id").where(_near("", "p_")).groupBy("id").agg(F.min("p_id").alias("p_id"))
+    labels = _joined(near.select(*pair), sets, None, least)
+
+    # What is not joined yet. A node is compared exhaustively if it has few enough pairs of different labels (every
+    # such pair has a member outside the node's most frequent label). In the others, members meet one class of each
+    # other label, or of the most frequent one where there are many, and the nearest pair of two labels is tried, which joins the parts of one large group; then
+    # they branch, until none is left.
+    rows = _labelled(live.select("node", *carried), labels)
+    found, parts = None, None
     while True:
-        pivot = F.min(F.struct(*carried))
-        nodes = rows.groupBy("node").agg(F.count("*").alias("size"), pivot.alias("pivot")).where("size > 1")
-        nodes = scratch.keep(nodes.select("node", "size", *[F.col(f"pivot.{c}").alias(f"p_{c}") for c in carried]), "nodes")
-        live = scratch.keep(rows.join(nodes, "node"), "live")
-
-        # Each class against the least pivot that may be near it.
-        one = _labelled(live.where("id != p_id").where(_near("", "p_")).groupBy("id").agg(F.min("p_id").alias("p_id")), labels)
-        other = labels.select(F.col("id").alias("p_id"), F.col("label").alias("p_label"))
-        pairs = one.join(other, "p_id", "left").where("label != coalesce(p_label, p_id)")
-        pairs = scratch.keep(pairs.select(F.col("p_id").alias("a"), F.col("id").alias("b")), "pairs")
-        labels = _joined(pairs, sets, labels, least)
-
-        # What is not joined yet. Nodes with few enough pairs of different labels are compared exhaustively:
-        # every such pair has a member outside the node's most frequent label.
-        mixed = _labelled(live.select("node", *carried), labels)
-        counted = mixed.groupBy("node", "label").agg(F.count("*").alias("c")).groupBy("node")
+        counted = rows.groupBy("node", "label").agg(F.count("*").alias("c")).groupBy("node")
         split = counted.agg(
-            F.sum("c").alias("size"), F.sum(F.col("c") * F.col("c")).alias("same"), F.max_by("label", "c").alias("main")
+            F.sum("c").alias("size"),
+            F.sum(F.col("c") * F.col("c")).alias("same"),
+            F.max_by("label", "c").alias("main"),
+            F.count("*").alias("k"),
         ).where("size * size > same")
-        split = split.select("node", "main", (F.expr("size * size - same") <= 2 * small * F.col("size")).alias("few"))
-        mixed = scratch.keep(mixed.join(scratch.keep(split, "split"), "node"), "mixed")
-        left = mixed.where("few AND label != main")
-        right = mixed.where("few").select("node", *[F.col(c).alias(f"p_{c}") for c in [*carried, "label"]])
-        pairs = left.join(right, "node").where("label != p_label").where(_near("", "p_"))
-        pairs = scratch.keep(pairs.select(F.least("p_id", "id").alias("a"), F.greatest("p_id", "id").alias("b")).distinct(), "pairs")
-        labels = _joined(pairs, sets, labels, least)
-
+        few = F.expr("size * size - same") <= 2 * small * F.col("size")
+        split = split.select("node", "main", "k", F.expr("size * size - same").alias("cross"), few.alias("few"))
+        split = scratch.keep(split, "split", parts)
+        left = split.where("NOT few").agg(F.sum("cross")).first()[0] or 0
+        if left <= 2 * n_classes:  # all that is left is no more than one comparison for each class
+            split = split.withColumn("few", F.lit(True))
+        mixed = scratch.keep(rows.join(split, "node"), "mixed", parts)
+        few = mixed.where("few")
+        pairs = few.where("label != main").join(few.select("node", *other), "node").where("label != p_label")
+        pairs = scratch.keep(pairs.where(_near("", "p_")).select(*pair).distinct(), "pairs", parts)
+        found = pairs if found is None else found.unionByName(pairs)
         large = mixed.where("NOT few")
         if large.isEmpty():
-            return labels
+            break
+        heads = large.where((F.col("k") <= small) | (F.col("label") == F.col("main"))).groupBy("node", "label").agg(F.min(F.struct(*carried)).alias("head"))
+        heads = scratch.keep(heads.select("node", "label", "head.*"), "heads", parts).select("node", *other)
+        tried = large.join(heads, "node").where("label != p_label").where(_near("", "p_"))
+        best = tried.groupBy(F.least("label", "p_label"), F.greatest("label", "p_label")).agg(
+            F.min_by(F.struct(*pair), _differing("", "p_")).alias("best")
+        )
+        labels = _joined(best.select("best.a", "best.b"), sets, labels, least)
+        large = _labelled(large.select("node", *carried), labels)
         picked = F.expr(
             f"""transform(filter(sequence(0, {POSITIONS - 1}), i -> pmod(xxhash64(node, i), 1000000) < {int(1e6 / expected)}),
                 i -> xxhash64(node, i, get(values, i)))"""
         )
-        rows = scratch.keep(
-            large.select("node", *carried)
-            .join(classes.select("id", "values"), "id")
-            .select(F.explode(picked).alias("node"), *carried),
-            "branches",
-        )
-
-
-def _joined(pairs: DataFrame, sets: Sets, labels: DataFrame, least: tuple[int, int]) -> DataFrame:
-    if pairs.isEmpty():
-        return labels
-    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
-    return _merged(labels, confirmed(pairs, sets.need(ids), least))
+        rows = large.join(classes.select("id", "values"), "id")
+        rows = scratch.keep(rows.select(F.explode(picked).alias("node"), *carried, "label"), "branches")
+        parts = 1 + rows.count() // 100_000
+    ends = _labelled(found.withColumnRenamed("a", "id"), labels).withColumnsRenamed({"id": "a", "label": "p_label"})
+    ends = _labelled(ends.withColumnRenamed("b", "id"), labels).withColumnRenamed("id", "b")
+    labels = _joined(ends.where("label != p_label").select("a", "b"), sets, labels, least)
+    return labels if labels is not None else classes.select("id", F.col("id").alias("label")).limit(0)
 
 
 def groups(docs: DataFrame, shingle: int = 5, trees: int = 24, small: int = 32) -> DataFrame:

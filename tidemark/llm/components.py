@@ -12,19 +12,19 @@ def _state(links: DataFrame) -> tuple:
     return tuple(links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
-def _hung(pairs: DataFrame, towards: str) -> DataFrame:
+def _hung(pairs: DataFrame, towards: str, parts: int) -> DataFrame:
     """Every neighbour v of u is linked to the least of u and its neighbours.
 
     The least is combined before the shuffle and joined back, so a node with very many links is split
     like any skewed join partition.
     """
-    least = scratch.keep(pairs.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")), "least")
+    least = scratch.keep(pairs.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")), "least", parts)
     hung = pairs.join(least, "u")
     out = hung.where("v > u") if towards == "larger" else hung
     out = out.select(F.col("v").alias("u"), F.col("m").alias("v"))
     if towards == "smaller":
         out = out.unionByName(least.select("u", F.col("m").alias("v")))
-    return scratch.keep(out.where("u > v").distinct(), "links")
+    return scratch.keep(out.where("u > v").distinct(), "links", parts)
 
 
 def label(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -39,9 +39,10 @@ def label(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         "links",
     )
     before = _state(now)
+    parts = 1 + before[0] // 250_000  # links never become more
     while before[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        now = _hung(_hung(both, "larger"), "smaller")
+        now = _hung(_hung(both, "larger", parts), "smaller", parts)
         after = _state(now)
         if after == before:
             break

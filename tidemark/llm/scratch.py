@@ -16,9 +16,13 @@ from tidemark import session
 _shipped: list[SparkContext] = []
 
 
-def keep(rows: DataFrame, label: str) -> DataFrame:
-    """Write rows once and read them back: a lost executor costs no recomputation."""
+def keep(rows: DataFrame, label: str, parts: int | None = None) -> DataFrame:
+    """Write rows once and read them back: a lost executor costs no recomputation.
+
+    ``parts`` is for results of a shuffle whose size is known: no more files than the rows need.
+    """
     path = session.scratch_dir(rows.sparkSession, label)
+    rows = rows if parts is None else rows.coalesce(parts)
     rows.write.option("compression", "zstd").parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
