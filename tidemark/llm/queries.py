@@ -64,9 +64,57 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op1_substring_dedup": r"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+                          regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+        places AS (SELECT r, doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM d WHERE len(ws) >= 13),
+        windows AS (SELECT r, doc_id, i, array_to_string(ws[i:i + 12], ' ') AS win FROM places),
+        earliest AS (SELECT win, min(doc_id) AS least FROM windows GROUP BY win),
+        gone AS (SELECT DISTINCT r, unnest(range(i, i + 13)) AS p FROM windows JOIN earliest USING (win) WHERE least < doc_id),
+        words AS (SELECT r, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS p FROM d),
+        kept AS (SELECT words.r, count(gone.p) AS n_removed,
+                        string_agg(word, ' ' ORDER BY words.p) FILTER (WHERE gone.p IS NULL) AS kept
+                 FROM words LEFT JOIN gone ON gone.r = words.r AND gone.p = words.p GROUP BY words.r)
+        SELECT doc_id, len(ws) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+        FROM d LEFT JOIN kept ON kept.r = d.r""",
     "op2_mix_sources": mix.report_sql(),
+    "op4_near_dedup": r"""
+        WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+        places AS (SELECT r, ws, least(5, len(ws)) AS n, unnest(range(1, len(ws) - least(5, len(ws)) + 2)) AS i
+                   FROM d WHERE len(ws) > 0),
+        sets AS (SELECT DISTINCT r, array_to_string(ws[i:i + n - 1], ' ') AS shingle FROM places),
+        sizes AS (SELECT r, count(*) AS n FROM sets GROUP BY r),
+        shared AS (SELECT x.r AS a, y.r AS b, count(*) AS c FROM sets x JOIN sets y ON x.shingle = y.shingle AND x.r <> y.r
+                   GROUP BY x.r, y.r),
+        links AS (SELECT a, b FROM shared JOIN sizes p ON p.r = a JOIN sizes q ON q.r = b WHERE 100 * c >= 75 * (p.n + q.n - c)),
+        reach AS (SELECT r, r AS other FROM d UNION SELECT reach.r, links.b FROM reach JOIN links ON links.a = reach.other)
+        SELECT d.doc_id, coalesce(any_value(sizes.n), 0) AS n_shingles, min(o.doc_id) AS component_id,
+               d.doc_id = min(o.doc_id) AS kept
+        FROM d JOIN reach ON reach.r = d.r JOIN d o ON o.r = reach.other LEFT JOIN sizes ON sizes.r = d.r
+        GROUP BY d.r, d.doc_id""",
     "op6_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+    "op8_decontaminate": r"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+                   FROM documents),
+        b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+              FROM benchmark),
+        item_places AS (SELECT item_id, ws, least(10, len(ws)) AS n, unnest(range(1, len(ws) - least(10, len(ws)) + 2)) AS i
+                        FROM b WHERE len(ws) > 0),
+        item_windows AS (SELECT DISTINCT item_id, n, array_to_string(ws[i:i + n - 1], ' ') AS win FROM item_places),
+        places AS (SELECT r, ws, n, unnest(range(1, len(ws) - n + 2)) AS i
+                   FROM d, (SELECT DISTINCT n FROM item_windows) WHERE len(ws) >= n),
+        hits AS (SELECT r, i, w.n, item_id FROM (SELECT r, i, n, array_to_string(ws[i:i + n - 1], ' ') AS win FROM places) p
+                 JOIN item_windows w ON w.n = p.n AND w.win = p.win),
+        covered AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM hits) GROUP BY r),
+        listed AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+                   FROM (SELECT DISTINCT r, item_id::VARCHAR AS item FROM hits WHERE item_id IS NOT NULL) GROUP BY r)
+        SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN covered ON covered.r = d.r LEFT JOIN listed ON listed.r = d.r""",
 }
