@@ -14,6 +14,7 @@ other columns are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -26,7 +27,7 @@ from tidemark.functions.once import with_once
 class Kind:
     name: str
     pattern: str  # no capturing groups
-    check: object  # match -> condition
+    check: Callable[[Column], Column]  # match -> condition
     score: float
     context: str  # words that raise the score when near
     needs: str = ""  # a character that every match holds
@@ -123,15 +124,12 @@ def _spans(kind: Kind, matches: Column, gaps: Column, least_score: float) -> Col
     )
     # Prefix sums by doubling the reach: log2(n) passes over the array.
     levels = F.ceil(F.log2(F.size(matches) + F.lit(1.0))).cast("int")
-    ends = F.aggregate(
-        F.sequence(F.lit(0), levels),
-        ends,
-        lambda sums, level: F.transform(
-            sums,
-            lambda value, i: value
-            + F.when(i >= F.expr("1") * F.pow(F.lit(2), level).cast("int"), F.get(sums, i - F.pow(F.lit(2), level).cast("int"))).otherwise(0),
-        ),
-    )
+
+    def doubled(sums: Column, level: Column) -> Column:
+        reach = F.pow(F.lit(2), level).cast("int")
+        return F.transform(sums, lambda value, i: value + F.when(i >= reach, F.get(sums, i - reach)).otherwise(0))
+
+    ends = F.aggregate(F.sequence(F.lit(0), levels), ends, doubled)
     near = rf"(?i)(?<![A-Za-z])(?:{kind.context})(?![A-Za-z])"
 
     def span(end: Column, i: Column) -> Column:
