@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import chosen, decon, langid, mix, rans, scratch
 
 #: A text is kept if at least this share of its n-grams, less what chance explains, is of one language.
-LEAST_SCORE = 0.2
+LEAST_SCORE = 0.1
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
