@@ -90,3 +90,10 @@ def test_words_of_texts():
 
 def test_empty(spark):
     assert superkmer.report(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_kept_text(spark):
+    data = [(1, "a b c d e f g h i j k l m n"), (2, "x  a b c d e f g h i j k l m\ty z"), (3, None)]
+    docs = spark.createDataFrame([(d, t, "", "") for d, t in data], DOCS)
+    got = {r.doc_id: r.kept_text for r in superkmer.remove_repeats(docs).collect()}
+    assert got == {1: data[0][1], 2: "x y z", 3: ""}

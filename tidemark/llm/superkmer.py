@@ -80,7 +80,7 @@ def heavy_minimisers(docs: DataFrame, size: int, gram: int, share: float) -> tup
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, n, size_of = [], 0, 0
-        for _, data, offsets in texts.chunks(batches, 0):
+        for _, data, offsets in texts.chunks(batches, 0, 1 << 20):
             starts, ends, _, _, window, windows, least = _super_kmers(data, offsets, size, gram)
             if len(window):
                 size_of += int((ends[window + windows + size - 2] - starts[window]).sum())
@@ -115,6 +115,7 @@ class _Packer:
         self.held = 0
         self.entries: dict[bytes, list] = {}  # content -> bucket, doc_id, then (text_code, first word) pairs
         self.ranges: list[tuple] = []
+        self.rows: set[tuple] = set()
 
     def add(self, content: bytes, bucket: int, doc_id: int, text_code: int, word: int, windows: int, size: int) -> None:
         entry = self.entries.get(content)
@@ -135,17 +136,17 @@ class _Packer:
         by: dict[int, list] = {}
         for content, entry in self.entries.items():
             by.setdefault(entry[0], []).append((content, entry))
-        squeeze = zstandard.ZstdCompressor(level=3)
         out: list[tuple[int, bytes]] = []
         for bucket, members in by.items():
-            members.sort(key=lambda member: member[0])  # neighbours share words: packs better
+            members.sort(key=lambda member: (member[1][2], member[1][4]))  # by document and place: packs better
             text = b"\n".join(content for content, _ in members)
-            lengths = [len(entry) for _, entry in members]
-            numbers = np.array([x for _, entry in members for x in entry[1:]], np.int64)
-            out.append((bucket, _pack(squeeze, 0, text, np.array(lengths, np.int64), numbers)))
+            heads = np.array([(windows, len(rest) // 2, doc_id) for _, (_, windows, doc_id, *rest) in members], np.int64)
+            heads[1:, 2] = np.diff(heads[:, 2])
+            places = np.array([x for _, entry in members for x in entry[3:]], np.int64).reshape(-1, 2)
+            out.append((bucket, _pack(0, heads, places, text)))
         for start in range(0, len(self.ranges), 50_000):
-            numbers = np.array(self.ranges[start : start + 50_000], np.int64).ravel()
-            out.append((start // 50_000 % self.buckets, _pack(squeeze, 1, b"", np.zeros(0, np.int64), numbers)))
+            ranges = np.array(self.ranges[start : start + 50_000], np.int64)
+            out.append((start // 50_000 % self.buckets, _pack(1, np.zeros((0, 3), np.int64), ranges, b"")))
         self.clear()
         for start in range(0, len(out), 64):
             some = out[start : start + 64]
@@ -154,17 +155,25 @@ class _Packer:
             )
 
 
-def _pack(squeeze: zstandard.ZstdCompressor, kind: int, text: bytes, lengths: np.ndarray, numbers: np.ndarray) -> bytes:
-    head = np.array([kind, len(text), len(lengths), len(numbers)], np.int64).tobytes()
-    return squeeze.compress(head + lengths.tobytes() + numbers.tobytes() + text)
+def _pack(kind: int, heads: np.ndarray, places: np.ndarray, text: bytes) -> bytes:
+    """Numbers column by column and byte by byte of equal rank, then text, compressed."""
+    numbers = [np.ascontiguousarray(column).view(np.uint8).reshape(-1, 8).T.tobytes() for x in (heads, places) for column in x.T]
+    head = np.array([kind, len(heads), places.shape[1], len(places)], np.int64).tobytes()
+    return zstandard.ZstdCompressor(level=9).compress(b"".join([head, *numbers, text]))
 
 
-def _unpack(blob: bytes) -> tuple[int, bytes, np.ndarray, np.ndarray]:
-    raw = zstandard.ZstdDecompressor().decompress(blob)
-    kind, n_text, n_lengths, n_numbers = np.frombuffer(raw, np.int64, 4).tolist()
-    lengths = np.frombuffer(raw, np.int64, n_lengths, 32)
-    numbers = np.frombuffer(raw, np.int64, n_numbers, 32 + 8 * n_lengths)
-    return kind, raw[len(raw) - n_text :], lengths, numbers
+def _unpack(blob: bytes) -> tuple[int, np.ndarray, np.ndarray, bytes]:
+    raw, at = zstandard.ZstdDecompressor().decompress(blob), 32
+    kind, n_heads, width, n_places = np.frombuffer(raw, np.int64, 4).tolist()
+
+    def columns(n: int, count: int) -> np.ndarray:
+        nonlocal at
+        planes = np.frombuffer(raw, np.uint8, 8 * n * count, at).reshape(count, 8, n)
+        at += planes.nbytes
+        return np.ascontiguousarray(planes.transpose(2, 0, 1)).view(np.int64).reshape(n, count)
+
+    heads, places = columns(n_heads, 3), columns(n_places, width)
+    return kind, heads, places, raw[at:]
 
 
 def _packed(docs: DataFrame, size: int, gram: int, buckets: int, hot: list[int], flush: int) -> DataFrame:
@@ -172,7 +181,7 @@ def _packed(docs: DataFrame, size: int, gram: int, buckets: int, hot: list[int],
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = _Packer(buckets, flush)
-        for rows, data, offsets in texts.chunks(batches, 2):
+        for rows, data, offsets in texts.chunks(batches, 2, 1 << 20):
             starts, ends, first, owner, window, windows, least = _super_kmers(data, offsets, size, gram)
             if len(heavy) and len(least):
                 place = np.minimum(np.searchsorted(heavy, least), len(heavy) - 1)
@@ -188,6 +197,10 @@ def _packed(docs: DataFrame, size: int, gram: int, buckets: int, hot: list[int],
             if not len(window):
                 continue
             ids, codes = rows.column(0).to_pylist(), rows.column(1).to_pylist()
+            for i, row in enumerate(zip(ids, codes, strict=True)):
+                if row in packer.rows:  # the same id and text again has the same ranges
+                    ids[i] = None
+                packer.rows.add(row)
             raw, last = _BLANK[data].tobytes(), window + windows + size - 2
             # Words that are more than one blank apart must be brought to one.
             apart = np.concatenate([[0, 0], np.cumsum(starts[1:] - ends[:-1] > 1)])
@@ -219,14 +232,15 @@ def _repeats(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Record
     entries: dict[bytes, list] = {}
     for batch in batches:
         for blob in batch.column("blob").to_pylist():
-            kind, text, lengths, numbers = _unpack(blob)
+            kind, heads, numbers, text = _unpack(blob)
             if kind == 1:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in numbers.reshape(-1, 4).T], schema=_RANGE)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in numbers.T], schema=_RANGE)
                 continue
-            at, flat, found = 0, numbers.tolist(), []
-            for content, length in zip(text.split(b"\n"), lengths.tolist(), strict=True):
-                windows, doc_id, *places = flat[at : at + length - 1]
-                at += length - 1
+            at, flat, found = 0, numbers.ravel().tolist(), []
+            columns = (heads[:, 0].tolist(), heads[:, 1].tolist(), np.cumsum(heads[:, 2]).tolist())
+            for content, windows, n, doc_id in zip(text.split(b"\n"), *columns, strict=True):
+                places = flat[at : at + 2 * n]
+                at += 2 * n
                 entry = entries.get(content)
                 if entry is None:
                     entries[content] = [windows, doc_id, *places]
@@ -295,7 +309,7 @@ def _sorted_windows(entries: dict[bytes, list], size: int) -> Iterator[pa.Record
 
 
 def repeated_ranges(
-    docs: DataFrame, size: int = 13, gram: int = 4, bucket_bytes: int = 16 << 20, flush: int = 64 << 20
+    docs: DataFrame, size: int = 13, gram: int = 3, bucket_bytes: int = 16 << 20, flush: int = 40 << 20
 ) -> DataFrame:
     """doc_id, text_code, low, high: word ranges to remove; ranges of one text may overlap.
 
@@ -314,49 +328,59 @@ def repeated_ranges(
     return dealt.applyInArrow(run, "doc_id long, text_code long, low long, high long")
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, n_words, n_removed, text of (doc_id, text, ranges)."""
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Overlapping and touching ranges of a text as one: low, high, low, high ... in ascending order."""
+    for batch in batches:
+        spans = []
+        for ranges in batch.column(2):
+            values = ranges.values
+            low, high = values.field(0).to_numpy(), values.field(1).to_numpy()
+            order = np.argsort(low, kind="stable")
+            low, reach = low[order], np.maximum.accumulate(high[order])
+            new = np.flatnonzero(np.append(True, low[1:] > reach[:-1]))
+            spans.append(np.stack([low[new], reach[np.append(new[1:], len(low)) - 1]], axis=1).ravel())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array(spans, pa.list_(pa.int64()))], ["doc_id", "text_code", "spans"]
+        )
+
+
+def _cut(batches: Iterator[pa.RecordBatch], with_text: bool) -> Iterator[pa.RecordBatch]:
+    """doc_id, n_words, n_removed, digest and, if asked for, text of (doc_id, text, spans)."""
+    names = ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"]
     for batch in batches:
         for start in range(0, batch.num_rows, 500):
             part = batch.slice(start, 500)
             n_words, n_removed, kept = [], [], []
-            for text, ranges in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
+            for text, spans in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
                 words = (text or "").encode().split()
                 n_words.append(len(words))
-                if ranges:
-                    stay = np.ones(len(words), bool)
-                    for span in ranges:
-                        stay[span["low"] : span["high"]] = False
-                    words = [words[i] for i in np.flatnonzero(stay).tolist()]
+                if spans:
+                    edges = [0, *spans, len(words)]
+                    words = [word for i in range(0, len(edges), 2) for word in words[edges[i] : edges[i + 1]]]
                 n_removed.append(n_words[-1] - len(words))
                 kept.append(b" ".join(words))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part.column(0),
-                    pa.array(n_words, pa.int64()),
-                    pa.array(n_removed, pa.int64()),
-                    pa.array([hashlib.sha256(text).hexdigest() for text in kept], pa.string()),
-                    pa.array([text.decode() for text in kept], pa.string()),
-                ],
-                ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"],
-            )
-
-
-def remove_repeats(docs: DataFrame, **how) -> DataFrame:
-    """doc_id, n_words, n_removed, kept_sha256, kept_text for every row."""
-    ranges = repeated_ranges(docs, **how)
-    spans = F.array_sort(F.collect_set(F.struct("low", "high"))).alias("spans")
-    by_text = scratch.keep(ranges.groupBy("doc_id", "text_code").agg(spans), "ranges")
+            columns = [
+                part.column(0),
+                pa.array(n_words, pa.int64()),
+                pa.array(n_removed, pa.int64()),
+                pa.array([hashlib.sha256(text).hexdigest() for text in kept], pa.string()),
+            ]
+            if with_text:
+                columns.append(pa.array([text.decode() for text in kept], pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, names[: len(columns)])
+
+
+def remove_repeats(docs: DataFrame, with_text: bool = True, **how) -> DataFrame:
+    """doc_id, n_words, n_removed, kept_sha256 and kept_text for every row."""
+    by_text = repeated_ranges(docs, **how).groupBy("doc_id", "text_code").agg(F.collect_list(F.struct("low", "high")).alias("r"))
+    by_text = scratch.keep(by_text.mapInArrow(_merged, "doc_id long, text_code long, spans array<long>"), "ranges")
     text = F.col("text").cast("string")
     own = docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("text_code"), text.alias("text"))
-    # Ranges are a small part of the texts; while few enough, they go to the texts and not the other way round.
-    few = by_text.agg(F.count("*"), F.sum(F.size("spans"))).first()
-    small = few[0] <= 500_000 and (few[1] or 0) <= 2_000_000
-    joined = own.join(F.broadcast(by_text) if small else by_text, ["doc_id", "text_code"], "left")
-    schema = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
-    return joined.select("doc_id", "text", "spans").mapInArrow(_cut, schema)
+    joined = own.join(by_text, ["doc_id", "text_code"], "left").select("doc_id", "text", "spans")
+    schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text
+    return joined.mapInArrow(lambda batches: _cut(batches, with_text), schema)
 
 
 def report(docs: DataFrame, **how) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256."""
-    return remove_repeats(docs, **how).drop("kept_text")
+    return remove_repeats(docs, with_text=False, **how)
