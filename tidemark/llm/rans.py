@@ -25,6 +25,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from typing import ClassVar
 
 import numpy as np
 import pyarrow as pa
@@ -49,53 +50,89 @@ class PieceEncoder:
     """Ids of texts by the tokenizers library, remembering those of words.
 
     A byte-level pre-tokenizer always begins a new piece at a space that is followed by a visible
-    character, and pieces are coded apart, so " word" has the same ids wherever it stands. Texts with an
-    added token in them are coded whole.
+    character, and pieces are coded apart, so " word" has the same ids wherever it stands. New words are
+    coded together in one text, and told apart by the ids that begin with a space. Texts with an added token in
+    them are coded whole. At most twice ``most_words`` words are remembered; those not used for long go.
     """
 
     _BREAK = re.compile(r" (?=[!-~\w])")
     _ODD = re.compile(r" (?![!-~\w])")
+    _of: ClassVar[dict[str, PieceEncoder]] = {}
 
-    def __init__(self, path: str, most_words: int = 400_000, longest: int = 48):
+    def __init__(self, path: str, most_words: int = 300_000, longest: int = 48):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.most_words, self.longest = most_words, longest
-        vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.kind = np.dtype("<u2" if vocabulary <= 1 << 16 else "<u4")
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.kind = np.dtype("<u2" if max(vocabulary.values()) < 1 << 16 else "<u4")
         self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self.heads = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.heads[[i for piece, i in vocabulary.items() if piece.startswith("\u0120")]] = True
         self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.end = np.zeros(1, self.kind).tobytes()
 
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
-
-    def word(self, word: str) -> bytes:
-        ids = self.whole(" " + word)
-        if len(word) <= self.longest:
-            if len(self.words) >= self.most_words:
-                self.words.clear()
-            self.words[word] = ids
-        return ids
-
-    def encode(self, text: str) -> bytes:
-        if any(token in text for token in self.added):
-            return self.whole(text)
-        first, *rest = self._BREAK.split(text) if self._ODD.search(text) else text.split(" ")
-        known, word = self.words.get, self.word
-        return b"".join([self.whole(first) if first else b"", *[known(part) or word(part) for part in rest]])
+    @classmethod
+    def of(cls, path: str) -> PieceEncoder:
+        """The encoder of this Python worker, which outlives a task."""
+        if path not in cls._of:
+            cls._of[path] = cls(path)
+        return cls._of[path]
+
+    def ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind)
+
+    def _new_words(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words, none of which was remembered lately."""
+        found = {word: self.older[word] for word in words if word in self.older}
+        left = [word for word in words if word not in found and " " not in word]
+        for start in range(0, len(left), 500):
+            some = left[start : start + 500]
+            ids = self.ids(" " + " ".join(some))
+            at = np.flatnonzero(self.heads[ids])
+            if len(at) == len(some):
+                pieces = np.split(ids, at[1:])
+                found.update(zip(some, [piece.tobytes() for piece in pieces], strict=True))
+        for word in words:
+            if word not in found:
+                found[word] = self.ids(" " + word).tobytes()
+        if len(self.words) + len(found) > self.most_words:
+            self.older, self.words = self.words, {}
+        self.words.update((word, ids) for word, ids in found.items() if len(word) <= self.longest)
+        return found
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text, as bytes."""
+        out: list = [b""] * len(texts)
+        known, waiting = self.words.get, []
+        for i, text in enumerate(texts):
+            if any(token in text for token in self.added):
+                out[i] = self.ids(text).tobytes()
+                continue
+            first, *rest = self._BREAK.split(text) if self._ODD.search(text) else text.split(" ")
+            ids = [self.ids(first).tobytes() if first else b"", *map(known, rest)]
+            if None in ids:
+                waiting.append((i, rest, ids))
+            else:
+                out[i] = b"".join(ids)
+        new = dict.fromkeys(word for _, rest, ids in waiting for word, have in zip(rest, ids[1:], strict=True) if have is None)
+        found = self._new_words(list(new))
+        for i, rest, ids in waiting:
+            out[i] = b"".join([ids[0], *[found[w] if have is None else have for w, have in zip(rest, ids[1:], strict=True)]])
+        return out
 
 
 def tokens(docs: DataFrame, tokenizer: str) -> DataFrame:
     """doc_id, ids (with the end id), n_tokens, crc, row: one per document, in the shared folder."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, place = PieceEncoder(tokenizer), TaskContext.get().partitionId() << 33
+        encoder, place = PieceEncoder.of(tokenizer), TaskContext.get().partitionId() << 33
         for batch in batches:
             for start in range(0, batch.num_rows, 500):
                 part = batch.slice(start, 500)
-                ids = [encoder.encode(text or "") + encoder.end for text in part.column(1).to_pylist()]
+                ids = [x + encoder.end for x in encoder.encode([text or "" for text in part.column(1).to_pylist()])]
                 wide = [np.frombuffer(x, encoder.kind).astype("<u4") for x in ids]
                 yield pa.RecordBatch.from_arrays(
                     [
