@@ -51,12 +51,15 @@ class PieceEncoder:
 
     A byte-level pre-tokenizer always begins a new piece at a space that is followed by a visible
     character, and pieces are coded apart, so " word" has the same ids wherever it stands. New words are
-    coded together in one text, and told apart by the ids that begin with a space. Texts with an added token in
+    coded together in one text, and told apart by the ids that begin with a space; punctuation after
+    a word is coded apart from it. Texts with an added token in
     them are coded whole. At most twice ``most_words`` words are remembered; those not used for long go.
     """
 
     _BREAK = re.compile(r" (?=[!-~\w])")
     _ODD = re.compile(r" (?![!-~\w])")
+    # Latin letters before an ASCII character that is none: a piece always ends there.
+    _LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ɏ]+(?=[\n!-@\[-`{-~])")
     _of: ClassVar[dict[str, PieceEncoder]] = {}
 
     def __init__(self, path: str, most_words: int = 300_000, longest: int = 48):
@@ -72,6 +75,7 @@ class PieceEncoder:
         self.heads[[i for piece, i in vocabulary.items() if piece.startswith("\u0120")]] = True
         self.words: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
         self.end = np.zeros(1, self.kind).tobytes()
 
     @classmethod
@@ -84,10 +88,26 @@ class PieceEncoder:
     def ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind)
 
+    def _tail(self, tail: str) -> bytes:
+        if tail not in self.tails:
+            if len(self.tails) >= self.most_words:
+                self.tails.clear()
+            self.tails[tail] = self.ids(tail).tobytes()
+        return self.tails[tail]
+
     def _new_words(self, words: list[str]) -> dict[str, bytes]:
         """Ids of words, none of which was remembered lately."""
-        found = {word: self.older[word] for word in words if word in self.older}
-        left = [word for word in words if word not in found and " " not in word]
+        found, split, single = {}, [], []
+        for word in words:
+            if word in self.older:
+                found[word] = self.older[word]
+            elif head := self._LETTERS.match(word):
+                split.append((word, head.group(), word[head.end() :]))
+            else:
+                single.append(word)
+        known = {head: self.words.get(head) or self.older.get(head) or found.get(head) for _, head, _ in split}
+        new = dict.fromkeys([*single, *[head for head, ids in known.items() if ids is None]])
+        left = [word for word in new if " " not in word]
         for start in range(0, len(left), 500):
             some = left[start : start + 500]
             ids = self.ids(" " + " ".join(some))
@@ -95,9 +115,11 @@ class PieceEncoder:
             if len(at) == len(some):
                 pieces = np.split(ids, at[1:])
                 found.update(zip(some, [piece.tobytes() for piece in pieces], strict=True))
-        for word in words:
+        for word in new:
             if word not in found:
                 found[word] = self.ids(" " + word).tobytes()
+        for word, head, tail in split:
+            found[word] = (known[head] or found[head]) + self._tail(tail)
         if len(self.words) + len(found) > self.most_words:
             self.older, self.words = self.words, {}
         self.words.update((word, ids) for word, ids in found.items() if len(word) <= self.longest)
