@@ -1,3 +1,4 @@
+import math
 import random
 from collections import defaultdict
 
@@ -76,6 +77,46 @@ def test_equals_brute_force(spark, seed, small):
     ]
 
 
+def family(seed, members, twins):
+    """Texts that are alike at about 0.70, all with each other, and some pairs of them at 0.75 to 0.80."""
+    draw = random.Random(seed)
+    base = [f"w{i}" for i in range(1000)]
+
+    def edited(words, edits):
+        words = list(words)
+        for place in draw.sample(range(len(words)), edits):
+            words[place] = f"e{draw.randrange(1 << 40)}"
+        return words
+
+    data = []
+    for i in range(members):
+        own = edited(base, 5)  # what a twin has too
+        for k in range(2 if i < twins else 1):
+            data.append((10 * i + k, " ".join(edited(own, 13)), "x", None, "y"))
+    return data
+
+
+def test_links_in_a_dense_family(spark):
+    data = family(5, 220, 20)
+    want, _ = brute(data)
+    joined = sum(not kept for *_, kept in want)
+    assert 15 <= joined <= 60  # the twins, and few others by chance
+    rows = chosen.report(spark.createDataFrame(data, DOCS).repartition(3), small=2).collect()
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id), r.kept) for r in rows) == want
+
+
+def test_recall_of_the_followed_trees_at_any_depth():
+    draw = random.Random(7)
+    n = chosen.POSITIONS
+    first = [sum(draw.random() < 1 / (n * 0.75) for _ in range(n)) or draw.randrange(n) * 0 + 1 for _ in range(12)]
+    missed = 0.0
+    for agree in range(n + 1):
+        f = agree / n
+        lost = (1 - f) / f if f > 0.5 else 1.0
+        missed += math.comb(n, agree) * 0.75**agree * 0.25 ** (n - agree) * lost ** sum(first)
+    assert missed < 1e-5
+
+
 def test_one_of_each_group_stays(spark):
     data = corpus(3)
     docs = spark.createDataFrame(data, DOCS)

@@ -3,17 +3,19 @@
 A document is its set of distinct shingles (``shingle`` consecutive lower-cased words). Texts of one set are one
 class; classes are linked where the sets' Jaccard similarity reaches ``least`` (a fraction, compared in integers).
 
-Every class has ``POSITIONS`` minwise values. A tree starts with all classes in one node; each node picks
-positions at random, about one in least * POSITIONS, and its classes branch by their value there. So a pair of
-similarity s stays together on s / least paths per step, which neither dies out below ``least`` nor
-multiplies. Trees are repeated independently; a pair at the threshold is missed by all of them with a probability
-below 1e-5 even four levels deep, and far less where nodes are small at once.
+Every class has ``POSITIONS`` minwise values. A tree starts with all classes in one node, which picks about one in
+least * POSITIONS positions at random, and its classes branch by their value there; every later node picks two. So a
+pair that agrees in a share f of the positions is lost below a first node with a probability of at most (1 - f)^2 / f^2,
+and by a tree of one first position with at most (1 - f) / f, at any depth. Trees are repeated independently.
 
 In each first node the least class is a pivot that the others are compared with, and in large nodes what this joins
 is compared through one class per label, so that a large group of near copies is joined by about as many
 comparisons as it has members. Between classes not yet joined, a node is then compared exhaustively if that takes at
-most ``small`` comparisons per member, as in every node of up to ``small``; other nodes branch again, until what is
-left of them all is no more than one comparison for each class. Candidates pass exact length bounds and a 128-bit
+most ``small`` comparisons per member, as in every node of up to ``small``. Larger nodes are followed in the first
+``deep`` trees only (which alone miss a pair at the threshold with about 1e-6): they branch again if their branches
+together have clearly fewer pairs, and are compared exhaustively, in blocks, if not, as in a dense family; so pairs
+become fewer with each step, and no node is left out. When all that is left is no more than one comparison for each
+class, it is compared at once. Candidates pass exact length bounds and a 128-bit
 sketch (a true pair fails it once in a million), and what is left is confirmed on the complete sets. Links, labels
 and nodes stay in tables throughout.
 
@@ -39,6 +41,10 @@ POSITIONS = 128
 _FACTORS = np.random.Generator(np.random.PCG64(4)).integers(0, 1 << 63, POSITIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 #: Sketch bits in which a pair may differ: 128 * (1 - 0.75) / 2 is expected at the threshold, plus five deviations.
 _DIFFER = 35
+#: Members of a node that one task compares with all others.
+_BLOCK = 2048
+#: A node branches again if its branches have at most this share of its pairs.
+_FEWER = 0.9
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> list[np.ndarray]:
@@ -201,7 +207,27 @@ def _joined(pairs: DataFrame, sets: Sets, labels: DataFrame | None, least: tuple
     return scratch.keep(old.unionByName(moved), "labels", 1 + labels.count() // 250_000)
 
 
-def class_labels(docs: DataFrame, classes: DataFrame, shingle: int, trees: int, small: int) -> DataFrame:
+def _crossing(rows: DataFrame, *by: str) -> DataFrame:
+    """Per node the number of ordered pairs of different labels, where there are any."""
+    counted = rows.groupBy(*by, "label").agg(F.count("*").alias("c")).groupBy(*by)
+    split = counted.agg(
+        F.sum("c").alias("size"),
+        F.sum(F.col("c") * F.col("c")).alias("same"),
+        F.max_by("label", "c").alias("main"),
+        F.count("*").alias("k"),
+    ).where("size * size > same")
+    return split.select(*by, "size", "main", "k", F.expr("size * size - same").alias("cross"))
+
+
+def _compared(rows: DataFrame, pair: list[Column], other: list[Column]) -> DataFrame:
+    """Near pairs of different labels among all members of each node (with its size and main label)."""
+    blocks = F.ceil(F.col("size") / _BLOCK)
+    left = rows.where("label != main").withColumn("block", F.pmod(F.xxhash64("id"), blocks))
+    right = rows.select("node", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("block"), *other)
+    return left.join(right, ["node", "block"]).where("label != p_label").where(_near("", "p_")).select(*pair).distinct()
+
+
+def class_labels(docs: DataFrame, classes: DataFrame, shingle: int, trees: int, small: int, deep: int) -> DataFrame:
     """(id, label) for classes joined with a smaller one."""
     least = (3, 4)
     draw = random.Random(7)
@@ -209,11 +235,12 @@ def class_labels(docs: DataFrame, classes: DataFrame, shingle: int, trees: int,
     roots = []
     for tree in range(trees):
         picked = [i for i in range(POSITIONS) if draw.random() < 1 / expected] or [draw.randrange(POSITIONS)]
-        roots += [F.xxhash64(F.lit(tree), F.lit(i), F.get("values", F.lit(i))) for i in picked]
+        nodes = [F.xxhash64(F.lit(tree), F.lit(i), F.get("values", F.lit(i))) for i in picked]
+        roots += [F.struct(node.alias("node"), F.lit(tree < deep).alias("deep")) for node in nodes]
     carried = ["id", "n", "bits0", "bits1"]
     other = [F.col(c).alias(f"p_{c}") for c in [*carried, "label"]]
     pair = [F.least("p_id", "id").alias("a"), F.greatest("p_id", "id").alias("b")]
-    rows = classes.select(F.explode(F.array(*roots)).alias("node"), *carried)
+    rows = classes.select(F.explode(F.array(*roots)).alias("root"), *carried).select("root.*", *carried)
     sets, n_classes = Sets(docs, classes, shingle), classes.count()
 
     # Each class against the least pivot that may be near it.
@@ -225,28 +252,22 @@ def class_labels(docs: DataFrame, classes: DataFrame, shingle: int, trees: int,
 
     # What is not joined yet. A node is compared exhaustively if it has few enough pairs of different labels (every
     # such pair has a member outside the node's most frequent label). In the others, members meet one class of each
-    # other label, or of the most frequent one where there are many, and the nearest pair of two labels is tried, which joins the parts of one large group; then
-    # they branch, until none is left.
-    rows = _labelled(live.select("node", *carried), labels)
+    # other label, or of the most frequent one where there are many, and the nearest pair of two labels is tried, which
+    # joins the parts of one large group; then they branch, or are compared too if that makes no fewer pairs.
+    first, second = (F.xxhash64("node", F.lit(i)) for i in (0, 1))
+    first = F.pmod(first, F.lit(POSITIONS)).cast("int")
+    second = F.pmod(first + 1 + F.pmod(second, F.lit(POSITIONS - 1)), F.lit(POSITIONS)).cast("int")  # another one
+    picked = F.array(*[F.xxhash64("node", i, F.get("values", i)) for i in (first, second)])
+    rows = _labelled(live.select("node", "deep", *carried), labels)
     found, parts = None, None
     while True:
-        counted = rows.groupBy("node", "label").agg(F.count("*").alias("c")).groupBy("node")
-        split = counted.agg(
-            F.sum("c").alias("size"),
-            F.sum(F.col("c") * F.col("c")).alias("same"),
-            F.max_by("label", "c").alias("main"),
-            F.count("*").alias("k"),
-        ).where("size * size > same")
-        few = F.expr("size * size - same") <= 2 * small * F.col("size")
-        split = split.select("node", "main", "k", F.expr("size * size - same").alias("cross"), few.alias("few"))
-        split = scratch.keep(split, "split", parts)
-        left = split.where("NOT few").agg(F.sum("cross")).first()[0] or 0
+        few = F.expr(f"cross <= {2 * small} * size")
+        split = scratch.keep(_crossing(rows, "node").withColumn("few", few), "split", parts)
+        mixed = scratch.keep(rows.join(split, "node").where("few OR deep"), "mixed", parts)
+        left = mixed.where("NOT few").select("node", "cross").distinct().agg(F.sum("cross")).first()[0] or 0
         if left <= 2 * n_classes:  # all that is left is no more than one comparison for each class
-            split = split.withColumn("few", F.lit(True))
-        mixed = scratch.keep(rows.join(split, "node"), "mixed", parts)
-        few = mixed.where("few")
-        pairs = few.where("label != main").join(few.select("node", *other), "node").where("label != p_label")
-        pairs = scratch.keep(pairs.where(_near("", "p_")).select(*pair).distinct(), "pairs", parts)
+            mixed = mixed.withColumn("few", F.lit(True))
+        pairs = scratch.keep(_compared(mixed.where("few"), pair, other), "pairs", parts)
         found = pairs if found is None else found.unionByName(pairs)
         large = mixed.where("NOT few")
         if large.isEmpty():
@@ -258,21 +279,27 @@ def class_labels(docs: DataFrame, classes: DataFrame, shingle: int, trees: int,
             F.min_by(F.struct(*pair), _differing("", "p_")).alias("best")
         )
         labels = _joined(best.select("best.a", "best.b"), sets, labels, least)
-        large = _labelled(large.select("node", *carried), labels)
-        picked = F.expr(
-            f"""transform(filter(sequence(0, {POSITIONS - 1}), i -> pmod(xxhash64(node, i), 1000000) < {int(1e6 / expected)}),
-                i -> xxhash64(node, i, get(values, i)))"""
+        large = _labelled(large.select("node", "deep", *carried), labels)
+        now = scratch.keep(_crossing(large, "node"), "now", parts)
+        large = scratch.keep(large.join(now, "node"), "large", parts)
+        branches = large.join(classes.select("id", "values"), "id")
+        branches = scratch.keep(
+            branches.select("node", F.explode(picked).alias("branch"), "deep", *carried, "label"), "branches"
         )
-        rows = large.join(classes.select("id", "values"), "id")
-        rows = scratch.keep(rows.select(F.explode(picked).alias("node"), *carried, "label"), "branches")
-        parts = 1 + rows.count() // 100_000
+        after = _crossing(branches, "node", "branch").groupBy("node").agg(F.sum("cross").alias("after"))
+        dense = now.join(after, "node").where(F.col("after") > _FEWER * F.col("cross")).select("node")
+        dense = scratch.keep(dense, "dense", parts)
+        parts = 1 + branches.count() // 100_000
+        pairs = _compared(large.join(dense, "node", "left_semi"), pair, other)
+        found = found.unionByName(scratch.keep(pairs, "pairs"))
+        rows = branches.join(dense, "node", "left_anti").select(F.col("branch").alias("node"), "deep", *carried, "label")
     ends = _labelled(found.withColumnRenamed("a", "id"), labels).withColumnsRenamed({"id": "a", "label": "p_label"})
     ends = _labelled(ends.withColumnRenamed("b", "id"), labels).withColumnRenamed("id", "b")
     labels = _joined(ends.where("label != p_label").select("a", "b"), sets, labels, least)
     return labels if labels is not None else classes.select("id", F.col("id").alias("label")).limit(0)
 
 
-def groups(docs: DataFrame, shingle: int = 5, trees: int = 24, small: int = 32) -> DataFrame:
+def groups(docs: DataFrame, shingle: int = 5, trees: int = 24, small: int = 32, deep: int = 12) -> DataFrame:
     """doc_id, text_code, n_shingles, component_id, component of every row; component is null for empty sets."""
     rows = sketches(docs, shingle)
     heads = rows.where("n > 0").groupBy("key").agg(
@@ -282,7 +309,7 @@ def groups(docs: DataFrame, shingle: int = 5, trees: int = 24, small: int = 32)
     classes = scratch.keep(
         heads.select("key", "least_id", "one.*").withColumn("id", F.monotonically_increasing_id()), "classes"
     )
-    labels = class_labels(docs, classes, shingle, trees, small)
+    labels = class_labels(docs, classes, shingle, trees, small, deep)
     named = classes.select("id", "key", "least_id").join(labels, "id", "left")
     named = scratch.keep(named.withColumn("label", F.coalesce("label", "id")), "named")
     least = scratch.keep(named.groupBy("label").agg(F.min("least_id").alias("component_id")), "least")
