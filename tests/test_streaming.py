@@ -85,6 +85,22 @@ def test_step_values_wait_for_late_samples(spark, tmp_path):
     assert got == {(60, 1.0), (120, 4.0), (540, 3.0)}
 
 
+def test_open_steps_complete_a_bounded_stream(spark, tmp_path):
+    """Steps and alert runs reach the last sample; a late sample does not reopen its step."""
+    schema = "metric string, labels map<string,string>, value double, ts timestamp"
+    source, path = str(tmp_path / "in"), str(tmp_path / "alerts")
+    for rows in ([(60, 1.0), (61, 2.0)], [(2000, 3.0)], [(2041, 4.0), (2030, 8.0)], [(61, 9.0)]):
+        frame = spark.createDataFrame([("m", {"a": "1"}, v, T0 + timedelta(seconds=s)) for s, v in rows], schema)
+        frame.coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+    rule = AlertRule("A", "m", ">", 2, 60, "critical")
+    io.finish(jobs.watch(jobs.step_values(stream, 60), rule, path, str(tmp_path / "cp"), 60, 60))
+    rest = jobs.open_steps(spark.read.parquet(source), 60)
+    assert sorted(((r["eval_ts"] - T0).seconds, r["value"]) for r in rest.collect()) == [(2040, 8.0), (2100, 4.0)]
+    found = jobs.watched_to_end(rest, rule, path, 60, 60).collect()
+    assert [(r["state"], (r["starts_at"] - T0).seconds, r["steps"]) for r in found] == [("firing", 2040, 2)]
+
+
 def test_lookup_is_read_anew(spark, tmp_path):
     log = "key string, value string, topic string, partition int, offset bigint, timestamp timestamp"
     source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))

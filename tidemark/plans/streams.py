@@ -6,6 +6,8 @@ the stream take the files of one part per micro-batch.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
 from tidemark import session
@@ -144,20 +146,32 @@ def _samples(spark, folder):
     return jobs.step_values(samples, DAY), base
 
 
-def stream_steps(spark, folder):
+def _kept_back(spark, base):
+    """The steps still open when the stream has ended."""
+    return jobs.open_steps(spark.read.parquet(f"{base}/in"), DAY)
+
+
+def stream_steps(spark, folder, whole=False):
+    """With ``whole``, here and below, also the steps within the delay of the newest sample."""
     steps, base = _samples(spark, folder)
     io.finish(io.start_files(steps, f"{base}/out", f"{base}/cp"))
-    return spark.read.parquet(f"{base}/out").select(
+    found = spark.read.parquet(f"{base}/out")
+    if whole:
+        found = found.unionByName(_kept_back(spark, base))
+    return found.select(
         "metric", F.col("labels")["grp"].alias("grp"), F.col("value").cast("bigint").alias("value"),
         F.unix_seconds("eval_ts").alias("eval_s"),
     )
 
 
-def stream_rules(spark, folder):
+def stream_rules(spark, folder, whole=False):
     steps, base = _samples(spark, folder)
     rule = rules.metrics.RecordingRule("clicks", "click", ("half",))
     io.finish(jobs.record_rules(steps, [rule], f"{base}/out", f"{base}/cp"))
-    return io.read_batches(spark, f"{base}/out").select(
+    found = io.read_batches(spark, f"{base}/out")
+    if whole:
+        found = found.unionByName(rules.metrics.evaluate_rules(_kept_back(spark, base), [rule]))
+    return found.select(
         "record", F.col("labels")["half"].alias("half"), F.col("value").cast("bigint").alias("value"),
         F.unix_seconds("eval_ts").alias("eval_s"),
     )
@@ -166,10 +180,12 @@ def stream_rules(spark, folder):
 _LOW = AlertRule("LowValue", "click", "<", 3000, for_seconds=DAY, severity="warning")
 
 
-def stream_alerts(spark, folder):
+def stream_alerts(spark, folder, whole=False):
     steps, base = _samples(spark, folder)
     io.finish(jobs.watch(steps, _LOW, f"{base}/alerts", f"{base}/cp", DAY, DAY))
-    return jobs.watched(spark, f"{base}/alerts").select(
+    path = f"{base}/alerts"
+    found = jobs.watched_to_end(_kept_back(spark, base), _LOW, path, DAY, DAY) if whole else jobs.watched(spark, path)
+    return found.select(
         F.map_from_entries("series")["grp"].alias("grp"), "state", "steps",
         F.col("value").cast("bigint").alias("value"),
         F.unix_seconds("starts_at").alias("starts_s"),
@@ -209,6 +225,9 @@ QUERIES = {
     "stream_rules": stream_rules,
     "stream_alerts": stream_alerts,
     "stream_log_collect": stream_logs,
+    "stream_step_values_whole": partial(stream_steps, whole=True),
+    "stream_rules_whole": partial(stream_rules, whole=True),
+    "stream_alerts_whole": partial(stream_alerts, whole=True),
 }
 
 ORACLE = {
@@ -240,3 +259,6 @@ ORACLE = {
           steps, value, starts_s, last_s FROM runs, now WHERE steps > 1 OR last_s + 86400 > now.s""",
     "stream_log_collect": """SELECT unnest(string_split(text, chr(10))) AS value, 'documents' AS job FROM documents""",
 }
+
+_TRIM = _STEPS[_STEPS.index(" WHERE eval_s * 1000") : -1]
+ORACLE |= {f"{name}_whole": ORACLE[name].replace(_TRIM, "") for name in ("stream_step_values", "stream_rules", "stream_alerts")}

@@ -176,6 +176,17 @@ def step_values(samples: DataFrame, step_seconds: int, delay: str = SAMPLE_DELAY
     )
 
 
+def open_steps(samples: DataFrame, step_seconds: int, delay: str = SAMPLE_DELAY) -> DataFrame:
+    """What ``step_values`` has kept back when a bounded stream ends, in batch from its stored samples.
+
+    These are the steps that end after the last watermark; none of their samples has been refused as late.
+    """
+    tick = F.make_dt_interval(secs=F.lit(0.000001))
+    newest = samples.agg(F.unix_millis(F.max(F.col("ts") - tick))).first()[0]
+    watermark = F.timestamp_millis(F.lit(newest).cast("long")) - F.expr(f"interval {delay}")
+    return step_values(samples, step_seconds, delay).filter(F.col("eval_ts") > watermark)
+
+
 def record_rules(
     vector: DataFrame,
     rules: Sequence[metrics.RecordingRule],
@@ -191,6 +202,21 @@ def record_rules(
     return start_batches(vector, apply, checkpoint, continuous)
 
 
+def _continued(
+    batch: DataFrame, before: DataFrame | None, rule: alerts.AlertRule, step_seconds: int, close_after_seconds: int
+) -> DataFrame:
+    """Runs of the batch, continuing the open runs of ``before``, with their state as of the newest step."""
+    runs = alerts.streaks(alerts.active_series(batch, [rule]), step_seconds, ["series"])
+    now = batch.agg(F.max("eval_ts")).first()[0]
+    if before is not None:
+        runs = alerts.merge_runs(runs.unionByName(before.select(*runs.columns)), step_seconds, ["series"])
+        if now is None:
+            now = before.agg(F.max("as_of")).first()[0]
+    as_of = F.lit(now).cast("timestamp")
+    states = alerts.with_state(runs, rule.for_seconds, as_of, step_seconds, close_after_seconds)
+    return states.withColumn("as_of", as_of)
+
+
 def watch(
     vector: DataFrame,
     rule: alerts.AlertRule,
@@ -210,19 +236,13 @@ def watch(
         raise ValueError("a rule over its own past is evaluated in batch, see alerts.evaluate_alerts")
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        runs = alerts.streaks(alerts.active_series(batch, [rule]), step_seconds, ["series"])
-        now = batch.agg(F.max("eval_ts")).first()[0]
+        before = None
         if batch_id > 0:
-            before = spark.read.parquet(f"{path}/open/batch={batch_id - 1}")
-            runs = alerts.merge_runs(runs.unionByName(before.select(*runs.columns)), step_seconds, ["series"])
-            if now is None:
-                now = before.agg(F.max("as_of")).first()[0]
-        as_of = F.lit(now).cast("timestamp")
-        states = alerts.with_state(runs, rule.for_seconds, as_of, step_seconds, close_after_seconds)
+            before = batch.sparkSession.read.parquet(f"{path}/open/batch={batch_id - 1}")
+        states = _continued(batch, before, rule, step_seconds, close_after_seconds)
         is_open = F.col("state").isin("pending", "firing")
-        write_batch(states.filter(is_open).withColumn("as_of", as_of), f"{path}/open", batch_id)
-        write_batch(states.filter(F.col("state") == "resolved"), f"{path}/closed", batch_id)
+        write_batch(states.filter(is_open), f"{path}/open", batch_id)
+        write_batch(states.filter(F.col("state") == "resolved").drop("as_of"), f"{path}/closed", batch_id)
 
     return start_batches(vector, apply, checkpoint, continuous, reused=True)
 
@@ -234,3 +254,15 @@ def watched(spark, path: str) -> DataFrame:
     last = stored.agg(F.max("batch").alias("batch"))
     still_open = stored.join(last, "batch", "left_semi").drop("batch", "as_of")
     return closed.unionByName(still_open)
+
+
+def watched_to_end(
+    remainder: DataFrame, rule: alerts.AlertRule, path: str, step_seconds: int, close_after_seconds: int = 60
+) -> DataFrame:
+    """``watched`` after a bounded stream has ended, continued over the steps it has kept back (``open_steps``)."""
+    spark = remainder.sparkSession
+    stored = spark.read.parquet(f"{path}/open")
+    before = stored.join(stored.agg(F.max("batch").alias("batch")), "batch", "left_semi").drop("batch")
+    states = _continued(remainder, before, rule, step_seconds, close_after_seconds).drop("as_of")
+    states = states.filter(F.col("state").isin("pending", "firing", "resolved"))
+    return spark.read.parquet(f"{path}/closed").drop("batch").unionByName(states)
