@@ -97,3 +97,16 @@ def test_kept_text(spark):
     docs = spark.createDataFrame([(d, t, "", "") for d, t in data], DOCS)
     got = {r.doc_id: r.kept_text for r in superkmer.remove_repeats(docs).collect()}
     assert got == {1: data[0][1], 2: "x y z", 3: ""}
+
+
+def test_copies_cause_flushes_too():
+    """One text under ever larger, ever smaller or the same doc_id: what is held is counted, and nothing is lost."""
+    content = b"a b c d e f g h i j k l m"
+    for ids in (range(1000), range(1000, 0, -1), [7] * 1000):
+        packer = superkmer._Packer(4, 1 << 30)
+        for i, doc_id in enumerate(ids):
+            packer.add(content, 1, doc_id, i, 0, 1, 13)
+        assert packer.held > 60_000
+        rows = [superkmer._unpack(blob) for batch in packer.flush() for blob in batch.column("blob").to_pylist()]
+        assert sum(len(numbers) for _, _, numbers, _ in rows) == 1000
+        assert packer.held == 0

@@ -37,6 +37,9 @@ _BLANK = np.arange(256, dtype=np.uint8)
 _BLANK[9:14] = 32
 _RANGE = pa.schema([("doc_id", pa.int64()), ("text_code", pa.int64()), ("low", pa.int64()), ("high", pa.int64())])
 
+#: What one settled range, one more place of an entry and one row take in a task's Python.
+_RANGE_BYTES, _PLACE_BYTES, _ROW_BYTES = 200, 70, 200
+
 
 def _least_places(codes: np.ndarray, width: int) -> np.ndarray:
     """Place of the least code (the first of equals) in every run of ``width`` codes."""
@@ -124,11 +127,15 @@ class _Packer:
             self.held += len(content) + 350  # with what Python adds
         elif doc_id > entry[2]:
             self.ranges.append((doc_id, text_code, word, word + windows + size - 1))
+            self.held += _RANGE_BYTES
         elif doc_id == entry[2]:
             entry += [text_code, word]
+            self.held += _PLACE_BYTES
         else:
             for i in range(3, len(entry), 2):
                 self.ranges.append((entry[2], entry[i], entry[i + 1], entry[i + 1] + windows + size - 1))
+                self.held += _RANGE_BYTES
+            self.held -= _PLACE_BYTES * (len(entry) - 5) // 2
             entry[2:] = [doc_id, text_code, word]
 
     def flush(self) -> Iterator[pa.RecordBatch]:
@@ -200,7 +207,9 @@ def _packed(docs: DataFrame, size: int, gram: int, buckets: int, hot: list[int],
             for i, row in enumerate(zip(ids, codes, strict=True)):
                 if row in packer.rows:  # the same id and text again has the same ranges
                     ids[i] = None
-                packer.rows.add(row)
+                else:
+                    packer.rows.add(row)
+                    packer.held += _ROW_BYTES
             raw, last = _BLANK[data].tobytes(), window + windows + size - 2
             # Words that are more than one blank apart must be brought to one.
             apart = np.concatenate([[0, 0], np.cumsum(starts[1:] - ends[:-1] > 1)])
