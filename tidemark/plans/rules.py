@@ -211,6 +211,29 @@ def changed_alert(spark, folder):
     return _alert_rows(found.withColumn("labels", F.map_concat("labels", F.create_map(F.lit("broker"), "labels.priority"))))
 
 
+def _partition_counts(spark, folder):
+    """Partitions per topic on a one-minute grid, a minute a ship date, under a broker label that changes with the count."""
+    return (
+        fixtures.table(spark, folder, "lineitem")
+        .groupBy(F.concat("l_returnflag", "l_linestatus").alias("topic"), "l_shipdate")
+        .agg(F.countDistinct("l_linenumber").alias("n"))
+        .selectExpr(
+            "'kafka_server_partition_count' AS metric",
+            "map('topic', topic, 'broker', cast(n % 2 AS string)) AS labels",
+            "cast(n AS double) AS value",
+            "timestamp_seconds(unix_date(cast(l_shipdate AS date)) * 60L) AS eval_ts",
+        )
+    )
+
+
+def partition_count_alert(spark, folder):
+    """The configured rule over its own past; the topic is shown as broker."""
+    rules = [rule for rule in rulebook.ALERT_RULES if rule.offset_seconds is not None]
+    as_of = F.lit("2030-01-01 00:00:00").cast("timestamp")
+    found = alerts.evaluate_alerts(_partition_counts(spark, folder), rules, as_of, 60, 60)
+    return _alert_rows(found.withColumn("labels", F.map_concat("labels", F.create_map(F.lit("broker"), "labels.topic"))))
+
+
 def _vector_sql() -> str:
     names = ", ".join(f"'{m}'" for m in METRICS)
     return f"""v AS (SELECT ([{names}])[l_partkey % {len(METRICS)} + 1] AS metric,
@@ -327,6 +350,7 @@ QUERIES = {
     "alert_states": states,
     "series_changed_vs_offset": changed,
     "alert_changed_vs_offset": changed_alert,
+    "alert_partition_count": partition_count_alert,
 }
 
 ORACLE = {
@@ -363,4 +387,15 @@ ORACLE = {
           'Changed by ' || value || '.' AS description, priority AS broker, value, starts_s,
           starts_s + 172800 AS fired_s, last_s + 86400 AS ends_s
         FROM ({_runs_sql('ch', 'priority')}) WHERE starts_s + 172800 <= last_s""",
+    "alert_partition_count": """WITH c AS (SELECT l_returnflag || l_linestatus AS topic,
+          datediff('day', date '1970-01-01', cast(l_shipdate AS date)) * 60 AS s, count(DISTINCT l_linenumber) AS value
+          FROM lineitem GROUP BY ALL),
+        ch AS (SELECT a.topic, a.s, a.value FROM c a JOIN c b ON a.topic = b.topic AND a.s = b.s + 60 WHERE a.value <> b.value),
+        numbered AS (SELECT *, s // 60 - row_number() OVER (PARTITION BY topic ORDER BY s) AS run FROM ch),
+        runs AS (SELECT topic, min(s) AS starts_s, max(s) AS last_s, arg_max(value, s) AS value FROM numbered GROUP BY topic, run)
+        SELECT 'PartitionCountChanged' AS alert, 'warning' AS severity, 'resolved' AS state,
+          'Partition count change detected' AS summary,
+          'Partition count changed by ' || value || ' in the last minute.' AS description, topic AS broker, value, starts_s,
+          starts_s + 60 AS fired_s, last_s + 60 AS ends_s
+        FROM runs WHERE starts_s + 60 <= last_s""",
 }
