@@ -53,3 +53,17 @@ def test_degenerate(spark):
     docs = spark.createDataFrame([(1, None, "A", "en", "t", 1), (2, "", None, None, None, None)], DOCS)
     assert [r.kept for r in mix.report(docs).collect()] == [True, True]
     assert mix.report(docs.limit(0)).count() == 0
+
+
+def test_one_rare_cell_does_not_set_the_volume(spark):
+    data = [(i, "a b c d e", "big", "en") for i in range(2000)] + [(i, "a b c d e", "mid", "fr") for i in range(2000, 2400)]
+    data += [(9000, "x@y", "rare", "es")]
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string, lang string")
+    thin = mix.with_probability(docs, sweeps=1).selectExpr("sum(__probability * __tokens) AS w").first().w
+    rows = mix.with_probability(docs, covered=0.95, sweeps=1).groupBy("source").agg({"__probability": "max"}).collect()
+    each = {r[0]: r[1] for r in rows}
+    before = {r[0]: r[1] for r in mix.with_probability(docs, sweeps=1).groupBy("source").agg({"__probability": "max"}).collect()}
+    assert all(abs(each[s] / each["big"] - before[s] / before["big"]) < 1e-9 for s in each)  # same proportions
+    got = [r.doc_id for r in mix.sample(docs, covered=0.95, sweeps=1).select("doc_id").collect()]
+    assert thin < 0.5 * 12_001 and 5 * len(got) > 0.5 * 12_001
+    assert got.count(9000) in (int(each["rare"]), int(each["rare"]) + 1) and got.count(9000) > 1

@@ -8,6 +8,10 @@ Only the cell table is iterated over: each step sums it by one margin (combined
 sums back and is written to the shared folder, so that the plan of a step stays small. Documents meet the
 finished table once; it is sent to the tasks if it has at most ``sent_cells`` rows, by count.
 
+With the largest ratio at 1, one rare cell far below its target thins all others. ``covered`` sets the scale so that
+cells of this share of the weight have at most probability 1; documents of the others are repeated: all as often as
+the whole part says, and once more by the draw. The cells keep their proportions, so targets hold as before.
+
 Targets: shares per margin value, or, where none are given, the actual shares raised to ``alpha``.
 
 Defined cases: null is a margin value of its own; a document without words has weight 0 and the probability of
@@ -91,8 +95,9 @@ def with_probability(
     alpha: float = 0.8,
     sweeps: int = 8,
     sent_cells: int = 200_000,
+    covered: float | None = None,
 ) -> DataFrame:
-    """docs with __tokens, __probability."""
+    """docs with __tokens, __probability (with ``covered`` the expected number of copies)."""
     margins = {f"__{name}": name for name in MARGINS}
     named = docs.withColumns(
         {
@@ -106,6 +111,8 @@ def with_probability(
     cells = rake(scratch.keep(counted, "cells"), margins, targets or {}, alpha, sweeps)
     cells = cells.withColumn("__r", F.when(F.col("__n") > 0, F.col("__w") / F.col("__n")).otherwise(0.0))
     size, most = cells.agg(F.count("*"), F.max("__r")).first()
+    if covered is not None and most:
+        most = cells.agg(F.percentile("__r", covered, F.coalesce("__n", F.lit(0)))).first()[0] or most
     finished = cells.select(
         *[F.col(name).alias(f"{name}_") for name in margins],
         (F.col("__r") / most if most else F.lit(1.0)).alias("__probability"),
@@ -116,8 +123,14 @@ def with_probability(
 
 
 def sample(docs: DataFrame, seed: str = "mix", **how) -> DataFrame:
-    """The documents that are kept, with their own columns."""
-    rows = with_probability(docs, **how).where(draw(F.col("doc_id"), seed) < F.col("__probability"))
+    """The documents that are kept, with their own columns; with ``covered`` some are repeated."""
+    rows = with_probability(docs, **how)
+    drawn, whole = draw(F.col("doc_id"), seed), F.floor("__probability")
+    if how.get("covered") is None:
+        rows = rows.where(drawn < F.col("__probability"))
+    else:
+        copies = (whole + (drawn < F.col("__probability") - whole).cast("long")).cast("int")
+        rows = rows.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), copies)))
     return rows.select(*[F.col(f"`{name}`") for name in docs.columns])
 
 
