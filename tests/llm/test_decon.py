@@ -83,3 +83,11 @@ def test_empty_tables(spark, case):
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     assert not any(r.contaminated for r in decon.report(docs, benchmark.limit(0)).collect())
     assert decon.report(docs.limit(0), benchmark).count() == 0
+
+
+@pytest.mark.parametrize("limit", [20_000, 0])
+def test_words_with_characters_that_a_literal_would_escape(spark, limit):
+    odd = [f"b{chr(code)}d c d e f g h i j k" for code in (0x85, 0xA0, 0xAD, 0x9F)]
+    docs = spark.createDataFrame([(i, f"x {text} y", "x", None) for i, text in enumerate([*odd, "clean words"])], DOCS)
+    benchmark = spark.createDataFrame(list(enumerate(odd)), "item_id long, text string")
+    assert [r.doc_id for r in decon.clean(docs, benchmark, set_limit=limit).collect()] == [len(odd)]

@@ -43,8 +43,8 @@ def test_shares_reach_the_targets(spark):
 def test_equals_sql_with_hard_rows(spark):
     docs = spark.createDataFrame([*data(), (None, "w " * 20000, "B", "de", "t", 1)], DOCS)
     con = oracle.connect()
-    frame = docs.toPandas()  # noqa: F841  read by DuckDB
-    con.execute("CREATE OR REPLACE VIEW documents AS SELECT doc_id::BIGINT AS doc_id, text, source, lang FROM frame")
+    con.register("given_rows", docs.toPandas())
+    con.execute("CREATE OR REPLACE VIEW documents AS SELECT doc_id::BIGINT AS doc_id, text, source, lang FROM given_rows")
     assert oracle.compare(mix.report(docs), con, mix.report_sql()) is None
     assert oracle.compare(mix.report(docs, sent_cells=0), con, mix.report_sql()) is None
 

@@ -197,10 +197,9 @@ def clean(
         for row in windows.select("length", "code", "window").collect():  # at most set_limit rows
             codes.setdefault(row["length"], []).append(row["code"])
             texts.append(row["window"])
-        # A window has no quote or backslash in it: those are separators.
-        verified = f"filter(found, at -> at.window IN ({','.join(map(repr, texts))}))" if texts else "found"
-        hits = f"array_sort(transform({verified}, at -> struct(at.place AS place, at.length AS length)))"
-        judged = with_once(_by_set(_scanned(whole, ["document"]), codes), "hits", F.expr(hits))
+        verified = F.filter("found", lambda at: at["window"].isin(texts))
+        hits = F.array_sort(F.transform(verified, lambda at: F.struct(at["place"].alias("place"), at["length"].alias("length"))))
+        judged = with_once(_by_set(_scanned(whole, ["document"]), codes), "hits", hits)
     else:
         judged = judge(whole, benchmark, ["document"], span, set_limit)
     if remove == "documents":
