@@ -166,7 +166,7 @@ def _pack(kind: int, heads: np.ndarray, places: np.ndarray, text: bytes) -> byte
     """Numbers column by column and byte by byte of equal rank, then text, compressed."""
     numbers = [np.ascontiguousarray(column).view(np.uint8).reshape(-1, 8).T.tobytes() for x in (heads, places) for column in x.T]
     head = np.array([kind, len(heads), places.shape[1], len(places)], np.int64).tobytes()
-    return zstandard.ZstdCompressor(level=9).compress(b"".join([head, *numbers, text]))
+    return zstandard.ZstdCompressor(level=3).compress(b"".join([head, *numbers, text]))
 
 
 def _unpack(blob: bytes) -> tuple[int, np.ndarray, np.ndarray, bytes]:
