@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import chosen, decon, grace, jump, langid, mix, pii, rans, superkmer, viterbi
+from tidemark.llm import auction, chosen, decon, grace, jump, langid, mix, pii, rans, superkmer, viterbi
 from tidemark.llm.scratch import table
 
 
@@ -50,6 +50,11 @@ def op10_jump_shards(spark: SparkSession, folder: str) -> DataFrame:
     return jump.shard_documents(table(spark, folder, "documents"), shards=8)
 
 
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations")
+    return auction.report(auction.damaged(turns), turns)
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_mix_sources": op2_mix_sources,
@@ -61,6 +66,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_token_counts": op9_token_counts,
     "op10_jump_shards": op10_jump_shards,
+    "op11_conversation_repair": op11_conversation_repair,
 }
 
 ORACLE = {
