@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import auction, chosen, decon, grace, jump, langid, mix, pii, rans, superkmer, viterbi
+from tidemark.llm import auction, chosen, decon, gnat, grace, jump, langid, mix, pii, rans, superkmer, vertical, viterbi
 from tidemark.llm.scratch import table
 
 
@@ -55,6 +56,17 @@ def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     return auction.report(auction.damaged(turns), turns)
 
 
+def op12_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return vertical.components_of(table(spark, folder, "documents"), shingle=3, percent=90)
+
+
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = gnat.prepared(table(spark, folder, "embeddings"), label)
+    found = gnat.hard_negatives(vectors, F.col("vec_id") % 50 == 0)
+    return found.withColumn("rank", F.col("rank").cast("int"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_mix_sources": op2_mix_sources,
@@ -67,6 +79,8 @@ QUERIES = {
     "op9_token_counts": op9_token_counts,
     "op10_jump_shards": op10_jump_shards,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_ngram_join": op12_ngram_join,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLE = {
@@ -123,4 +137,37 @@ ORACLE = {
         SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
                sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM d LEFT JOIN covered ON covered.r = d.r LEFT JOIN listed ON listed.r = d.r""",
+    "op12_ngram_join": r"""
+        WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+        places AS (SELECT r, ws, least(3, len(ws)) AS n, unnest(range(1, len(ws) - least(3, len(ws)) + 2)) AS i
+                   FROM d WHERE len(ws) > 0),
+        sets AS (SELECT DISTINCT r, array_to_string(ws[i:i + n - 1], ' ') AS shingle FROM places),
+        sizes AS (SELECT r, count(*) AS n, sha256(string_agg(shingle, chr(10) ORDER BY shingle)) AS class FROM sets GROUP BY r),
+        shared AS (SELECT x.r AS a, y.r AS b, count(*) AS c FROM sets x JOIN sets y ON x.shingle = y.shingle AND x.r <> y.r
+                   GROUP BY x.r, y.r),
+        links AS (SELECT a, b, p.class AS own, q.class AS other FROM shared JOIN sizes p ON p.r = a JOIN sizes q ON q.r = b
+                  WHERE 100 * c >= 90 * (p.n + q.n - c)),
+        counts AS (SELECT a, count(DISTINCT other) AS n FROM links WHERE own <> other GROUP BY a),
+        reach AS (SELECT r, r AS other FROM d UNION SELECT reach.r, links.b FROM reach JOIN links ON links.a = reach.other)
+        SELECT d.doc_id, coalesce(any_value(sizes.n), 0) AS n_shingles, min(o.doc_id) AS component_id,
+               coalesce(any_value(counts.n), 0) AS n_links
+        FROM d JOIN reach ON reach.r = d.r JOIN d o ON o.r = reach.other LEFT JOIN sizes ON sizes.r = d.r
+             LEFT JOIN counts ON counts.a = d.r
+        GROUP BY d.r, d.doc_id""",
+    "op13_hard_negatives": """
+        WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                          list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v
+                   FROM embeddings WHERE label IS NOT NULL AND len(embedding) = len(list_filter(embedding, x -> isfinite(x)))),
+        scored AS (SELECT a.vec_id AS anchor_id, e.vec_id AS other, a.label = e.label AS same,
+                          list_dot_product(a.v, e.v)::BIGINT AS score
+                   FROM e a JOIN e ON e.vec_id <> a.vec_id WHERE a.vec_id % 50 = 0),
+        positives AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM scored WHERE same
+                      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+        SELECT anchor_id, positive_id,
+               (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other))::INTEGER AS rank,
+               other AS negative_id, positive_score, score AS negative_score
+        FROM positives JOIN scored USING (anchor_id)
+        WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+        QUALIFY rank <= 3""",
 }
