@@ -157,8 +157,8 @@ ORACLE = {
         GROUP BY d.r, d.doc_id""",
     "op13_hard_negatives": """
         WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-                          list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v
-                   FROM embeddings WHERE label IS NOT NULL AND len(embedding) = len(list_filter(embedding, x -> isfinite(x)))),
+                          list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+                   FROM embeddings WHERE label IS NOT NULL AND len(embedding) = len(list_filter(embedding, lambda x: isfinite(x)))),
         scored AS (SELECT a.vec_id AS anchor_id, e.vec_id AS other, a.label = e.label AS same,
                           list_dot_product(a.v, e.v)::BIGINT AS score
                    FROM e a JOIN e ON e.vec_id <> a.vec_id WHERE a.vec_id % 50 = 0),
