@@ -18,21 +18,25 @@ from tidemark.plans.fixtures import DAY
 from tidemark.sources import files
 from tidemark.sources.envelope import accepted, parse_redeems
 from tidemark.streaming import io, jobs, state
+from tidemark.streaming.versions import VersionedJoin
 
 
 FILES = 4  # per part
+BUCKETS = 8  # of keyed tables, for inputs of this size
 
 
-def _parts(rows, by: str, path: str, parts: int = 3) -> None:
+def _parts(rows, by: str, path: str, cuts=(1 / 3, 2 / 3)) -> None:
     """Write rows in consecutive ranges of ``by``, one after the other; the last takes all others too."""
-    number = F.col(by).cast("double")
+    column = F.col(by)
+    number = (column.cast("timestamp") if "timestamp" in dict(rows.dtypes)[by] else column).cast("double")
     finite = F.when(~F.isnan(number), number)
     low, high = rows.agg(F.min(finite), F.max(finite)).first()
-    width = ((high or 0) - (low or 0)) / parts
-    place = F.floor((finite - (low or 0)) / width) if width else F.lit(None)
-    place = F.coalesce(F.least(place, F.lit(parts - 1)), F.lit(parts - 1))
-    for part in range(parts):
-        rows.filter(place == part).repartition(FILES).write.mode("append").parquet(path)
+    place = (finite - (low or 0)) / (((high or 0) - (low or 0)) or 1)
+    part = F.lit(len(cuts))
+    for i in reversed(range(len(cuts))):
+        part = F.when(place < cuts[i], i).otherwise(part)
+    for i in range(len(cuts) + 1):
+        rows.filter(part == i).repartition(FILES).write.mode("append").parquet(path)
 
 
 def _stream(spark, rows, by: str, label: str):
@@ -57,10 +61,10 @@ def stream_fold_compacted(spark, folder):
 
 
 def stream_state(spark, folder):
-    """The maintained table: a version of the first two batches, and one batch since."""
+    """The maintained table: documents renewed after the second batch, and one batch since."""
     records, base = _stream(spark, fixtures.change_log(spark, folder), "offset", "state")
-    io.finish(jobs.maintain_state(records, f"{base}/state", f"{base}/cp", order="offset", every=2))
-    return state.current(spark, f"{base}/state")
+    io.finish(jobs.maintain_state(records, f"{base}/state", f"{base}/cp", order="offset", every=2, buckets=BUCKETS))
+    return state.current(spark, f"{base}/state", BUCKETS)
 
 
 def stream_rejects(spark, folder):
@@ -76,7 +80,7 @@ def stream_latest(spark, folder):
     records, base = _stream(spark, fixtures.change_log(spark, folder), "offset", "latest")
     deleted = F.get_json_object("value", "$.operationType") == "delete"
     rows = records.select("key", "offset", F.when(~deleted, F.col("value")).alias("value"))
-    io.finish(jobs.upsert_rows(rows, f"{base}/table", f"{base}/cp", ["key"], F.col("offset")))
+    io.finish(jobs.upsert_rows(rows, f"{base}/table", f"{base}/cp", ["key"], F.col("offset"), buckets=BUCKETS))
     latest = jobs.latest_rows(spark, f"{base}/table", ["key"], F.col("value").isNull())
     return latest.select("key", "offset")
 
@@ -131,13 +135,16 @@ def stream_redeem_columns(spark, folder):
 
 
 def stream_asof(spark, folder):
-    probes, base = _stream(spark, fixtures.probes(spark, folder), "probe_id", "asof")
-    query = jobs.join_versions(
-        probes, lambda: fixtures.versions(spark, folder, "signup"), f"{base}/out", f"{base}/cp",
-        ["user_id"], "probe_ts", "version_ts", tie_order=F.col("version_id"),
+    """Both sides stream in parts; the second half of each part's versions comes one batch after its probes."""
+    probes, base = _stream(spark, fixtures.probes(spark, folder), "probe_ts", "asof")
+    history = fixtures.versions(spark, folder, "signup")
+    _parts(history, "version_ts", f"{base}/versions", cuts=(1 / 6, 1 / 2))
+    reader = spark.readStream.schema(history.schema).option("maxFilesPerTrigger", FILES)
+    join = VersionedJoin(
+        spark, f"{base}/join", ["user_id"], "probe_ts", "version_ts", 5, tie_order="version_id", buckets=BUCKETS
     )
-    io.finish(query)
-    return io.read_batches(spark, f"{base}/out").select("probe_id", "version_id", "cents")
+    io.finish(join.start(probes, reader.parquet(f"{base}/versions"), f"{base}/cp"))
+    return join.answers().select("probe_id", "version_id", "cents")
 
 
 def _samples(spark, folder):

@@ -8,10 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators import alerts, asof, eligibility, fold, lookup, metrics
+from tidemark.operators import alerts, eligibility, fold, lookup, metrics
 from tidemark.sources.envelope import accepted, parse_changes, parse_redeems, rejected
 from tidemark.streaming import state
-from tidemark.streaming.io import SAMPLE_DELAY, read_batches, start_batches, write_batch
+from tidemark.streaming.io import SAMPLE_DELAY, start_batches, write_batch
+from tidemark.streaming.store import Store
 
 
 def materialize_changes(
@@ -48,34 +49,40 @@ def maintain_state(
     removal: str = "intended",
     every: int = 6,
     continuous: bool = False,
+    buckets: int = 64,
 ) -> StreamingQuery:
     """Change log, with all four operations, to a table of documents; ``state.current`` reads it.
 
-    ``every`` batches (a minute of the usual trigger) the stored version is renewed.
+    ``every`` batches (a minute of the usual trigger) the documents of changed buckets are renewed.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         events = accepted(parse_changes(batch, order))
-        state.add_batch(batch.sparkSession, path, events, batch_id, every, removal)
+        state.add_batch(batch.sparkSession, path, events, batch_id, every, removal, buckets)
 
     return start_batches(records, apply, checkpoint, continuous)
 
 
+def _newest(keys: list[str]):
+    return lambda rows, last: fold.latest_per_key(rows, keys, F.col("__order"))
+
+
 def upsert_rows(
-    rows: DataFrame, path: str, checkpoint: str, keys: list[str], order: Column, continuous: bool = False
+    rows: DataFrame, path: str, checkpoint: str, keys: list[str], order: Column, continuous: bool = False, buckets: int = 64
 ) -> StreamingQuery:
-    """Keep the last row per key of each batch; ``latest_rows`` reads the table."""
+    """Keep the last row per key in a store of key buckets; ``latest_rows`` reads the table."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         ordered = batch.withColumn("__order", order)
-        write_batch(fold.latest_per_key(ordered, keys, F.col("__order")), path, batch_id)
+        table = Store(batch.sparkSession, path, keys, _newest(keys), buckets)
+        table.commit(batch_id, fold.latest_per_key(ordered, keys, F.col("__order")).select(*ordered.columns))
 
     return start_batches(rows, apply, checkpoint, continuous)
 
 
 def latest_rows(spark, path: str, keys: list[str], tombstone: Column | None = None) -> DataFrame:
-    rows = fold.latest_per_key(read_batches(spark, path), keys, F.col("__order"), tombstone)
-    return rows.drop("__order")
+    rows = Store(spark, path, keys, _newest(keys)).read()
+    return fold.latest_per_key(rows, keys, F.col("__order"), tombstone).drop("__order")
 
 
 def enrich_redeems(
@@ -125,33 +132,6 @@ def judge_redeems(
     return start_batches(records, apply, checkpoint, continuous)
 
 
-def join_versions(
-    probes: DataFrame,
-    read_versions: Callable[[], DataFrame],
-    path: str,
-    checkpoint: str,
-    keys: list[str],
-    probe_time: str,
-    version_time: str,
-    continuous: bool = False,
-    **settings,
-) -> StreamingQuery:
-    """As-of join of each micro-batch against the version history stored so far.
-
-    Only versions up to the latest probe time are read.
-    """
-
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        latest = batch.agg(F.max(probe_time)).first()[0]
-        versions = read_versions()
-        if latest is not None:
-            versions = versions.filter(F.col(version_time) <= F.lit(latest))
-        joined = asof.asof_join(batch, versions, keys, probe_time, version_time, **settings)
-        write_batch(joined, path, batch_id)
-
-    return start_batches(probes, apply, checkpoint, continuous, reused=True)
-
-
 def step_values(samples: DataFrame, step_seconds: int, delay: str = SAMPLE_DELAY) -> DataFrame:
     """The newest sample per series and step, once no later sample is accepted.
 

@@ -1,86 +1,64 @@
-"""A maintained table of current state: entries, readable documents and a version pointer.
+"""A maintained table of current state: entries of the change log, and readable documents.
 
-    <path>/deltas/batch=N        reduced entries of one micro-batch
-    <path>/entries/version=V     entries of all batches up to the version, reduced
-    <path>/documents/version=V   the documents of that version, ``(_id, document)``
-    <path>/versions/version=V    the pointer: a version counts once this folder is there
+    <path>/entries     reduced entries by bucket of the document id (see ``store``)
+    <path>/documents   ``(_id, document)`` by the same buckets, as of the last renewal
 
-A version is written by one batch and read only after its pointer has been committed, so a batch that fails and is
-run again starts from the same version. A batch that a version already holds changes nothing.
+A batch adds its entries. Every so many batches the documents of the buckets touched since are made anew, and of
+those only; a reader folds what was touched after that. Runs and pointers that are no longer needed are deleted.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.operators import fold
+from tidemark.streaming.store import Head, Store
 
+_NONE = "_id string, document string"
 
-def _head(spark: SparkSession, path: str) -> tuple[int, int]:
-    """Current version and the last batch in it; -1 for none."""
-    try:
-        versions = spark.read.schema("last_batch long, version long").parquet(f"{path}/versions")
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return -1, -1
-    newest = versions.agg(F.max(F.struct("version", "last_batch")).alias("v")).first()["v"]
-    return (newest["version"], newest["last_batch"]) if newest else (-1, -1)
-
-
-def _deltas(spark: SparkSession, path: str, after: int, until: int | None = None) -> DataFrame | None:
-    """Entries of the batches that are not in the version yet."""
-    try:
-        rows = spark.read.parquet(f"{path}/deltas")
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-    rows = rows.filter(F.col("batch") > after)
-    return (rows if until is None else rows.filter(F.col("batch") <= until)).drop("batch")
-
-
-def _renewed(spark: SparkSession, path: str, version: int, deltas: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Entries and documents of the version with the deltas over it.
-
-    Documents of ids without a delta pass through as they are stored.
-    """
-    if version < 0:
-        entries = fold.compacted(fold.reduce_entries(deltas))
-        return entries, fold.state_from_entries(entries)
-    ids = deltas.select("_id").distinct()
-    stored = spark.read.parquet(f"{path}/entries/version={version}")
-    documents = spark.read.parquet(f"{path}/documents/version={version}")
-    changed = stored.join(ids, "_id", "left_semi").unionByName(deltas)
-    changed = fold.compacted(fold.reduce_entries(changed))
-    entries = stored.join(ids, "_id", "left_anti").unionByName(changed)
-    untouched = documents.join(ids, "_id", "left_anti")
-    return entries, untouched.unionByName(fold.state_from_entries(changed))
-
-
-def add_batch(spark: SparkSession, path: str, events: DataFrame, batch_id: int, every: int, removal: str = "intended") -> None:
-    """Keep one batch of events; every ``every`` batches a new version replaces the deltas."""
-    version, last_batch = _head(spark, path)
-    if batch_id <= last_batch:
-        return
-    fold.write_entries(events, f"{path}/deltas", batch_id, removal)
-    if batch_id - last_batch < every:
-        return
-    entries, documents = _renewed(spark, path, version, _deltas(spark, path, last_batch, batch_id))
-    entries.write.mode("overwrite").parquet(f"{path}/entries/version={version + 1}")
-    documents.write.mode("overwrite").parquet(f"{path}/documents/version={version + 1}")
-    pointer = spark.range(1).select(F.lit(batch_id).cast("long").alias("last_batch"))
-    pointer.write.mode("overwrite").parquet(f"{path}/versions/version={version + 1}")
-
-
-def current(spark: SparkSession, path: str) -> DataFrame:
-    """``(_id, document)`` as of the last batch; only ids changed since the version are folded."""
-    version, last_batch = _head(spark, path)
-    deltas = _deltas(spark, path, last_batch)
-    if version >= 0 and (deltas is None or deltas.isEmpty()):
-        return spark.read.parquet(f"{path}/documents/version={version}")
-    if deltas is None:
-        return spark.createDataFrame([], "_id string, document string")
-    return _renewed(spark, path, version, deltas)[1]
+
+def _merge(entries: DataFrame, last: bool) -> DataFrame:
+    """Without older runs what a barrier hides can go; otherwise its rows may still be hidden by it."""
+    reduced = fold.reduce_entries(entries)
+    return fold.compacted(reduced) if last else reduced
+
+
+def stores(spark: SparkSession, path: str, buckets: int = 64) -> tuple[Store, Store]:
+    entries = Store(spark, f"{path}/entries", ["_id"], _merge, buckets)
+    return entries, Store(spark, f"{path}/documents", ["_id"], lambda rows, last: rows, buckets)
+
+
+def _folded(entries: Store, head: Head, buckets: list[int]) -> DataFrame:
+    return fold.state_from_entries(fold.reduce_entries(entries.read(head, buckets)))
+
+
+def add_batch(
+    spark: SparkSession, path: str, events: DataFrame, batch_id: int, every: int, removal: str = "intended", buckets: int = 64
+) -> None:
+    """Keep one batch of events; every ``every`` batches the documents of touched buckets are renewed."""
+    entries, documents = stores(spark, path, buckets)
+    before = entries.head(batch_id).note
+
+    def note(written: list[int]) -> dict:
+        since = before.get("since", 0) + 1
+        touched = sorted({*before.get("touched", []), *written})
+        # The renewal follows the pointer; a batch run again after it finds the documents' own pointer and skips it.
+        return {"since": since % every, "touched": touched if since < every else [], "renew": touched if since >= every else []}
+
+    head = entries.commit(batch_id, fold.reduce_entries(fold.change_entries(events, removal)), note)
+    if head.batch == batch_id and head.note["renew"]:
+        documents.replace(batch_id, _folded(entries, head, head.note["renew"]), head.note["renew"])
+
+
+def current(spark: SparkSession, path: str, buckets: int = 64) -> DataFrame:
+    """``(_id, document)`` as of the last batch; only buckets changed since their renewal are folded."""
+    entries, documents = stores(spark, path, buckets)
+    head, stored = entries.head(), documents.head()
+    if head.schema is None:
+        return spark.createDataFrame([], _NONE)
+    changed = set(head.note["touched"])
+    if head.note["renew"] and stored.batch < head.batch:
+        changed |= set(head.note["renew"])  # the renewal of the last batch has not ended
+    found = _folded(entries, head, sorted(changed))
+    still = documents.read(stored, set(stored.buckets) - changed)
+    return found if still is None else still.select("_id", "document").unionByName(found)
