@@ -154,38 +154,49 @@ def annotation(template: str) -> Column:
     return F.concat(*parts, F.lit(template[at:]))
 
 
-def evaluate_alerts(
-    vector: DataFrame,
-    rules: Sequence[AlertRule],
-    as_of: Column,
-    step_seconds: int = 60,
-    close_after_seconds: int = 60,
+def _by_rule(rules: Sequence[AlertRule], value) -> Column:
+    """A value that depends on the rule of the row."""
+    chosen = F.when(F.lit(False), value(rules[0]))
+    for rule in rules:
+        chosen = chosen.when(F.col("alert") == rule.name, value(rule))
+    return chosen
+
+
+def rule_states(
+    runs: DataFrame, rules: Sequence[AlertRule], as_of: Column, step_seconds: int, close_after_seconds: int = 60
 ) -> DataFrame:
-    """All alerts of the rules up to ``as_of``, past ones included."""
+    """``with_state`` for runs of several rules, each with its own waiting time."""
+    waits = _by_rule(rules, lambda rule: F.lit(rule.for_seconds))
+    return with_state(runs, waits, as_of, step_seconds, close_after_seconds)
 
-    def by_rule(value) -> Column:
-        """A value that depends on the rule of the row."""
-        chosen = F.when(F.lit(False), value(rules[0]))
-        for rule in rules:
-            chosen = chosen.when(F.col("alert") == rule.name, value(rule))
-        return chosen
 
-    runs = streaks(active_series(vector, rules), step_seconds, ["alert", "series"])
-    waits = by_rule(lambda rule: F.lit(rule.for_seconds))
-    alerts = with_state(runs, waits, as_of, step_seconds, close_after_seconds)
+def described(states: DataFrame, rules: Sequence[AlertRule]) -> DataFrame:
+    """Alerts with severity and texts; runs that ended before they fired are no alerts."""
     return (
-        alerts.filter(F.col("state") != "inactive")
+        states.filter(F.col("state") != "inactive")
         .withColumn("labels", F.map_from_entries("series"))
         .select(
             "alert",
             "labels",
-            by_rule(lambda rule: F.lit(rule.severity)).alias("severity"),
+            _by_rule(rules, lambda rule: F.lit(rule.severity)).alias("severity"),
             "value",
             "state",
             "starts_at",
             "fired_at",
             "ends_at",
-            by_rule(lambda rule: annotation(rule.summary)).alias("summary"),
-            by_rule(lambda rule: annotation(rule.description)).alias("description"),
+            _by_rule(rules, lambda rule: annotation(rule.summary)).alias("summary"),
+            _by_rule(rules, lambda rule: annotation(rule.description)).alias("description"),
         )
     )
+
+
+def evaluate_alerts(
+    vector: DataFrame,
+    rules: Sequence[AlertRule],
+    as_of: Column,
+    step_seconds: int = 60,
+    close_after_seconds: int = 60,
+) -> DataFrame:
+    """All alerts of the rules up to ``as_of``, past ones included."""
+    runs = streaks(active_series(vector, rules), step_seconds, ["alert", "series"])
+    return described(rule_states(runs, rules, as_of, step_seconds, close_after_seconds), rules)

@@ -48,14 +48,16 @@ def instant(spark, folder):
     )
 
 
+SUMS = (metrics.RecordingRule("sum_by_grp", "click", ("grp",)), metrics.RecordingRule("total", "view", ()))
+
+
 def recording_over_instant(spark, folder):
     """Samples to instant vector to a sum per series group, as the rules run in sequence."""
     vector = metrics.instant_vector(fixtures.event_samples(spark, folder), 3600, 10800)
-    rules = [
-        metrics.RecordingRule("sum_by_grp", "click", ("grp",)),
-        metrics.RecordingRule("total", "view", ()),
-    ]
-    result = metrics.evaluate_rules(vector, rules)
+    return flat_sums(metrics.evaluate_rules(vector, SUMS))
+
+
+def flat_sums(result):
     return result.select(
         "record",
         F.col("labels")["grp"].alias("grp"),
@@ -226,6 +228,19 @@ def _partition_counts(spark, folder):
     )
 
 
+def minute_vector(spark, folder):
+    """The metrics of all alert rules on a one-minute grid, a minute a day."""
+    minute = F.timestamp_seconds(F.unix_date(F.col("eval_ts").cast("date")) * F.lit(60).cast("long"))
+    daily = fixtures.daily_orders(spark, folder).withColumn("eval_ts", minute)
+    return daily.unionByName(_partition_counts(spark, folder))
+
+
+def minute_alert_rows(found):
+    """The topic of a partition count is shown as broker."""
+    shown = F.coalesce(F.col("labels")["broker"], F.col("labels")["topic"])
+    return _alert_rows(found.withColumn("labels", F.create_map(F.lit("broker"), shown)))
+
+
 def partition_count_alert(spark, folder):
     """The configured rule over its own past; the topic is shown as broker."""
     rules = [rule for rule in rulebook.ALERT_RULES if rule.offset_seconds is not None]
@@ -299,36 +314,56 @@ _DAILY = """d AS (SELECT CASE o_orderpriority WHEN '1-URGENT' THEN 'kafka_server
     FROM orders GROUP BY o_orderpriority, o_orderstatus, o_orderdate)"""
 
 
-def _runs_sql(source: str, keys: str) -> str:
+def _runs_sql(source: str, keys: str, step: int = DAY) -> str:
     return f"""SELECT {keys}, min(s) AS starts_s, max(s) AS last_s, count(*) AS steps, arg_max(value, s) AS value
-        FROM (SELECT *, s // 86400 - row_number() OVER (PARTITION BY {keys} ORDER BY s) AS run FROM {source})
+        FROM (SELECT *, s // {step} - row_number() OVER (PARTITION BY {keys} ORDER BY s) AS run FROM {source})
         GROUP BY {keys}, run"""
 
 
-def _states_sql() -> str:
-    as_of = f"cast(epoch(timestamp '{AS_OF}') AS bigint)"
+def _states_sql(source: str, as_of: str, step: int, waits: dict[str, int]) -> str:
+    """The threshold rules over ``source`` (metric, status, s, value); ``waits`` in steps, 1 by default."""
     rows = {
-        "kafka_server_broker_state": ("BrokerDown", "critical", "value = 1", 1,
+        "kafka_server_broker_state": ("BrokerDown", "critical", "value = 1",
             "'Kafka broker ' || status || ' is down'", "'Kafka broker ' || status || ' is not running.'"),
-        "kafka_cluster_partition_under_replicated": ("UnderReplicatedPartitions", "warning", "value > 0", 1,
+        "kafka_cluster_partition_under_replicated": ("UnderReplicatedPartitions", "warning", "value > 0",
             "'Under-replicated partitions detected'", "'There are ' || value || ' under-replicated partitions in the cluster.'"),
-        "kafka_cluster_partition_offline": ("OfflinePartitions", "critical", "value > 0", 1,
+        "kafka_cluster_partition_offline": ("OfflinePartitions", "critical", "value > 0",
             "'Offline partitions detected'", "'There are ' || value || ' offline partitions in the cluster.'"),
-        "kafka_server_log_flush_rate": ("SlowLogFlush", "warning", "value < 1", 1,
+        "kafka_server_log_flush_rate": ("SlowLogFlush", "warning", "value < 1",
             "'Kafka broker ' || status || ' has low log flush rate'", "'Log flush rate is below threshold: ' || value"),
-        "kafka_controller_active_controller_count": ("ControllerNotActive", "critical", "value <> 1", 1,
+        "kafka_controller_active_controller_count": ("ControllerNotActive", "critical", "value <> 1",
             "'Kafka controller is not active'", "'No active Kafka controller detected in the cluster.'"),
     }
     parts = []
-    for metric, (alert, severity, where, days, summary, description) in rows.items():
-        runs = _runs_sql(f"(SELECT * FROM d WHERE metric = '{metric}' AND s <= {as_of} AND {where})", "status")
+    for metric, (alert, severity, where, summary, description) in rows.items():
+        wait = waits.get(alert, 1) * step
+        runs = _runs_sql(f"(SELECT * FROM {source} WHERE metric = '{metric}' AND s <= {as_of} AND {where})", "status", step)
         parts.append(f"""SELECT '{alert}' AS alert, '{severity}' AS severity,
-            CASE WHEN last_s + 86400 <= {as_of} THEN 'resolved' WHEN starts_s + {days} * 86400 <= last_s THEN 'firing' ELSE 'pending' END AS state,
+            CASE WHEN last_s + {step} <= {as_of} THEN 'resolved' WHEN starts_s + {wait} <= last_s THEN 'firing' ELSE 'pending' END AS state,
             {summary} AS summary, {description} AS description, status AS broker, value, starts_s,
-            CASE WHEN starts_s + {days} * 86400 <= last_s THEN starts_s + {days} * 86400 END AS fired_s,
-            CASE WHEN last_s + 86400 <= {as_of} THEN last_s + 86400 END AS ends_s
-            FROM ({runs}) WHERE last_s + 86400 > {as_of} OR starts_s + {days} * 86400 <= last_s""")
-    return f"WITH {_DAILY} " + " UNION ALL ".join(parts)
+            CASE WHEN starts_s + {wait} <= last_s THEN starts_s + {wait} END AS fired_s,
+            CASE WHEN last_s + {step} <= {as_of} THEN last_s + {step} END AS ends_s
+            FROM ({runs}) WHERE last_s + {step} > {as_of} OR starts_s + {wait} <= last_s""")
+    return " UNION ALL ".join(parts)
+
+
+_CHANGES = """c AS (SELECT l_returnflag || l_linestatus AS topic,
+      datediff('day', date '1970-01-01', cast(l_shipdate AS date)) * 60 AS s, count(DISTINCT l_linenumber) AS value
+      FROM lineitem GROUP BY ALL),
+    ch AS (SELECT a.topic, a.s, a.value FROM c a JOIN c b ON a.topic = b.topic AND a.s = b.s + 60 WHERE a.value <> b.value)"""
+
+
+def minute_alerts_sql() -> str:
+    """All six rules on the one-minute grid, as of its newest step."""
+    as_of = "(SELECT max(s) FROM (SELECT s FROM m UNION ALL SELECT s FROM c))"
+    changed = _runs_sql("ch", "topic", 60)
+    return f"""WITH {_DAILY}, {_CHANGES}, m AS (SELECT metric, status, s // 86400 * 60 AS s, value FROM d)
+        {_states_sql("m", as_of, 60, {"SlowLogFlush": 5})}
+        UNION ALL SELECT 'PartitionCountChanged', 'warning',
+          CASE WHEN last_s + 60 <= {as_of} THEN 'resolved' WHEN starts_s + 60 <= last_s THEN 'firing' ELSE 'pending' END,
+          'Partition count change detected', 'Partition count changed by ' || value || ' in the last minute.', topic, value,
+          starts_s, CASE WHEN starts_s + 60 <= last_s THEN starts_s + 60 END, CASE WHEN last_s + 60 <= {as_of} THEN last_s + 60 END
+        FROM ({changed}) WHERE last_s + 60 > {as_of} OR starts_s + 60 <= last_s"""
 
 
 _COUNTS = """c AS (SELECT o_orderpriority AS priority, cast(floor(epoch(o_orderdate)) AS bigint) AS s, count(*) AS value
@@ -380,7 +415,7 @@ ORACLE = {
     "attribute_promotion": """SELECT s_suppkey, s_name AS name, 'h' || s_nationkey AS host,
         cast(s_suppkey % 3 AS varchar) AS broker, 3::integer AS n_labels FROM supplier""",
     "alert_streak": f"WITH {_DAILY} {_runs_sql('d', 'metric, status')}",
-    "alert_states": _states_sql(),
+    "alert_states": f"WITH {_DAILY} " + _states_sql("d", f"cast(epoch(timestamp '{AS_OF}') AS bigint)", DAY, {}),
     "series_changed_vs_offset": f"WITH {_COUNTS} SELECT priority, value, 1::integer AS n_labels, s AS eval_s FROM ch",
     "alert_changed_vs_offset": f"""WITH {_COUNTS}
         SELECT 'CountChanged' AS alert, 'warning' AS severity, 'resolved' AS state, 'changed' AS summary,

@@ -6,8 +6,6 @@ the stream take the files of one part per micro-batch.
 
 from __future__ import annotations
 
-from functools import partial
-
 from pyspark.sql import functions as F
 
 from tidemark import session
@@ -158,26 +156,23 @@ def _kept_back(spark, base):
     return jobs.open_steps(spark.read.parquet(f"{base}/in"), DAY)
 
 
-def stream_steps(spark, folder, whole=False):
-    """With ``whole``, here and below, also the steps within the delay of the newest sample."""
+def stream_steps(spark, folder):
+    """Here and below, with the steps that are within the delay of the newest sample when the stream ends."""
     steps, base = _samples(spark, folder)
     io.finish(io.start_files(steps, f"{base}/out", f"{base}/cp"))
-    found = spark.read.parquet(f"{base}/out")
-    if whole:
-        found = found.unionByName(_kept_back(spark, base))
+    found = spark.read.parquet(f"{base}/out").unionByName(_kept_back(spark, base))
     return found.select(
         "metric", F.col("labels")["grp"].alias("grp"), F.col("value").cast("bigint").alias("value"),
         F.unix_seconds("eval_ts").alias("eval_s"),
     )
 
 
-def stream_rules(spark, folder, whole=False):
+def stream_rules(spark, folder):
     steps, base = _samples(spark, folder)
     rule = rules.metrics.RecordingRule("clicks", "click", ("half",))
     io.finish(jobs.record_rules(steps, [rule], f"{base}/out", f"{base}/cp"))
     found = io.read_batches(spark, f"{base}/out")
-    if whole:
-        found = found.unionByName(rules.metrics.evaluate_rules(_kept_back(spark, base), [rule]))
+    found = found.unionByName(rules.metrics.evaluate_rules(_kept_back(spark, base), [rule]))
     return found.select(
         "record", F.col("labels")["half"].alias("half"), F.col("value").cast("bigint").alias("value"),
         F.unix_seconds("eval_ts").alias("eval_s"),
@@ -187,11 +182,10 @@ def stream_rules(spark, folder, whole=False):
 _LOW = AlertRule("LowValue", "click", "<", 3000, for_seconds=DAY, severity="warning")
 
 
-def stream_alerts(spark, folder, whole=False):
+def stream_alerts(spark, folder):
     steps, base = _samples(spark, folder)
     io.finish(jobs.watch(steps, _LOW, f"{base}/alerts", f"{base}/cp", DAY, DAY))
-    path = f"{base}/alerts"
-    found = jobs.watched_to_end(_kept_back(spark, base), _LOW, path, DAY, DAY) if whole else jobs.watched(spark, path)
+    found = jobs.watched_to_end(_kept_back(spark, base), _LOW, f"{base}/alerts", DAY, DAY)
     return found.select(
         F.map_from_entries("series")["grp"].alias("grp"), "state", "steps",
         F.col("value").cast("bigint").alias("value"),
@@ -200,6 +194,46 @@ def stream_alerts(spark, folder, whole=False):
     )
 
 
+HOUR, LOOKBACK = 3600, 10_800
+
+
+def _vector(spark, folder):
+    """Hourly evaluation of the event samples, each visible for three hours, and what is still open in the end."""
+    samples, base = _stream(spark, fixtures.event_samples(spark, folder), "ts", "vector")
+    return jobs.stream_vector(samples, HOUR, LOOKBACK), base
+
+
+def _open_vector(spark, base):
+    return jobs.open_vector(spark.read.parquet(f"{base}/in"), HOUR, LOOKBACK)
+
+
+def stream_vector(spark, folder):
+    vector, base = _vector(spark, folder)
+    io.finish(io.start_files(vector, f"{base}/out", f"{base}/cp"))
+    found = spark.read.parquet(f"{base}/out").unionByName(_open_vector(spark, base))
+    return found.select(
+        "metric", F.col("labels")["grp"].alias("grp"), F.col("value").cast("bigint").alias("value"),
+        F.unix_seconds("eval_ts").alias("eval_s"),
+    )
+
+
+def stream_rules_over_vector(spark, folder):
+    """Samples to instant vector to recording rules, as the rules run in sequence, with look-back across steps."""
+    vector, base = _vector(spark, folder)
+    io.finish(jobs.record_rules(vector, rules.SUMS, f"{base}/out", f"{base}/cp"))
+    found = io.read_batches(spark, f"{base}/out")
+    return rules.flat_sums(found.unionByName(rules.metrics.evaluate_rules(_open_vector(spark, base), rules.SUMS)))
+
+
+def stream_alert_states(spark, folder):
+    """All six configured alert rules in one stream, on a one-minute grid, up to its newest step."""
+    vector = rules.minute_vector(spark, folder)
+    stream, base = _stream(spark, vector, "eval_ts", "states")
+    path = f"{base}/alerts"
+    io.finish(jobs.watch(stream, rules.rulebook.ALERT_RULES, path, f"{base}/cp", 60, 60))
+    return rules.minute_alert_rows(rules.alerts.described(jobs.watched(spark, path), rules.rulebook.ALERT_RULES))
+
+
 def stream_logs(spark, folder):
     """Log files written from the documents, collected with labels."""
     base = session.scratch_dir(spark, "logs")
@@ -212,9 +246,8 @@ def stream_logs(spark, folder):
 
 _STEPS = """s AS (SELECT event_type AS metric, cast(user_id % 10 AS varchar) AS grp,
     cast(round(value * 100) AS bigint) AS value, epoch_us(ts) AS us FROM events),
-  st AS (SELECT metric, grp, cast(ceil(us / 86400000000.0) AS bigint) * 86400 AS eval_s, arg_max(value, us) AS value
-    FROM s GROUP BY ALL),
-  steps AS (SELECT * FROM st WHERE eval_s * 1000 <= (SELECT (max(us) - 1) // 1000 FROM s) - 600000)"""
+  steps AS (SELECT metric, grp, cast(ceil(us / 86400000000.0) AS bigint) * 86400 AS eval_s, arg_max(value, us) AS value
+    FROM s GROUP BY ALL)"""
 
 QUERIES = {
     "stream_cdc_fold": stream_fold,
@@ -232,9 +265,12 @@ QUERIES = {
     "stream_rules": stream_rules,
     "stream_alerts": stream_alerts,
     "stream_log_collect": stream_logs,
-    "stream_step_values_whole": partial(stream_steps, whole=True),
-    "stream_rules_whole": partial(stream_rules, whole=True),
-    "stream_alerts_whole": partial(stream_alerts, whole=True),
+    "stream_step_values_whole": stream_steps,
+    "stream_rules_whole": stream_rules,
+    "stream_alerts_whole": stream_alerts,
+    "stream_instant_vector": stream_vector,
+    "stream_rules_over_vector": stream_rules_over_vector,
+    "stream_alert_states": stream_alert_states,
 }
 
 ORACLE = {
@@ -264,8 +300,11 @@ ORACLE = {
         now AS (SELECT max(eval_s) AS s FROM steps)
         SELECT grp, CASE WHEN last_s + 86400 <= now.s THEN 'resolved' WHEN steps > 1 THEN 'firing' ELSE 'pending' END AS state,
           steps, value, starts_s, last_s FROM runs, now WHERE steps > 1 OR last_s + 86400 > now.s""",
+    "stream_instant_vector": rules.ORACLE["instant_vector"],
+    "stream_rules_over_vector": rules.ORACLE["rule_over_instant_vector"],
+    "stream_alert_states": rules.minute_alerts_sql(),
     "stream_log_collect": """SELECT unnest(string_split(text, chr(10))) AS value, 'documents' AS job FROM documents""",
 }
 
-_TRIM = _STEPS[_STEPS.index(" WHERE eval_s * 1000") : -1]
-ORACLE |= {f"{name}_whole": ORACLE[name].replace(_TRIM, "") for name in ("stream_step_values", "stream_rules", "stream_alerts")}
+# The names that earlier told the whole results from trimmed ones.
+ORACLE |= {f"{name}_whole": ORACLE[name] for name in ("stream_step_values", "stream_rules", "stream_alerts")}

@@ -78,6 +78,21 @@ def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
     rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
 
+def drop_batch(spark: SparkSession, path: str, batch_id: int) -> None:
+    """Delete the folder of one batch that no later batch reads."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/batch={batch_id}")
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(folder):
+        files.delete(folder, True)
+
+
+def kept_batches(spark: SparkSession, path: str) -> list[int]:
+    """The batches that have a folder."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    names = [s.getPath().getName() for s in folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)]
+    return sorted(int(name.removeprefix("batch=")) for name in names if name.startswith("batch="))
+
+
 def read_batches(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop("batch")
 
