@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -150,6 +152,54 @@ def redeem_log(
     )
 
 
+def changing_log(spark: SparkSession, folder: str) -> DataFrame:
+    """Redeems and the changes of keywords and programs in one log of three phases (column ``phase``).
+
+    Three keywords have one name. Every fifth moves to the next name and program in phase 1, every nineteenth is
+    deleted in phase 2, every twenty-third has no name. A fifth of the programs appear in phase 1, every sixth is
+    renamed in phase 2. Redeems come in all phases; some have no transaction id.
+    """
+
+    def event(op: str, key: str, document: str) -> str:
+        return f"""to_json(named_struct('operationType', '{op}',
+            'fullDocument', {document if op == "insert" else "null"},
+            'updateDescription', {f"named_struct('updatedFields', {document})" if op == "update" else "null"},
+            'documentKey', named_struct('_id', named_struct('$oid', cast({key} AS string)))))"""
+
+    def eligibility(moved: int) -> str:
+        return f"""named_struct(
+            'end_period', if(c_custkey % 11 = 0, null, named_struct('$date', start_ms + 365 * 86400000L)),
+            'name', if(c_custkey % 23 = 0, null, concat('KW', (c_custkey + {3 * moved}) div 3)),
+            'program_id', named_struct('_id', named_struct('$oid',
+                cast(if(c_custkey % 17 = 0, 99, (c_nationkey + {moved}) % 25) AS string))),
+            'start_period', if(c_custkey % 11 = 0, null, named_struct('$date', start_ms)))"""
+
+    def records(rows: DataFrame, topic: str, key: str, phase: str, value: str) -> DataFrame:
+        return rows.selectExpr(
+            f"cast({key} AS string) AS key", f"{value} AS value", f"'{topic}' AS topic", "0 AS partition",
+            f"{phase} * 1000000000L + {key} AS offset", "timestamp '2024-01-01 00:00:00' AS timestamp", f"{phase} AS phase",
+        )
+
+    customers = table(spark, folder, "customer").selectExpr("*", "820454400000 + (c_custkey % 1000) * 86400000 AS start_ms")
+    nations, orders = table(spark, folder, "nation"), table(spark, folder, "orders")
+    whole = f"named_struct('eligibility', {eligibility(0)}, 'segment', c_mktsegment)"
+    program = "named_struct('name', n_name, 'region', n_regionkey)"
+    keyword = "if(o_orderkey % 13 = 0, concat('NONE', o_orderkey), concat('KW', o_custkey div 3))"
+    redeem = f"""to_json(named_struct('data', named_struct('keyword', {keyword},
+        'transaction_id', if(o_orderkey % 97 = 0, null, cast(o_orderkey AS string)))))"""
+    parts = [
+        records(customers, "keyword", "c_custkey", "0", event("insert", "c_custkey", whole)),
+        records(customers.filter("c_custkey % 5 = 0"), "keyword", "c_custkey", "1",
+                event("update", "c_custkey", f"named_struct('eligibility', {eligibility(1)})")),
+        records(customers.filter("c_custkey % 19 = 0"), "keyword", "c_custkey", "2", event("delete", "c_custkey", "null")),
+        records(nations, "program", "n_nationkey", "if(n_nationkey % 5 = 4, 1, 0)", event("insert", "n_nationkey", program)),
+        records(nations.filter("n_nationkey % 6 = 0"), "program", "n_nationkey", "2",
+                event("update", "n_nationkey", "named_struct('name', lower(n_name))")),
+        records(orders, "redeem", "o_orderkey", "cast(o_orderkey % 3 AS int)", redeem),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def versions(spark: SparkSession, folder: str, event_type: str) -> DataFrame:
     return (
         table(spark, folder, "events")

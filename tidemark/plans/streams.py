@@ -16,6 +16,7 @@ from tidemark.plans.fixtures import DAY
 from tidemark.sources import files
 from tidemark.sources.envelope import accepted, parse_redeems
 from tidemark.streaming import io, jobs, state
+from tidemark.streaming.lookups import FollowingJoin, Lookups, enrich_following
 from tidemark.streaming.versions import VersionedJoin
 
 
@@ -93,6 +94,28 @@ def stream_enrich(spark, folder):
     return io.read_batches(spark, f"{base}/out")
 
 
+def _phases(spark, folder, label):
+    """The changing log, a phase per batch."""
+    records, base = _stream(spark, fixtures.changing_log(spark, folder), "phase", label)
+    return records.drop("phase"), base
+
+
+def stream_enrich_following(spark, folder):
+    """Redeems enriched by keyword and program tables that their change streams keep, as of each batch."""
+    records, base = _phases(spark, folder, "following")
+    tables = Lookups(spark, f"{base}/tables", BUCKETS)
+    io.finish(enrich_following(records, tables, f"{base}/out", f"{base}/cp", "with_event", ["transaction_id"]))
+    return io.read_batches(spark, f"{base}/out")
+
+
+def stream_left_following(spark, folder):
+    """The last message of every result row of redeems and keywords, both changing."""
+    records, base = _phases(spark, folder, "join")
+    join = FollowingJoin(spark, f"{base}/join", BUCKETS)
+    io.finish(join.start(records, f"{base}/cp"))
+    return join.result()
+
+
 def stream_dedup(spark, folder):
     """Every redeem is sent twice; one of each is kept."""
     redeems = fixtures.redeem_log(spark, folder)
@@ -249,6 +272,24 @@ _STEPS = """s AS (SELECT event_type AS metric, cast(user_id % 10 AS varchar) AS
   steps AS (SELECT metric, grp, cast(ceil(us / 86400000000.0) AS bigint) * 86400 AS eval_s, arg_max(value, us) AS value
     FROM s GROUP BY ALL)"""
 
+# The changing log: keywords and programs after each phase, redeems in theirs.
+_PHASES = """ph AS (SELECT unnest([0, 1, 2]) AS phase),
+  kp AS (SELECT phase, cast(c_custkey AS varchar) AS id, CASE WHEN phase > 0 AND c_custkey % 5 = 0 THEN 1 ELSE 0 END AS moved,
+      c_custkey, c_nationkey, c_mktsegment, 820454400000 + (c_custkey % 1000) * 86400000 AS start_ms
+    FROM customer, ph WHERE NOT (phase = 2 AND c_custkey % 19 = 0)),
+  k AS (SELECT phase, id, CASE WHEN c_custkey % 23 <> 0 THEN 'KW' || ((c_custkey + 3 * moved) // 3) END AS name,
+      CASE WHEN c_custkey % 17 = 0 THEN '99' ELSE cast((c_nationkey + moved) % 25 AS varchar) END AS program_id,
+      CASE WHEN c_custkey % 11 <> 0 THEN start_ms END AS start_period,
+      CASE WHEN c_custkey % 11 <> 0 THEN start_ms + 365 * 86400000::bigint END AS end_period, c_mktsegment FROM kp),
+  kd AS (SELECT *, '{"eligibility":{' || coalesce('"end_period":{"$date":' || end_period || '},', '') ||
+      coalesce('"name":"' || name || '",', '') || '"program_id":{"_id":{"$oid":"' || program_id || '"}}' ||
+      coalesce(',"start_period":{"$date":' || start_period || '}', '') || '},"segment":"' || c_mktsegment || '"}' AS doc FROM k),
+  p AS (SELECT phase, cast(n_nationkey AS varchar) AS id, '{"name":"' ||
+      CASE WHEN phase = 2 AND n_nationkey % 6 = 0 THEN lower(n_name) ELSE n_name END || '","region":' || n_regionkey || '}' AS doc
+    FROM nation, ph WHERE phase > 0 OR n_nationkey % 5 <> 4),
+  r AS (SELECT cast(o_orderkey % 3 AS integer) AS phase, CASE WHEN o_orderkey % 97 <> 0 THEN cast(o_orderkey AS varchar) END AS tx,
+      CASE WHEN o_orderkey % 13 = 0 THEN 'NONE' || o_orderkey ELSE 'KW' || (o_custkey // 3) END AS keyword FROM orders)"""
+
 QUERIES = {
     "stream_cdc_fold": stream_fold,
     "stream_cdc_fold_compacted": stream_fold_compacted,
@@ -256,6 +297,8 @@ QUERIES = {
     "stream_cdc_rejects": stream_rejects,
     "stream_latest_per_key": stream_latest,
     "stream_enrich": stream_enrich,
+    "stream_enrich_following": stream_enrich_following,
+    "stream_left_following": stream_left_following,
     "stream_dedup": stream_dedup,
     "stream_eligibility": stream_eligibility,
     "stream_eligibility_keyed": stream_eligibility_keyed,
@@ -280,6 +323,18 @@ ORACLE = {
     "stream_cdc_rejects": cdc.ORACLE["cdc_rejects"],
     "stream_latest_per_key": cdc.ORACLE["cdc_latest_per_key"],
     "stream_enrich": enrich.ORACLE["lookup_message"],
+    "stream_enrich_following": f"""WITH {_PHASES},
+        f AS (SELECT kd.phase, kd.name, arg_min(kd.doc, kd.id) AS keyword_doc, arg_min(p.doc, kd.id) AS program_doc
+              FROM kd JOIN p ON p.phase = kd.phase AND p.id = kd.program_id WHERE kd.name IS NOT NULL GROUP BY kd.phase, kd.name)
+        SELECT '{{"event":{{"transaction_id":' || coalesce('"' || tx || '"', 'null') || '}},"keyword":' || keyword_doc ||
+          ',"program":' || program_doc || ',"customer":null}}' AS value
+        FROM r JOIN f ON f.phase = r.phase AND f.name = r.keyword""",
+    "stream_left_following": f"""WITH {_PHASES}
+        SELECT '{{"transaction_id":"' || tx || '","keyword_id":' || coalesce('"' || k.id || '"', 'null') || '}}' AS key,
+          '{{"transaction_id":"' || tx || '","keyword":"' || keyword || '","keyword_id":' || coalesce('"' || k.id || '"', 'null') ||
+          ',"start_period":' || coalesce(cast(start_period AS varchar), 'null') ||
+          ',"end_period":' || coalesce(cast(end_period AS varchar), 'null') || '}}' AS value
+        FROM r LEFT JOIN k ON k.phase = 2 AND k.name = r.keyword WHERE tx IS NOT NULL""",
     "stream_dedup": f"WITH {enrich._R} SELECT transaction_id, keyword FROM r",
     "stream_eligibility": enrich.ORACLE["eligibility_reason"],
     "stream_eligibility_keyed": f"""WITH judged AS ({enrich.ORACLE["eligibility_reason"]})

@@ -17,14 +17,14 @@ from tidemark.streaming.store import Head, Store
 _NONE = "_id string, document string"
 
 
-def _merge(entries: DataFrame, last: bool) -> DataFrame:
+def merged_entries(entries: DataFrame, last: bool) -> DataFrame:
     """Without older runs what a barrier hides can go; otherwise its rows may still be hidden by it."""
     reduced = fold.reduce_entries(entries)
     return fold.compacted(reduced) if last else reduced
 
 
 def stores(spark: SparkSession, path: str, buckets: int = 64) -> tuple[Store, Store]:
-    entries = Store(spark, f"{path}/entries", ["_id"], _merge, buckets)
+    entries = Store(spark, f"{path}/entries", ["_id"], merged_entries, buckets)
     return entries, Store(spark, f"{path}/documents", ["_id"], lambda rows, last: rows, buckets)
 
 
