@@ -268,3 +268,32 @@ def test_steps_into_lists(spark):
 def test_no_window_in_the_plan(spark):
     frame = fold.state_fields(fold.reduce_entries(fold.change_entries(parsed(spark, random_log(6)))))
     assert "Window" not in frame._jdf.queryExecution().toString()
+
+
+def test_values_keep_their_characters(spark):
+    """Numbers, strings that look like numbers or markers, escapes, and nesting."""
+    big = "1234567890" * 5
+    document = (
+        '{"a":1.10,"b":' + big + ',"c":{"x":-0.50,"y":[1e2,null,"1.10",{"z":7E-3,"q":"a\\"1.5\\""}]},"d":null,'
+        '"e.f":"t\\"2.50\\\\","g":"\ue0001.5","h":true,"i":"[1.0]","j":-0,"1.50":"","k":[],"l":{}}'
+    )
+    value = '{"operationType": "insert", "fullDocument": ' + document + ', "documentKey": {"_id": {"$oid": "a"}}}'
+    rows = spark.createDataFrame([("a", value, "t", 0, 1, None)], LOG)
+    state = fold.fold(envelope.accepted(envelope.parse_changes(rows, "offset")))
+    text = state.first()["document"]
+    fields = {"a": "1.10", "b": big, "j": "-0", "c": '{"x":-0.50,"y":[1e2,null,"1.10",{"z":7E-3,"q":"a\\"1.5\\""}]}'}
+    for name, want in fields.items():
+        assert f'"{name}":{want}' in text
+    assert json.loads(text) == json.loads(document)
+    # A stored document keeps them too when a later event touches it.
+    change = '{"operationType":"update","updateDescription":{"updatedFields":{"m":0.10}},"documentKey":{"_id":{"$oid":"a"}}}'
+    events = envelope.accepted(envelope.parse_changes(spark.createDataFrame([("a", change, "t", 0, 2, None)], LOG), "offset"))
+    again = fold.fold(events, state).first()["document"]
+    assert all(f'"{name}":{want}' in again for name, want in (fields | {"m": "0.10"}).items())
+
+
+@pytest.mark.parametrize("document,reject", [("5", "invalid_document"), ("[1]", "invalid_document"), ('"x"', "invalid_document"), ("null", None), ("{}", None)])
+def test_documents_that_are_no_objects(spark, document, reject):
+    value = '{"operationType":"insert","fullDocument":' + document + ',"documentKey":{"_id":{"$oid":"a"}}}'
+    rows = spark.createDataFrame([("a", value, "t", 0, 1, None)], LOG)
+    assert envelope.parse_changes(rows, "offset").first()["reject"] == reject

@@ -39,6 +39,55 @@ def without_keys(document: Column, keys: Column) -> Column:
     return F.map_filter(document, lambda key, _: ~F.array_contains(names, key))
 
 
+# Private characters that tell numbers and strings apart once both are JSON strings, and one that no JSON text holds raw.
+_NUMBER, _STRING, _CUT = "\ue000", "\ue001", "\u0001"
+_INSIDE = r'(?:[^"\\]|\\.)*+'
+
+
+def marked(text: Column | str) -> Column:
+    """JSON text with every number as a string after ``_NUMBER`` and every string, names too, after ``_STRING``.
+
+    A JSON reader turns numbers into doubles; as strings they keep their characters.
+    """
+    strings = F.regexp_replace(text, f'"({_INSIDE})"', f'"{_STRING}$1"')
+    cut = F.regexp_replace(strings, f'("{_INSIDE}")|(-?[0-9][-+.0-9eE]*+)', f"$1{_CUT}$2{_CUT}")
+    return F.regexp_replace(F.replace(cut, F.lit(_CUT * 2), F.lit("")), f"{_CUT}([^{_CUT}]*){_CUT}", f'"{_NUMBER}$1"')
+
+
+def marked_name(name: str) -> str:
+    """A field name as ``marked`` writes it."""
+    return _STRING + name
+
+
+def _unmarked(value: Column) -> Column:
+    rest = F.substring(value, F.lit(2), F.length(value))
+    quoted = F.to_json(F.array(rest))
+    numbers = F.regexp_replace(value, f'"{_NUMBER}([-+.0-9eE]*)"', "$1")
+    nested = F.regexp_replace(numbers, f'"{_STRING}({_INSIDE})"', '"$1"')
+    return (
+        F.when(value.isNull(), "null")
+        .when(value.startswith(_STRING), F.substring(quoted, F.lit(2), F.length(quoted) - 2))
+        .when(value.startswith(_NUMBER), rest)
+        .otherwise(nested)
+    )
+
+
+def exact_fields(fields: Column) -> Column:
+    """A ``map<string,string>`` read from marked text, as names and the JSON text of their values, digit by digit."""
+    names = F.transform_keys(fields, lambda name, _: F.substring(name, F.lit(2), F.length(name)))
+    return F.transform_values(names, lambda _, value: _unmarked(value))
+
+
+def json_fields(document: Column | str) -> Column:
+    """The top-level fields of an object text, values as JSON text with their numbers as they are; null for other texts."""
+    return exact_fields(F.from_json(marked(document), "map<string,string>"))
+
+
+def fields_text(fields: Column) -> Column:
+    """Names and JSON texts as one object text, in their order; null gives ``{}``."""
+    return F.coalesce(_object(F.map_entries(fields)), F.lit("{}"))
+
+
 def document_text(document: Column) -> Column:
     """A struct, map or variant as JSON text, null fields kept; null gives ``{}``."""
     return F.coalesce(F.to_json(document, {"ignoreNullFields": "false"}), F.lit("{}"))
@@ -49,12 +98,15 @@ def object_from_entries(entries: Column) -> Column:
 
     Entries are put in key order, so equal documents are equal text.
     """
+    return _object(F.array_sort(entries))
+
 
+def _object(entries: Column) -> Column:
     def member(entry: Column) -> Column:
         quoted = F.to_json(F.array(entry["key"]))
         return F.concat(F.substring(quoted, F.lit(2), F.length(quoted) - 2), F.lit(":"), entry["value"])
 
-    members = F.transform(F.array_sort(entries), member)
+    members = F.transform(entries, member)
     return F.concat(F.lit("{"), F.array_join(members, ","), F.lit("}"))
 
 

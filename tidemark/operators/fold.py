@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.jsondoc import object_from_entries, without_keys
+from tidemark.functions.jsondoc import json_fields, object_from_entries, without_keys
 
 REMOVAL_MODES = ("intended", "as_written")
 
@@ -35,7 +35,7 @@ _ENTRY = "struct<field: string, phase: int, pos: int, gone: boolean, value: stri
 def change_entries(events: DataFrame, removal: str = "intended") -> DataFrame:
     """Split events (``_id, op, seq, patch, removed``) into entries.
 
-    ``removal='intended'`` removes the named fields from the stored document
+    The values of ``patch`` are JSON texts, or variants. ``removal='intended'`` removes the named fields from the stored document
     after the update's own fields are merged; ``'as_written'`` only takes them
     out of the update's own fields before the merge.
     """
@@ -55,6 +55,7 @@ def change_entries(events: DataFrame, removal: str = "intended") -> DataFrame:
             value.alias("value"),
         )
 
+    opened = "variant" in events.schema["patch"].dataType.simpleString()
     none, no = F.lit(None).cast("string"), F.lit(False)
     barrier = F.when(
         op.isin("insert", "delete"), F.array(entry(none, 0, F.lit(0), op == "delete", none))
@@ -64,7 +65,7 @@ def change_entries(events: DataFrame, removal: str = "intended") -> DataFrame:
         op != "delete",
         F.transform(
             F.map_entries(patch),
-            lambda pair, pos: entry(pair["key"], 0, pos, no, F.to_json(pair["value"])),
+            lambda pair, pos: entry(pair["key"], 0, pos, no, F.to_json(pair["value"]) if opened else pair["value"]),
         ),
     )
     parts = [barrier, sets]
@@ -146,7 +147,7 @@ def snapshot_entries(snapshot: DataFrame, like: DataFrame) -> DataFrame:
         "_id",
         F.lit("insert").alias("op"),
         seq.alias("seq"),
-        F.from_json("document", "map<string,variant>").alias("patch"),
+        json_fields("document").alias("patch"),
         F.lit(None).cast("array<string>").alias("removed"),
     )
     return change_entries(events)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.functions.jsondoc import document_text, merge_objects, unwrap_id, without_keys
+from tidemark.functions.jsondoc import document_text, fields_text, merge_objects, unwrap_id, without_keys
 from tidemark.operators import fold, lookup, tables
 from tidemark.plans import fixtures
 from tidemark.sources import envelope, schemas, specs
@@ -139,10 +139,15 @@ def verify_written(spark, folder):
     return tables.verify_written(events.filter(F.col("op") == "insert"), fold.fold(events))
 
 
+def fold_exact(spark, folder):
+    """Values come out with the digits they were written with."""
+    return fold.fold(envelope.accepted(envelope.parse_changes(fixtures.exact_change_log(spark, folder), "offset")))
+
+
 def update_documents(spark, folder):
     """Changed fields as JSON text, an absent document as ``{}``."""
     events = _events(spark, folder)
-    return events.select(F.col("seq").alias("event_id"), document_text(F.col("patch")).alias("document"))
+    return events.select(F.col("seq").alias("event_id"), fields_text(F.col("patch")).alias("document"))
 
 
 def merge_remove(spark, folder):
@@ -243,6 +248,7 @@ QUERIES = {
     "cdc_verify_written": verify_written,
     "cdc_update_documents": update_documents,
     "json_merge_remove": merge_remove,
+    "cdc_fold_exact": fold_exact,
 }
 
 _INTENDED = _state_sql("intended")
@@ -293,6 +299,14 @@ ORACLE = {
         SELECT ids._id, state._id IS NOT NULL AS found,
           CASE WHEN length(document) > 50 THEN substr(document, 1, 50) || '...' ELSE document END AS excerpt
         FROM ids LEFT JOIN state ON state._id = ids._id""",
+    "cdc_fold_exact": r"""WITH b AS (SELECT user_id, max(event_id) AS at, arg_max(event_type, event_id) AS kind FROM events
+          WHERE event_type IN ('signup', 'error') GROUP BY user_id),
+        e AS (SELECT user_id, arg_max(event_type, event_id) AS event_type, max(event_id) AS event_id,
+          arg_max(cast(round(value * 100) AS bigint), event_id) AS cents FROM events GROUP BY user_id)
+        SELECT cast(user_id AS varchar) AS _id, '{"amount":' || event_id || '.10,"big":' || repeat('9', 40) ||
+          lpad(cast(event_id AS varchar), 10, '0') || ',"dotted.key":"a\"' || event_type || '","nested":{"x":' || cents ||
+          '.50,"y":[1e2,null,"1.10"]},"none":null,"text":"1.10"}' AS document
+        FROM e JOIN b USING (user_id) WHERE kind = 'signup'""",
     "json_merge_remove": """WITH m AS (SELECT event_id, '"b":"' || event_type || '","c":null}' AS rest FROM events)
         SELECT event_id, '{"a":' || event_id || ',' || rest AS merged,
           CASE WHEN event_id % 2 = 0 THEN '{' || rest ELSE '{"a":' || event_id || ',' || rest END AS less FROM m""",

@@ -56,6 +56,24 @@ def change_log(spark: SparkSession, folder: str, removals: bool = True, broken:
     )
 
 
+def exact_change_log(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as texts whose values a reader of JSON numbers would change: decimals, fifty digits, nested ones."""
+    document = """concat('{"amount":', event_id, '.10,"big":', repeat('9', 40), lpad(event_id, 10, '0'),
+        ',"nested":{"x":', cents, '.50,"y":[1e2,null,"1.10"]},"none":null,"dotted.key":"a\\\\"', event_type, '","text":"1.10"}')"""
+    events = table(spark, folder, "events").selectExpr("*", "cast(round(value * 100) as bigint) AS cents")
+    return events.selectExpr("*", f"{document} AS document").selectExpr(
+        "cast(user_id AS string) AS key",
+        """concat('{"operationType":"', CASE event_type WHEN 'signup' THEN 'insert' WHEN 'error' THEN 'delete' ELSE 'update' END, '"',
+             CASE event_type WHEN 'signup' THEN concat(',"fullDocument":', document) WHEN 'error' THEN ''
+                  ELSE concat(',"updateDescription":{"updatedFields":', document, '}') END,
+             ',"documentKey":{"_id":{"$oid":"', user_id, '"}}}') AS value""",
+        "'changes' AS topic",
+        "0 AS partition",
+        "event_id AS offset",
+        "cast(ts AS timestamp) AS timestamp",
+    )
+
+
 def nested_change_log(spark: SparkSession, folder: str) -> DataFrame:
     """Every user document holds one object per event type, set field by field.
 

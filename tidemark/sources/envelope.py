@@ -5,11 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.jsondoc import is_json, unwrap_id
+from tidemark.functions.jsondoc import exact_fields, is_json, marked, marked_name, unwrap_id
 from tidemark.functions.once import with_once
 from tidemark.functions.times import epoch_ms, resolve_event_ms
 from tidemark.sources import schemas
 
+# The documents of a change event, read from marked text.
+_DOCUMENTS = f"""
+    `{marked_name("fullDocument")}` map<string, string>,
+    `{marked_name("updateDescription")}` struct<`{marked_name("updatedFields")}`: map<string, string>>,
+    _malformed string
+"""
+
 OPERATIONS = ("insert", "replace", "update", "delete")
 
 
@@ -30,31 +37,33 @@ def parse_changes(records: DataFrame, order: Column | str | None = None, now: Co
 
     Columns: ``_id``, ``op``, ``seq`` (total order per id, by default the place
     in the log), ``event_ms``, ``patch`` (document of an insert or replace, the
-    changed fields of an update), ``removed``, ``db``, ``coll``, ``reject``
+    changed fields of an update: names and JSON texts, numbers as they are written), ``removed``, ``db``, ``coll``, ``reject``
     (null for a usable event, else the reason) and the raw ``value``.
     """
-    event = F.col("event")
+    event, documents = F.col("event"), F.col("documents")
+    whole_document = documents[marked_name("fullDocument")]
+    changed_fields = documents[marked_name("updateDescription")][marked_name("updatedFields")]
     seq = F.struct("partition", "offset") if order is None else F.col(order) if isinstance(order, str) else order
     op = event["operationType"]
     document_id = unwrap_id(event["documentKey"]["_id"])
     whole = op.isin("insert", "replace")
     cluster = F.coalesce(event["clusterTime"]["$timestamp"]["t"], event["clusterTime"]["t"])
-    broken = event["_malformed"].isNotNull()
+    broken, unread = event["_malformed"].isNotNull(), documents["_malformed"].isNotNull()
     reject = (
         F.when(broken & ((op.isNull() & document_id.isNull()) | ~is_json(F.col("value"))), "malformed_json")
         .when(document_id.isNull(), "missing_key")
         .when(op.isNull() | ~op.isin(*OPERATIONS), "unknown_operation")
-        .when(broken & whole & event["fullDocument"].isNull(), "invalid_document")
-        .when(broken & (op == "update") & event["updateDescription"]["updatedFields"].isNull(), "invalid_document")
+        .when(unread & whole & whole_document.isNull(), "invalid_document")
+        .when(unread & (op == "update") & changed_fields.isNull(), "invalid_document")
     )
-    return parse_json(records, schemas.CHANGE_EVENT).select(
+    parsed = parse_json(records, schemas.CHANGE_HEAD)
+    read = F.from_json(marked("value"), _DOCUMENTS, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_malformed"})
+    return with_once(parsed, "documents", read).select(
         document_id.alias("_id"),
         op.alias("op"),
         seq.alias("seq"),
         resolve_event_ms(epoch_ms(event["wallTime"]["$date"]), cluster, now).alias("event_ms"),
-        F.when(whole, event["fullDocument"])
-        .when(op == "update", event["updateDescription"]["updatedFields"])
-        .alias("patch"),
+        exact_fields(F.when(whole, whole_document).when(op == "update", changed_fields)).alias("patch"),
         F.when(op == "update", event["updateDescription"]["removedFields"]).alias("removed"),
         event["ns"]["db"].alias("db"),
         event["ns"]["coll"].alias("coll"),

@@ -21,6 +21,21 @@ CHANGE_EVENT = """
     _malformed string
 """
 
+# The same for jobs that read the documents apart, with their numbers as they
+# are written (see ``envelope.parse_changes``). The document is named so that a
+# record which breaks off inside it still tells its key.
+CHANGE_HEAD = """
+    operationType string,
+    clusterTime struct<`$timestamp`: struct<t: bigint, i: bigint>, t: bigint, i: bigint>,
+    wallTime struct<`$date`: string>,
+    fullDocument string,
+    updateDescription struct<removedFields: array<string>,
+                             truncatedArrays: array<string>>,
+    ns struct<db: string, coll: string>,
+    documentKey struct<_id: variant>,
+    _malformed string
+"""
+
 # The document fields that the lookups read.
 KEYWORD_KEYS = """
     eligibility struct<name: string,

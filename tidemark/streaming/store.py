@@ -1,7 +1,7 @@
 """A keyed table of many small writes: runs of rows per key bucket, in levels, behind a pointer.
 
     <path>/runs/run=NAME/bucket=B   rows of one write, by bucket of their key
-    <path>/heads/batch=N            the pointer after batch N: which runs make up which bucket, and a note
+    <path>/heads/batch=N            the pointer after batch N, a small file: which runs make up which bucket, and a note
 
 A batch adds one run to the buckets it touches and nothing else. Where a bucket has ``fan`` runs of a level, these are
 merged into one run of the next level, the last level into a single run; so a row is written again once per
@@ -20,7 +20,6 @@ import json
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -59,16 +58,28 @@ class Store:
         self.spark, self.path, self.keys, self.merge = spark, path.rstrip("/"), keys, merge
         self.buckets, self.fan, self.levels, self.keep = buckets, fan, levels, keep
 
+    def _folder(self, name: str):
+        """A Hadoop path of the table and its file system, which may be any that Spark writes to."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _names(self, name: str, prefix: str) -> list[str]:
+        path, files = self._folder(name)
+        found = [status.getPath().getName() for status in files.listStatus(path)] if files.exists(path) else []
+        return sorted(x.removeprefix(prefix) for x in found if x.startswith(prefix))
+
     def _heads(self) -> list[Head]:
-        try:
-            rows = self.spark.read.text(f"{self.path}/heads").collect()  # ``keep`` rows
-        except AnalysisException as missing:
-            if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                raise
-            return []
-        heads = [Head(**json.loads(row["value"])) for row in rows]
-        for head in heads:
+        heads = []
+        for batch in self._names("heads", "batch="):  # ``keep`` small files
+            path, files = self._folder(f"heads/batch={batch}")
+            stream = files.open(path)
+            try:
+                text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            finally:
+                stream.close()
+            head = Head(**json.loads(text))
             head.buckets = {int(bucket): runs for bucket, runs in head.buckets.items()}
+            heads.append(head)
         return sorted(heads, key=lambda head: head.batch)
 
     def head(self, before: int | None = None) -> Head:
@@ -102,10 +113,8 @@ class Store:
     def _write(self, rows: DataFrame, run: str) -> list[int]:
         """Write one run; adaptive execution cuts a large bucket into several files and leaves a small one whole."""
         out = self.with_bucket(rows).hint("rebalance", "bucket").sortWithinPartitions("bucket", *self.keys)
-        path = f"{self.path}/runs/run={run}"
-        out.write.mode("overwrite").partitionBy("bucket").parquet(path)
-        there = self.spark.read.schema(f"{_one_column(rows)}, bucket int").parquet(path)
-        return sorted(row["bucket"] for row in there.select("bucket").distinct().collect())
+        out.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/runs/run={run}")
+        return sorted(int(bucket) for bucket in self._names(f"runs/run={run}", "bucket="))
 
     def commit(self, batch_id: int, rows: DataFrame, note: Callable[[list[int]], dict] | dict | None = None) -> Head:
         """Add the rows of a batch, merge what is due, move the pointer, and drop what no pointer needs.
@@ -170,34 +179,30 @@ class Store:
                     del head.buckets[bucket]
 
     def _point(self, head: Head) -> None:
+        """The pointer appears by a rename, so it is there as a whole or not at all."""
         text = json.dumps({"batch": head.batch, "schema": head.schema, "buckets": head.buckets, "note": head.note})
-        one = self.spark.createDataFrame([(text,)], "value string").coalesce(1)
-        one.write.mode("overwrite").text(f"{self.path}/heads/batch={head.batch}")
+        making, files = self._folder(f"heads/making-{head.batch}")
+        out = files.create(making, True)
+        try:
+            out.write(bytearray(text.encode()))
+        finally:
+            out.close()
+        path, _ = self._folder(f"heads/batch={head.batch}")
+        if not files.rename(making, path):
+            raise OSError(f"no pointer for batch {head.batch} at {self.path}")
 
     def _expire(self) -> None:
         heads = self._heads()
         named = set().union(*[head.runs() for head in heads[-self.keep :]])
-        newest = heads[-1].batch
-        jvm = self.spark._jvm.org.apache.hadoop.fs
-        conf = self.spark._jsc.hadoopConfiguration()
-        folder = jvm.Path(self.path)
-        files = folder.getFileSystem(conf)
         for old in heads[: -self.keep]:
-            files.delete(jvm.Path(f"{self.path}/heads/batch={old.batch}"), True)
-        for status in files.listStatus(jvm.Path(f"{self.path}/runs")):
-            name = status.getPath().getName().removeprefix("run=")
+            path, files = self._folder(f"heads/batch={old.batch}")
+            files.delete(path, False)
+        for run in self.folders():
             # A run of a later batch may be in the making; what is older and not named is not needed again.
-            if name not in named and int(name.split("-")[0]) <= newest:
-                files.delete(status.getPath(), True)
+            if run not in named and int(run.split("-")[0]) <= heads[-1].batch:
+                path, files = self._folder(f"runs/run={run}")
+                files.delete(path, True)
 
     def folders(self) -> list[str]:
-        """The runs that are stored, for checks."""
-        jvm = self.spark._jvm.org.apache.hadoop.fs
-        path = jvm.Path(f"{self.path}/runs")
-        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        return sorted(s.getPath().getName().removeprefix("run=") for s in files.listStatus(path)) if files.exists(path) else []
-
-
-def _one_column(rows: DataFrame) -> str:
-    first = rows.schema.fields[0]
-    return f"`{first.name}` {first.dataType.simpleString()}"
+        """The runs that are stored."""
+        return self._names("runs", "run=")
