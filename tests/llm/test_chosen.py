@@ -105,15 +105,15 @@ def test_links_in_a_dense_family(spark):
     assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id), r.kept) for r in rows) == want
 
 
-def test_recall_of_the_followed_trees_at_any_depth():
-    draw = random.Random(7)
-    n = chosen.POSITIONS
-    first = [sum(draw.random() < 1 / (n * 0.75) for _ in range(n)) or draw.randrange(n) * 0 + 1 for _ in range(12)]
+def test_recall_of_the_trees_at_any_depth():
+    n, trees = chosen.POSITIONS, 20
+    assert len(set(chosen.first_positions(trees))) == trees
     missed = 0.0
     for agree in range(n + 1):
         f = agree / n
         lost = (1 - f) / f if f > 0.5 else 1.0
-        missed += math.comb(n, agree) * 0.75**agree * 0.25 ** (n - agree) * lost ** sum(first)
+        unseen = agree < chosen._AGREE
+        missed += math.comb(n, agree) * 0.75**agree * 0.25 ** (n - agree) * (1.0 if unseen else lost**trees)
     assert missed < 1e-5
 
 

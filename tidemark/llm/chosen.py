@@ -1,27 +1,25 @@
 """Near-duplicates by a chosen-path similarity join.
 
 A document is its set of distinct shingles (``shingle`` consecutive lower-cased words). Texts of one set are one
-class; classes are linked where the sets' Jaccard similarity reaches ``least`` (a fraction, compared in integers).
-
-Every class has ``POSITIONS`` minwise values. A tree starts with all classes in one node, which picks about one in
-least * POSITIONS positions at random, and its classes branch by their value there; every later node picks two. So a
-pair that agrees in a share f of the positions is lost below a first node with a probability of at most (1 - f)^2 / f^2,
-and by a tree of one first position with at most (1 - f) / f, at any depth. Trees are repeated independently.
-
-In each first node the least class is a pivot that the others are compared with, and in large nodes what this joins
-is compared through one class per label, so that a large group of near copies is joined by about as many
-comparisons as it has members. Between classes not yet joined, a node is then compared exhaustively if that takes at
-most ``small`` comparisons per member, as in every node of up to ``small``. Larger nodes are followed in the first
-``deep`` trees only (which alone miss a pair at the threshold with about 1e-6): they branch again if their branches
-together have clearly fewer pairs, and are compared exhaustively, in blocks, if not, as in a dense family; so pairs
-become fewer with each step, and no node is left out. When all that is left is no more than one comparison for each
-class, it is compared at once. Candidates pass exact length bounds and a 128-bit
-sketch (a true pair fails it once in a million), and what is left is confirmed on the complete sets. Links, labels
-and nodes stay in tables throughout.
+class; classes are linked where the sets' Jaccard similarity reaches ``percent`` (compared in integers).
+
+Every class has ``POSITIONS`` minwise values, kept as bytes for branching and comparing. Each tree starts with one
+position, and classes with one value there are a node. A node of more than ``small`` classes picks two positions, and
+its classes branch by their values at each; one whose branches together keep ``_DENSE`` of its pairs, as in a dense family,
+is not branched. So a pair that agrees in a share f of the positions is lost by a tree with at most (1 - f) / f, at any
+depth: below a first node the chance e of being lost is the least root of e = (1 - f + f e)^2. Trees are independent;
+all nodes are followed in all of them.
+
+Nodes at the end are compared exhaustively in tasks, as blocks of at most ``_MEMBERS`` classes: which pairs agree in at
+least ``_AGREE`` positions (expected at the threshold less five deviations) and have near enough sizes. Only a
+spanning forest of these pairs leaves the task. Classes it connects are a group, and in a group all classes are
+compared by their complete sets, again in blocks (see ``vertical``), so no link within a group is lost, and a dense
+family whose members are alike but mostly below the threshold puts out no more rows than it has members and blocks.
 
 Defined cases: null and blank texts have an empty set and are linked with nothing; fewer words than a shingle
 are one shingle; a null doc_id takes part and is never the smallest unless the component has no other; rows that
-agree in doc_id and set have the same result; other columns are ignored; an empty table gives an empty result.
+agree in doc_id and set have the same result; a text longer than a block is a block of its own; other columns are
+ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,293 +27,178 @@ from __future__ import annotations
 import hashlib
 import random
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm import components, scratch, texts
+from tidemark.llm import components, scratch, texts, vertical
 
 POSITIONS = 128
 _FACTORS = np.random.Generator(np.random.PCG64(4)).integers(0, 1 << 63, POSITIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-#: Sketch bits in which a pair may differ: 128 * (1 - 0.75) / 2 is expected at the threshold, plus five deviations.
-_DIFFER = 35
-#: Members of a node that one task compares with all others.
-_BLOCK = 2048
-#: A node branches again if its branches have at most this share of its pairs.
-_FEWER = 0.9
-
-
-def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> list[np.ndarray]:
-    """Per text the sorted distinct codes of its shingles."""
-    data = texts.LOWER[data]
-    starts, ends, first = texts.spans(data, offsets)
-    codes = texts.word_codes(data, starts, ends)
-    windows = texts.window_codes(codes, size)
-    out = []
-    for low, high in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
-        if high - low >= size:
-            out.append(np.unique(windows[low : high - size + 1]))
-        elif high > low:
-            out.append(texts.window_codes(codes[low:high] + np.uint64(high - low), high - low))
-        else:
-            out.append(np.zeros(0, np.uint64))
-    return out
+#: Positions in which a candidate pair agrees at least, for a threshold of 75%: 96 are expected there.
+_AGREE = 72
+#: Classes of a block that one task compares with those of another.
+_MEMBERS = 512
+#: A node whose branches keep at least this share of its pairs is compared as it is.
+_DENSE = 0.9
 
 
 def _key(shingles: np.ndarray) -> bytes:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
-def sketches(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, text_code, n, key, values, bits0, bits1 per row; key and what follows are null for empty sets."""
+def first_positions(trees: int) -> list[int]:
+    """The position that each tree starts with; all different while there are enough."""
+    order = random.Random(7).sample(range(POSITIONS), POSITIONS)
+    return [order[tree % POSITIONS] for tree in range(trees)]
+
+
+def sketches(docs: DataFrame, shingle: int, trees: int) -> DataFrame:
+    """doc_id, text_code, n, key, roots (first node of each tree), sketch per row; key is null for empty sets."""
+    firsts = first_positions(trees)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "text_code", "n", "key", "values", "bits0", "bits1"]
+        names = ["doc_id", "text_code", "n", "key", "roots", "sketch"]
         for rows, data, offsets in texts.chunks(batches, 2, 1 << 20):
-            sets = shingle_sets(data, offsets, shingle)
+            sets = texts.shingle_sets(data, offsets, shingle)
             sizes = np.array([len(s) for s in sets], np.int64)
             some = sizes > 0
-            values = np.zeros((len(sets), POSITIONS), np.uint32)
+            values = np.zeros((len(sets), POSITIONS), np.uint64)
             if some.any():
                 together = np.concatenate(sets)
                 heads = (np.cumsum(sizes) - sizes)[some]
                 for i, factor in enumerate(_FACTORS):
-                    values[some, i] = np.minimum.reduceat(together * factor, heads) >> np.uint64(32)
-            flags = (values * np.uint32(0x9E3779B1)) >> np.uint32(31)
-            bits = np.packbits(flags.astype(np.uint8), axis=1).view("<i8")
-            yield pa.RecordBatch.from_arrays(
-                [
-                    rows.column(0),
-                    rows.column(1),
-                    pa.array(sizes),
-                    pa.array([_key(s) if len(s) else None for s in sets], pa.binary()),
-                    pa.ListArray.from_arrays(
-                        pa.array(np.arange(0, values.size + 1, POSITIONS), pa.int32()), pa.array(values.ravel().view(np.int32))
-                    ),
-                    pa.array(bits[:, 0]),
-                    pa.array(bits[:, 1]),
-                ],
-                names,
-            )
+                    values[some, i] = np.minimum.reduceat(together * factor, heads)
+            mixed = texts.mixed(values)
+            roots = texts.mixed(mixed[:, firsts] + np.arange(trees, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+            sketch = np.ascontiguousarray((mixed >> np.uint64(56)).astype(np.uint8))
+            arrays = [
+                rows.column(0),
+                rows.column(1),
+                pa.array(sizes),
+                pa.array([_key(s) if len(s) else None for s in sets], pa.binary()),
+                pa.ListArray.from_arrays(
+                    pa.array(np.arange(0, roots.size + 1, trees), pa.int32()), pa.array(roots.ravel().view(np.int64))
+                ),
+                pa.array([row.tobytes() for row in sketch], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(arrays, names)
 
     text = F.col("text").cast("string")
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("text_code"), text.alias("text"))
-    schema = "doc_id long, text_code long, n long, key binary, values array<int>, bits0 long, bits1 long"
+    schema = "doc_id long, text_code long, n long, key binary, roots array<long>, sketch binary"
     return scratch.keep(rows.mapInArrow(run, schema), "sketches")
 
 
-class Sets:
-    """Complete shingle sets, made for the classes that need one, and kept."""
-
-    def __init__(self, docs: DataFrame, classes: DataFrame, shingle: int):
-        self.docs, self.classes, self.shingle = docs, classes, shingle
-        self.made: DataFrame | None = None
-
-    def need(self, ids: DataFrame, parts: int) -> DataFrame:
-        """id, shingles for at least these ids."""
-        if self.made is not None:
-            ids = ids.join(self.made.select("id"), "id", "left_anti")
-        wanted = scratch.keep(ids.distinct().join(self.classes.select("id", "text_code", "key"), "id"), "wanted", parts)
-        text = F.col("text").cast("string")
-        coded = self.docs.select(F.xxhash64(text).alias("text_code"), text.alias("text"))
-        # One text per class: rows of a text are many, its set is made once per task.
-        texts_of = scratch.by_keys(coded, wanted.select("text_code"), ["text_code"], "left_semi")
-        size = self.shingle
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            seen: set[bytes] = set()
-            for _, data, offsets in texts.chunks(batches, 0, 1 << 20):
-                new = []
-                for shingles in shingle_sets(data, offsets, size):
-                    key = _key(shingles)
-                    if len(shingles) and key not in seen:
-                        seen.add(key)
-                        new.append((key, shingles.astype("<u8").tobytes()))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([k for k, _ in new], pa.binary()), pa.array([s for _, s in new], pa.binary())],
-                    ["key", "shingles"],
-                )
-
-        made = texts_of.select("text").mapInArrow(run, "key binary, shingles binary")
-        made = made.join(wanted.select("id", "key"), "key").select("id", "shingles").dropDuplicates(["id"])
-        made = scratch.keep(made, "sets", parts)
-        self.made = made if self.made is None else self.made.unionByName(made)
-        return self.made
-
-
-def confirmed(pairs: DataFrame, sets: DataFrame, least: tuple[int, int], parts: int) -> DataFrame:
-    """The pairs (a, b) whose complete sets are similar enough, kept."""
-    top, bottom = least
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
-            linked = []
-            for pair, left, right in zip(ids, batch.column(2), batch.column(3), strict=True):
-                x, y = (np.frombuffer(s.as_buffer(), "<u8") for s in (left, right))
-                place = np.minimum(np.searchsorted(x, y), len(x) - 1)
-                shared = int(np.count_nonzero(x[place] == y))
-                if bottom * shared >= top * (len(x) + len(y) - shared):
-                    linked.append(pair)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([a for a, _ in linked], pa.int64()), pa.array([b for _, b in linked], pa.int64())], ["a", "b"]
-            )
-
-    wide = pairs.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b").join(
-        sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a"
-    )
-    return scratch.keep(wide.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "confirmed", parts)
-
-
-def _differing(one: str, other: str) -> Column:
-    """Number of sketch bits in which two classes differ; ``one`` and ``other`` prefix their columns."""
-    parts = [F.bit_count(F.col(f"{one}bits{i}").bitwiseXOR(F.col(f"{other}bits{i}"))) for i in (0, 1)]
-    return parts[0] + parts[1]
-
-
-def _near(one: str, other: str) -> Column:
-    """Exact length bound and sketch."""
-    low, high = F.least(f"{one}n", f"{other}n"), F.greatest(f"{one}n", f"{other}n")
-    return (low * 4 >= high * 3) & (_differing(one, other) <= _DIFFER)
-
-
-def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
-    if labels is None:
-        return rows.withColumn("label", F.col("id"))
-    return rows.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-
-
-def _joined(pairs: DataFrame, sets: Sets, labels: DataFrame | None, least: tuple[int, int]) -> DataFrame | None:
-    """Labels after those of the pairs (a, b) that the complete sets confirm."""
-    pairs = scratch.keep(pairs.distinct(), "pairs")
-    n = pairs.count()
-    if not n:
-        return labels
-    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
-    wide = 1 + n // 4000  # some 10 KB of sets a pair
-    links = confirmed(pairs, sets.need(ids, wide), least, wide)
-    if labels is None:
-        return scratch.keep(components.label(links), "labels")
-    for name in ("a", "b"):
-        known = labels.select(F.col("id").alias(name), F.col("label").alias("l"))
-        links = links.join(known, name, "left").withColumn(name, F.coalesce("l", name)).drop("l")
-    moved = components.label(links)
-    old = labels.join(moved.select(F.col("id").alias("label"), F.col("label").alias("to")), "label", "left")
-    old = old.select("id", F.coalesce("to", "label").alias("label"))
-    return scratch.keep(old.unionByName(moved), "labels", 1 + labels.count() // 250_000)
-
-
-def _crossing(rows: DataFrame, *by: str) -> DataFrame:
-    """Per node the number of ordered pairs of different labels, where there are any."""
-    counted = rows.groupBy(*by, "label").agg(F.count("*").alias("c")).groupBy(*by)
-    split = counted.agg(
-        F.sum("c").alias("size"),
-        F.sum(F.col("c") * F.col("c")).alias("same"),
-        F.max_by("label", "c").alias("main"),
-        F.count("*").alias("k"),
-    ).where("size * size > same")
-    return split.select(*by, "size", "main", "k", F.expr("size * size - same").alias("cross"))
-
-
-def _compared(rows: DataFrame, pair: list[Column], other: list[Column]) -> DataFrame:
-    """Near pairs of different labels among all members of each node (with its size and main label)."""
-    blocks = F.ceil(F.col("size") / _BLOCK)
-    left = rows.where("label != main").withColumn("block", F.pmod(F.xxhash64("id"), blocks))
-    right = rows.select("node", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("block"), *other)
-    return left.join(right, ["node", "block"]).where("label != p_label").where(_near("", "p_")).select(*pair).distinct()
-
-
-def class_labels(docs: DataFrame, classes: DataFrame, shingle: int, trees: int, small: int, deep: int) -> DataFrame:
-    """(id, label) for classes joined with a smaller one."""
-    least = (3, 4)
-    draw = random.Random(7)
-    expected = POSITIONS * least[0] / least[1]
-    roots = []
-    for tree in range(trees):
-        picked = [i for i in range(POSITIONS) if draw.random() < 1 / expected] or [draw.randrange(POSITIONS)]
-        nodes = [F.xxhash64(F.lit(tree), F.lit(i), F.get("values", F.lit(i))) for i in picked]
-        roots += [F.struct(node.alias("node"), F.lit(tree < deep).alias("deep")) for node in nodes]
-    carried = ["id", "n", "bits0", "bits1"]
-    other = [F.col(c).alias(f"p_{c}") for c in [*carried, "label"]]
-    pair = [F.least("p_id", "id").alias("a"), F.greatest("p_id", "id").alias("b")]
-    rows = classes.select(F.explode(F.array(*roots)).alias("root"), *carried).select("root.*", *carried)
-    sets, n_classes = Sets(docs, classes, shingle), classes.count()
-
-    # Each class against the least pivot that may be near it.
-    nodes = rows.groupBy("node").agg(F.count("*").alias("size"), F.min(F.struct(*carried)).alias("pivot")).where("size > 1")
-    nodes = nodes.select("node", *[F.col(f"pivot.{c}").alias(f"p_{c}") for c in carried])
-    live = scratch.keep(rows.join(scratch.keep(nodes, "nodes"), "node"), "live")
-    near = live.where("id != p_id").where(_near("", "p_")).groupBy("id").agg(F.min("p_id").alias("p_id"))
-    labels = _joined(near.select(*pair), sets, None, least)
-
-    # What is not joined yet. A node is compared exhaustively if it has few enough pairs of different labels (every
-    # such pair has a member outside the node's most frequent label). In the others, members meet one class of each
-    # other label, or of the most frequent one where there are many, and the nearest pair of two labels is tried, which
-    # joins the parts of one large group; then they branch, or are compared too if that makes no fewer pairs.
+def _leaves(classes: DataFrame, small: int) -> DataFrame:
+    """node, size, id of all nodes at the ends of the trees that have two classes or more."""
+    rows = classes.select(F.explode("roots").alias("node"), "id")
+    sizes = rows.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
+    live = scratch.keep(rows.join(sizes, "node").select("node", "size", "id"), "live")
+    sketch = classes.select("id", "sketch")
     first, second = (F.xxhash64("node", F.lit(i)) for i in (0, 1))
     first = F.pmod(first, F.lit(POSITIONS)).cast("int")
     second = F.pmod(first + 1 + F.pmod(second, F.lit(POSITIONS - 1)), F.lit(POSITIONS)).cast("int")  # another one
-    picked = F.array(*[F.xxhash64("node", i, F.get("values", i)) for i in (first, second)])
-    rows = _labelled(live.select("node", "deep", *carried), labels)
-    found, parts = None, None
+    picked = F.array(*[F.xxhash64("node", at, F.expr("sketch").substr(at + 1, F.lit(1))) for at in (first, second)])
+    ends = []
     while True:
-        few = F.expr(f"cross <= {2 * small} * size")
-        split = scratch.keep(_crossing(rows, "node").withColumn("few", few), "split", parts)
-        mixed = scratch.keep(rows.join(split, "node").where("few OR deep"), "mixed", parts)
-        left = mixed.where("NOT few").select("node", "cross").distinct().agg(F.sum("cross")).first()[0] or 0
-        if left <= 2 * n_classes:  # all that is left is no more than one comparison for each class
-            mixed = mixed.withColumn("few", F.lit(True))
-        pairs = scratch.keep(_compared(mixed.where("few"), pair, other), "pairs", parts)
-        found = pairs if found is None else found.unionByName(pairs)
-        large = mixed.where("NOT few")
+        ends.append(live.where(F.col("size") <= small))
+        large = live.where(F.col("size") > small)
         if large.isEmpty():
-            break
-        heads = large.where((F.col("k") <= small) | (F.col("label") == F.col("main"))).groupBy("node", "label").agg(F.min(F.struct(*carried)).alias("head"))
-        heads = scratch.keep(heads.select("node", "label", "head.*"), "heads", parts).select("node", *other)
-        tried = large.join(heads, "node").where("label != p_label").where(_near("", "p_"))
-        best = tried.groupBy(F.least("label", "p_label"), F.greatest("label", "p_label")).agg(
-            F.min_by(F.struct(*pair), _differing("", "p_")).alias("best")
-        )
-        labels = _joined(best.select("best.a", "best.b"), sets, labels, least)
-        large = _labelled(large.select("node", "deep", *carried), labels)
-        now = scratch.keep(_crossing(large, "node"), "now", parts)
-        large = scratch.keep(large.join(now, "node"), "large", parts)
-        branches = large.join(classes.select("id", "values"), "id")
-        branches = scratch.keep(
-            branches.select("node", F.explode(picked).alias("branch"), "deep", *carried, "label"), "branches"
-        )
-        after = _crossing(branches, "node", "branch").groupBy("node").agg(F.sum("cross").alias("after"))
-        dense = now.join(after, "node").where(F.col("after") > _FEWER * F.col("cross")).select("node")
-        dense = scratch.keep(dense, "dense", parts)
-        parts = 1 + branches.count() // 100_000
-        pairs = _compared(large.join(dense, "node", "left_semi"), pair, other)
-        found = found.unionByName(scratch.keep(pairs, "pairs"))
-        rows = branches.join(dense, "node", "left_anti").select(F.col("branch").alias("node"), "deep", *carried, "label")
-    ends = _labelled(found.withColumnRenamed("a", "id"), labels).withColumnsRenamed({"id": "a", "label": "p_label"})
-    ends = _labelled(ends.withColumnRenamed("b", "id"), labels).withColumnRenamed("id", "b")
-    labels = _joined(ends.where("label != p_label").select("a", "b"), sets, labels, least)
-    return labels if labels is not None else classes.select("id", F.col("id").alias("label")).limit(0)
-
-
-def groups(docs: DataFrame, shingle: int = 5, trees: int = 24, small: int = 32, deep: int = 12) -> DataFrame:
+            return reduce(DataFrame.unionByName, ends)
+        branches = large.join(sketch, "id").select("node", "size", "id", F.explode(picked).alias("branch"))
+        branches = scratch.keep(branches, "branches")
+        counts = scratch.keep(branches.groupBy("node", "size", "branch").agg(F.count("*").alias("c")), "counts")
+        after = counts.groupBy("node", "size").agg(F.sum(F.col("c") * F.col("c")).alias("after"))
+        dense = scratch.keep(after.where(F.col("after") >= _DENSE * F.col("size") * F.col("size")).select("node"), "dense")
+        ends.append(large.join(dense, "node", "left_semi"))
+        on = counts.where("c > 1").join(dense, "node", "left_anti").select("branch", F.col("c").alias("now"))
+        live = branches.select("branch", "id").join(on, "branch")
+        live = scratch.keep(live.select(F.col("branch").alias("node"), F.col("now").alias("size"), "id"), "live")
+
+
+def _agreeing(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Which pairs of sketches agree in enough positions."""
+    out = np.zeros((len(left), len(right)), bool)
+    for start in range(0, len(left), 64):
+        part = left[start : start + 64]
+        out[start : start + 64] = (part[:, None, :] == right[None, :, :]).sum(axis=2, dtype=np.int16) >= _AGREE
+    return out
+
+
+def _near(nodes: DataFrame, names: list[str]) -> DataFrame:
+    """id, lead: a spanning forest of the near pairs within one list of members, or between two."""
+
+    def members(values: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        ids, ns, sketch = values.flatten()
+        return ids.to_numpy(), ns.to_numpy(), np.frombuffer(b"".join(sketch.to_pylist()), np.uint8).reshape(-1, POSITIONS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found_ids, found_leads = [], []
+            for row in range(len(batch)):
+                sides = [members(batch.column(i)[row].values) for i in range(len(names))]
+                (ids, ns, left), (others, ms, right) = sides[0], sides[-1]
+                low, high = np.minimum(ns[:, None], ms[None, :]), np.maximum(ns[:, None], ms[None, :])
+                linked = _agreeing(left, right) & (4 * low >= 3 * high)
+                leads = vertical.forest(linked, ids, others)
+                for own, lead in zip((ids, others), leads, strict=True):
+                    moved = own != lead
+                    found_ids.append(own[moved])
+                    found_leads.append(lead[moved])
+            if found_ids:
+                columns = [pa.array(np.concatenate(x)) for x in (found_ids, found_leads)]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "lead"])
+
+    return nodes.select(*names).mapInArrow(run, "id long, lead long")
+
+
+def _groups(classes: DataFrame, small: int) -> DataFrame:
+    """id, group of the classes that near pairs connect."""
+    leaves = _leaves(classes, small).join(classes.select("id", "n", "sketch"), "id")
+    member = F.struct("id", "n", "sketch")
+    whole = leaves.where(F.col("size") <= _MEMBERS).groupBy("node").agg(F.collect_list(member).alias("one"))
+    near = scratch.keep(_near(whole, ["one"]), "near")
+    chunk = F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / _MEMBERS)).alias("chunk")
+    blocks = leaves.where(F.col("size") > _MEMBERS).groupBy("node", chunk).agg(F.collect_list(member).alias("one"))
+    blocks = scratch.keep(blocks, "chunks")
+    heads = blocks.select("node", "chunk")
+    pairs = heads.join(heads.select("node", F.col("chunk").alias("to")), "node").where("chunk <= to")
+    both = pairs.join(blocks.select("node", F.col("chunk").alias("to"), F.col("one").alias("other")), ["node", "to"])
+    far = scratch.keep(_near(both.join(blocks, ["node", "chunk"]), ["one", "other"]), "far")
+    labels = scratch.keep(components.label(near.unionByName(far), "id", "lead"), "groups")
+    return labels.select("id", F.col("label").alias("group")).unionByName(
+        labels.select(F.col("label").alias("id"), F.col("label").alias("group")).distinct()
+    )
+
+
+def groups(docs: DataFrame, shingle: int = 5, trees: int = 20, small: int = 64, percent: int = 75) -> DataFrame:
     """doc_id, text_code, n_shingles, component_id, component of every row; component is null for empty sets."""
-    rows = sketches(docs, shingle)
+    if percent < 75:
+        raise ValueError("sketches are compared for similarities of 75% or more")
+    rows = sketches(docs, shingle, trees)
     heads = rows.where("n > 0").groupBy("key").agg(
-        F.min("doc_id").alias("least_id"),
-        F.min(F.struct("text_code", "n", "values", "bits0", "bits1")).alias("one"),
+        F.min("doc_id").alias("least_id"), F.min(F.struct("text_code", "n", "roots", "sketch")).alias("one")
     )
     classes = scratch.keep(
         heads.select("key", "least_id", "one.*").withColumn("id", F.monotonically_increasing_id()), "classes"
     )
-    labels = class_labels(docs, classes, shingle, trees, small, deep)
-    named = classes.select("id", "key", "least_id").join(labels, "id", "left")
-    named = scratch.keep(named.withColumn("label", F.coalesce("label", "id")), "named")
-    least = scratch.keep(named.groupBy("label").agg(F.min("least_id").alias("component_id")), "least")
-    component = scratch.keep(
-        named.join(least, "label").select("key", "component_id", F.col("label").alias("component")), "components"
+    grouped = classes.select("id", "key", "text_code").join(_groups(classes, small), "id")
+    grouped = scratch.keep(grouped.select("key", "text_code", "group"), "grouped")
+    sets = scratch.keep(vertical.whole_sets(docs, grouped.select("text_code").distinct(), shingle), "sets")
+    linked = vertical.linked_within(sets, grouped.select("key", "group"), percent)
+    named = scratch.keep(classes.select("id", "key", "least_id").join(linked.select("key", "label"), "key"), "named")
+    least = named.groupBy("label").agg(F.min("least_id").alias("component_id"), F.min("id").alias("component"))
+    moved = named.join(least, "label").select("key", F.col("component_id").alias("to_id"), F.col("component").alias("to"))
+    component = classes.select("key", "id", "least_id").join(moved, "key", "left").select(
+        "key",
+        F.when(F.col("to").isNull(), F.col("least_id")).otherwise(F.col("to_id")).alias("component_id"),
+        F.coalesce("to", "id").alias("component"),
     )
+    component = scratch.keep(component, "components")
     columns = ["doc_id", "text_code", F.col("n").alias("n_shingles"), "component_id", "component"]
     full = rows.where("n > 0").join(component, "key").select(*columns)
     empty = rows.where("n = 0").withColumns({"component_id": F.col("doc_id"), "component": F.lit(None).cast("long")}).select(*columns)

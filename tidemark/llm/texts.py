@@ -77,3 +77,20 @@ def window_codes(codes: np.ndarray, size: int) -> np.ndarray:
     for i in range(size):
         out = out * np.uint64(0xD6E8FEB86659FD93) + codes[i : i + n]
     return mixed(out)
+
+
+def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> list[np.ndarray]:
+    """Per text the sorted distinct codes of its shingles."""
+    data = LOWER[data]
+    starts, ends, first = spans(data, offsets)
+    codes = word_codes(data, starts, ends)
+    windows = window_codes(codes, size)
+    out = []
+    for low, high in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+        if high - low >= size:
+            out.append(np.unique(windows[low : high - size + 1]))
+        elif high > low:
+            out.append(window_codes(codes[low:high] + np.uint64(high - low), high - low))
+        else:
+            out.append(np.zeros(0, np.uint64))
+    return out

@@ -42,7 +42,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import components, scratch, texts
-from tidemark.llm.chosen import shingle_sets
 
 #: Codes below this are the first fragment of the order.
 _FIRST = np.uint64(1 << 62)
@@ -51,7 +50,7 @@ _BLOCK_CODES, _WIDE = 1 << 17, 2048
 
 
 def _sets(data: np.ndarray, offsets: np.ndarray, shingle: int) -> tuple[list[np.ndarray], list[bytes | None]]:
-    sets = shingle_sets(data, offsets, shingle)
+    sets = texts.shingle_sets(data, offsets, shingle)
     return sets, [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
 
 
@@ -86,7 +85,7 @@ def _fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
     return scratch.keep(rows.mapInArrow(run, schema), "fingerprints")
 
 
-def _whole_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
+def whole_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
     """key, n, codes of the wanted classes, from one text of each."""
     text = F.col("text").cast("string")
     coded = docs.select(F.xxhash64(text).alias("text_code"), text.alias("text"))
@@ -238,7 +237,7 @@ def links_between(a: tuple, b: tuple, same: bool, percent: int) -> np.ndarray:
     return linked
 
 
-def _forest(linked: np.ndarray, ids_a: np.ndarray, ids_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def forest(linked: np.ndarray, ids_a: np.ndarray, ids_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Per member of both blocks the least id it is connected with by these links."""
     most = np.iinfo(np.int64).max
     lead_a, lead_b = ids_a.copy(), ids_b.copy()
@@ -269,10 +268,10 @@ def _compared(blocks: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
                     continue
                 ids_a, ids_b = sides[0][0], sides[1][0]
                 if same:
-                    lead, links = _forest(linked, ids_a, ids_a), linked.sum(axis=1)
+                    lead, links = forest(linked, ids_a, ids_a), linked.sum(axis=1)
                     ids, lead = ids_a, np.minimum(*lead)
                 else:
-                    ids, lead = np.concatenate([ids_a, ids_b]), np.concatenate(_forest(linked, ids_a, ids_b))
+                    ids, lead = np.concatenate([ids_a, ids_b]), np.concatenate(forest(linked, ids_a, ids_b))
                     links = np.concatenate([linked.sum(axis=1), linked.sum(axis=0)])
                 some = links > 0
                 yield pa.RecordBatch.from_arrays([pa.array(x[some]) for x in (ids, lead, links)], ["id", "lead", "links"])
@@ -285,6 +284,22 @@ def _compared(blocks: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     return scratch.keep(both.select(*columns).mapInArrow(run, "id long, lead long, links long"), "links")
 
 
+def linked_within(sets: DataFrame, grouped: DataFrame, percent: int, members: int = 512) -> DataFrame:
+    """key, label, n_links of the classes of ``sets`` (key, codes) that link with another of their group (key, group)."""
+    prefixes = _prefixes(sets, percent)
+    return _linked(prefixes, prefixes.join(grouped, "key"), percent, members)
+
+
+def _linked(prefixes: DataFrame, grouped: DataFrame, percent: int, members: int) -> DataFrame:
+    blocks = _blocks(grouped, percent, members)
+    pairs = scratch.keep(_pairs(blocks, percent), "pairs")
+    links = _compared(blocks, pairs, percent)
+    labels = components.label(links, "id", "lead")
+    counts = links.groupBy("id").agg(F.sum("links").alias("n_links"))
+    linked = prefixes.select("id", "key").join(counts, "id").join(labels, "id", "left")
+    return scratch.keep(linked.select("key", F.coalesce("label", "id").alias("label"), "n_links"), "linked")
+
+
 def components_of(docs: DataFrame, shingle: int = 3, percent: int = 90, members: int = 512) -> DataFrame:
     """doc_id, n_shingles, component_id, n_links (different sets that the row's set links with) of every row."""
     rows = _fingerprints(docs, shingle)
@@ -301,17 +316,10 @@ def components_of(docs: DataFrame, shingle: int = 3, percent: int = 90, members:
     may = may.where(100 * F.coalesce("own", F.lit(0)) <= (100 - percent) * F.col("n"))
     wanted = scratch.keep(may.select("key", "text_code"), "wanted")
     # A text of several rows may be wanted for one class only, so other sets of these texts are not made.
-    sets = scratch.keep(_whole_sets(docs, wanted, shingle), "sets")
+    sets = scratch.keep(whole_sets(docs, wanted, shingle), "sets")
     prefixes = _prefixes(sets, percent)
     grouped = scratch.keep(_groups(prefixes), "grouped")
-    blocks = _blocks(prefixes.join(grouped, "id"), percent, members)
-    pairs = scratch.keep(_pairs(blocks, percent), "pairs")
-    links = _compared(blocks, pairs, percent)
-    labels = components.label(links, "id", "lead")
-    counts = links.groupBy("id").agg(F.sum("links").alias("n_links"))
-    linked = prefixes.select("id", "key").join(counts, "id").join(labels, "id", "left")
-    linked = linked.withColumn("label", F.coalesce("label", "id")).join(classes.select("key", "least_id"), "key")
-    linked = scratch.keep(linked, "linked")
+    linked = _linked(prefixes, prefixes.join(grouped, "id"), percent, members).join(classes.select("key", "least_id"), "key")
     least = linked.groupBy("label").agg(F.min("least_id").alias("component_id"))
     found = linked.join(least, "label").select("key", "component_id", "n_links")
     of_class = scratch.keep(classes.select("key", "least_id").join(found, "key", "left"), "components")
