@@ -269,3 +269,27 @@ def test_keyed_message(spark):
         ('{"transaction_id":"1"}', None),
         ('{"transaction_id":"2"}', '{"transaction_id":"2","reason":"x"}'),
     }
+
+
+def test_unnest_by_the_declared_type(spark):
+    """Null and empty arrays keep a row at each level; arrays in arrays, and arrays beside the path."""
+    ddl = specs.spark_type("ROW<id INT, a ARRAY<ROW<x ROW<y INT>, b ARRAY<ROW<z STRING>>, c ARRAY<INT>>>, m ARRAY<ARRAY<INT>>>")
+    texts = [
+        '{"id":1,"a":[{"x":{"y":5},"b":[{"z":"p"},{"z":null}],"c":[1]},{"b":[]},null],"m":[[1,2],[],null]}',
+        '{"id":2,"a":[]}',
+        '{"id":3}',
+    ]
+    rows = spark.createDataFrame([(t,) for t in texts], "value string").select(F.from_json("value", ddl).alias("r")).select("r.*")
+    assert specs.array_paths(rows.schema) == [("a",), ("a", "b"), ("a", "c"), ("m",), ("m",)]
+    assert specs.unnest(rows).columns == ["id"]
+    inner = specs.unnest(rows, ("a", "b"))
+    assert inner.columns == ["id", "a_pos", "a_x_y", "a_b_pos", "a_b_z"]
+    assert sorted(map(tuple, inner.collect()), key=str) == sorted(
+        [(1, 0, 5, 0, "p"), (1, 0, 5, 1, None), (1, 1, None, None, None), (1, 2, None, None, None), (2, None, None, None, None), (3, None, None, None, None)],
+        key=str,
+    )
+    deep = specs.unnest(rows.filter("id = 1"), ("m",))
+    assert deep.columns == ["id", "m_pos", "m_item_pos", "m_item"]
+    assert sorted(map(tuple, deep.collect()), key=str) == sorted([(1, 0, 0, 1), (1, 0, 1, 2), (1, 1, None, None), (1, 2, None, None)], key=str)
+    with pytest.raises(ValueError):
+        specs.unnest(rows, ("a", "nothing"))

@@ -133,6 +133,20 @@ def declared_table(spark, folder):
     )
 
 
+_NESTED_SPEC = """{"table": {
+  "identifier": {"database": "default", "table": "customer_orders"},
+  "schema": {"columns": [
+    {"name": "id", "type": "BIGINT"},
+    {"name": "profile", "type": "ROW<nation ROW<`key` INT>>"},
+    {"name": "orders", "type": "ARRAY<ROW<`key` BIGINT, `lines` ARRAY<ROW<`no` INT, part ROW<`key` BIGINT>, flags ARRAY<ROW<kind STRING, codes ARRAY<STRING>>>>>>>"}]}}}"""
+
+
+def nested_rows(spark, folder):
+    """Arrays of rows five levels deep, decoded by the declared type and unnested down to the last."""
+    decoded = specs.decode(specs.load_spec(_NESTED_SPEC), fixtures.nested_records(spark, folder))
+    return specs.unnest(decoded, ("orders", "lines", "flags", "codes"))
+
+
 def verify_written(spark, folder):
     """Look every inserted id up in the folded state."""
     events = _events(spark, folder)
@@ -249,6 +263,7 @@ QUERIES = {
     "cdc_update_documents": update_documents,
     "json_merge_remove": merge_remove,
     "cdc_fold_exact": fold_exact,
+    "cdc_nested_rows": nested_rows,
 }
 
 _INTENDED = _state_sql("intended")
@@ -299,6 +314,19 @@ ORACLE = {
         SELECT ids._id, state._id IS NOT NULL AS found,
           CASE WHEN length(document) > 50 THEN substr(document, 1, 50) || '...' ELSE document END AS excerpt
         FROM ids LEFT JOIN state ON state._id = ids._id""",
+    "cdc_nested_rows": """WITH l AS (SELECT l_orderkey, l_linenumber, l_partkey, l_returnflag, l_linestatus,
+          row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) - 1 AS pos
+          FROM lineitem WHERE l_returnflag = 'R'),
+        o AS (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS pos FROM orders),
+        f AS (SELECT l_orderkey, pos, 0 AS fpos, 'return' AS kind, 0 AS cpos, l_returnflag AS code FROM l
+          UNION ALL SELECT l_orderkey, pos, 1, 'status', c.cpos, CASE c.cpos WHEN 0 THEN l_linestatus WHEN 1 THEN 'x' END
+          FROM l JOIN (VALUES (0), (1), (NULL)) c(cpos) ON (l_linenumber = 2) = (c.cpos IS NULL))
+        SELECT c_custkey AS id, c_nationkey::INTEGER AS profile_nation_key, o.pos::INTEGER AS orders_pos, o_orderkey AS orders_key,
+          l.pos::INTEGER AS orders_lines_pos, l_linenumber::INTEGER AS orders_lines_no, l_partkey AS orders_lines_part_key,
+          fpos::INTEGER AS orders_lines_flags_pos, kind AS orders_lines_flags_kind,
+          cpos::INTEGER AS orders_lines_flags_codes_pos, code AS orders_lines_flags_codes
+        FROM customer LEFT JOIN o ON o_custkey = c_custkey LEFT JOIN l ON l.l_orderkey = o_orderkey
+          LEFT JOIN f ON f.l_orderkey = l.l_orderkey AND f.pos = l.pos""",
     "cdc_fold_exact": r"""WITH b AS (SELECT user_id, max(event_id) AS at, arg_max(event_type, event_id) AS kind FROM events
           WHERE event_type IN ('signup', 'error') GROUP BY user_id),
         e AS (SELECT user_id, arg_max(event_type, event_id) AS event_type, max(event_id) AS event_id,

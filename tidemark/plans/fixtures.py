@@ -114,6 +114,25 @@ def points_log(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def nested_records(spark: SparkSession, folder: str) -> DataFrame:
+    """A record per customer with its orders, their returned lines, and the flags and codes of those: arrays of rows."""
+    lines = table(spark, folder, "lineitem").filter("l_returnflag = 'R'").selectExpr(
+        "l_orderkey",
+        """named_struct('no', l_linenumber, 'part', named_struct('key', l_partkey), 'flags', array(
+             named_struct('kind', 'return', 'codes', array(l_returnflag)),
+             named_struct('kind', 'status', 'codes', if(l_linenumber = 2, cast(array() AS array<string>), array(l_linestatus, 'x')))
+           )) AS line""",
+    )
+    lines = lines.groupBy("l_orderkey").agg(F.array_sort(F.collect_list("line")).alias("lines"))
+    orders = table(spark, folder, "orders").join(lines, F.col("l_orderkey") == F.col("o_orderkey"), "left").selectExpr(
+        "o_custkey", "named_struct('key', o_orderkey, 'lines', lines) AS o"
+    )
+    orders = orders.groupBy("o_custkey").agg(F.array_sort(F.collect_list("o")).alias("orders"))
+    customers = table(spark, folder, "customer").join(orders, F.col("o_custkey") == F.col("c_custkey"), "left")
+    record = "to_json(named_struct('id', c_custkey, 'profile', named_struct('nation', named_struct('key', c_nationkey)), 'orders', orders))"
+    return customers.selectExpr("cast(c_custkey AS string) AS key", f"{record} AS value")
+
+
 def programs(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "nation").selectExpr(
         "cast(n_nationkey AS string) AS _id",
@@ -234,6 +253,16 @@ def probes(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def slipped_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Events with the third of the time range in which they arrive; every tenth arrives one third late."""
+    events = table(spark, folder, "events").withColumn("us", F.unix_micros(F.col("ts").cast("timestamp")))
+    low, high = events.agg(F.min("us"), F.max("us")).first()
+    third = f"cast((us - {low or 0}) * 3 div {(high or 0) - (low or 0) + 1} AS int)"
+    return events.selectExpr(
+        "event_id", "cast(ts AS timestamp) AS ts", f"least({third} + if(event_id % 10 = 0, 1, 0), 2) AS phase"
+    )
+
+
 METRICS = tuple(dict.fromkeys(rule.metric for rule in (*RECORDING_RULES, *OVERVIEW_RULES)))
 
 

@@ -128,6 +128,25 @@ def stream_dedup(spark, folder):
     return spark.read.parquet(f"{base}/out")
 
 
+def _late_split(spark, folder):
+    records, base = _stream(spark, fixtures.slipped_events(spark, folder), "phase", "late")
+    split = io.LateSplit(f"{base}/split", "ts")
+    io.finish(split.start(records, f"{base}/cp"))
+    return split
+
+
+def stream_late_rows(spark, folder):
+    """Rows that come after the watermark of the five-second job, and those in time."""
+    return _late_split(spark, folder).rows(spark).select("event_id", "late")
+
+
+def stream_late_counts(spark, folder):
+    counts = spark.read.parquet(f"{_late_split(spark, folder).path}/counts")
+    return counts.select(
+        F.col("batch").cast("bigint").alias("batch"), "n_in_time", "n_late", F.unix_micros("watermark").alias("watermark_us")
+    )
+
+
 def stream_eligibility(spark, folder):
     records, base = _stream(spark, fixtures.redeem_log(spark, folder, names=None), "offset", "eligibility")
     as_of = F.lit(enrich.AS_OF).cast("timestamp")
@@ -272,6 +291,12 @@ _STEPS = """s AS (SELECT event_type AS metric, cast(user_id % 10 AS varchar) AS
   steps AS (SELECT metric, grp, cast(ceil(us / 86400000000.0) AS bigint) * 86400 AS eval_s, arg_max(value, us) AS value
     FROM s GROUP BY ALL)"""
 
+_LATE = """e AS (SELECT event_id, epoch_us(ts) AS us FROM events), ends AS (SELECT min(us) AS low, max(us) AS high FROM e),
+  p AS (SELECT event_id, us, least((us - low) * 3 // (high - low + 1) + CASE WHEN event_id % 10 = 0 THEN 1 ELSE 0 END, 2) AS phase
+    FROM e, ends),
+  w AS (SELECT phase, max(max(us)) OVER (ORDER BY phase) - 5000000 AS after FROM p GROUP BY phase),
+  l AS (SELECT p.event_id, p.phase, coalesce(p.us <= w.after, false) AS late FROM p LEFT JOIN w ON w.phase = p.phase - 1)"""
+
 # The changing log: keywords and programs after each phase, redeems in theirs.
 _PHASES = """ph AS (SELECT unnest([0, 1, 2]) AS phase),
   kp AS (SELECT phase, cast(c_custkey AS varchar) AS id, CASE WHEN phase > 0 AND c_custkey % 5 = 0 THEN 1 ELSE 0 END AS moved,
@@ -300,6 +325,8 @@ QUERIES = {
     "stream_enrich_following": stream_enrich_following,
     "stream_left_following": stream_left_following,
     "stream_dedup": stream_dedup,
+    "stream_late_rows": stream_late_rows,
+    "stream_late_counts": stream_late_counts,
     "stream_eligibility": stream_eligibility,
     "stream_eligibility_keyed": stream_eligibility_keyed,
     "stream_redeem_columns": stream_redeem_columns,
@@ -336,6 +363,10 @@ ORACLE = {
           ',"end_period":' || coalesce(cast(end_period AS varchar), 'null') || '}}' AS value
         FROM r LEFT JOIN k ON k.phase = 2 AND k.name = r.keyword WHERE tx IS NOT NULL""",
     "stream_dedup": f"WITH {enrich._R} SELECT transaction_id, keyword FROM r",
+    "stream_late_rows": f"WITH {_LATE} SELECT event_id, late FROM l",
+    "stream_late_counts": f"""WITH {_LATE} SELECT l.phase AS batch, count(*) FILTER (WHERE NOT late) AS n_in_time,
+        count(*) FILTER (WHERE late) AS n_late, any_value(w.after) AS watermark_us
+        FROM l JOIN w ON w.phase = l.phase GROUP BY l.phase""",
     "stream_eligibility": enrich.ORACLE["eligibility_reason"],
     "stream_eligibility_keyed": f"""WITH judged AS ({enrich.ORACLE["eligibility_reason"]})
         SELECT '{{"transaction_id":"' || transaction_id || '"}}' AS key,

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, StructType
 
 from tidemark.functions.jsondoc import unwrap_id
 from tidemark.sources import topics
@@ -115,6 +116,56 @@ def open_table(spark: SparkSession, spec: TableSpec, streaming: bool = True) ->
     return table
 
 
+def array_paths(kind: DataType, path: tuple[str, ...] = ()) -> list[tuple[str, ...]]:
+    """Every array inside a type, outer ones first, by the names that lead to it; rows between have no step of their own."""
+    if isinstance(kind, ArrayType):
+        return [path, *array_paths(kind.elementType, path)]
+    if isinstance(kind, StructType):
+        return [found for field in kind for found in array_paths(field.dataType, (*path, field.name))]
+    return []
+
+
+def _leaves(kind: DataType, value: Column, path: tuple[str, ...]) -> list[Column]:
+    """The plain values of nested rows as columns named by their path; arrays are left out."""
+    if isinstance(kind, StructType):
+        return [leaf for f in kind for leaf in _leaves(f.dataType, value.getField(f.name), (*path, f.name))]
+    return [] if isinstance(kind, ArrayType) else [value.alias("_".join(path))]
+
+
+def unnest(rows: DataFrame, path: Sequence[str] = ()) -> DataFrame:
+    """One row per element of the array at ``path``, with the plain values of every row around it.
+
+    The declared type leads the way: rows are entered by name, every array on the way is exploded and adds its
+    position as ``<path>_pos``. Outer semantics: what has no elements (a null or empty array) keeps one row with nulls.
+    Columns are named by their path joined with ``_``; arrays beside the path are left out, see ``array_paths``.
+    """
+    here, kind, value = (), rows.schema, None
+    frame, kept, steps = rows, [], list(path)
+    while True:
+        inside = [f for f in kind] if isinstance(kind, StructType) else []
+        for field in inside:
+            source = F.col(f"`{field.name}`") if value is None else value.getField(field.name)
+            if not steps or field.name != steps[0] or isinstance(field.dataType, ArrayType):
+                kept += _leaves(field.dataType, source, (*here, field.name))
+        if not steps:
+            break
+        step = steps.pop(0)
+        found = [f for f in inside if f.name == step]
+        if not found:
+            raise ValueError(f"no field {step!r} at {'.'.join(here) or 'the top'}")
+        value = F.col(f"`{step}`") if value is None else value.getField(step)
+        here, kind = (*here, step), found[0].dataType
+        while isinstance(kind, ArrayType):
+            name = "_".join(here)
+            frame = frame.select("*", F.posexplode_outer(value).alias(f"{name}_pos", f"__{name}"))
+            kept.append(F.col(f"`{name}_pos`"))
+            value, kind = F.col(f"`__{name}`"), kind.elementType
+            if not isinstance(kind, (StructType, ArrayType)):
+                kept.append(value.alias(name))
+            here = (*here, "item") if isinstance(kind, ArrayType) else here
+    return frame.select(*kept)
+
+
 def points_rows(records: DataFrame, ddl: str) -> DataFrame:
     """Id, keyword and points of a small change event."""
     parsed = parse_json(records, ddl, malformed=None)

@@ -97,6 +97,42 @@ def read_batches(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop("batch")
 
 
+class LateSplit:
+    """Rows of a stream in two outputs, by the watermark before their batch: what a stateful operator would refuse, and the rest.
+
+    Spark drops late rows without a trace; here ``<path>/in_time`` goes on to the operator, ``<path>/late`` is kept, and
+    ``<path>/counts`` has one row per batch with both numbers and the watermark after it. The watermark is the newest time
+    of all batches so far, less the delay; a row at it or before it is late, one without a time never is.
+    """
+
+    def __init__(self, path: str, column: str, delay: str = JOB_DELAY):
+        self.path, self.column, self.delay = path, column, delay
+
+    def add_batch(self, batch: DataFrame, batch_id: int) -> None:
+        spark, at = batch.sparkSession, F.col(self.column).cast("timestamp")
+        before = None
+        if batch_id > 0:
+            before = spark.read.parquet(f"{self.path}/counts/batch={batch_id - 1}").first()["watermark"]
+        late = F.lit(False) if before is None else F.coalesce(at <= F.lit(before), F.lit(False))
+        write_batch(batch.filter(~late), f"{self.path}/in_time", batch_id)
+        write_batch(batch.filter(late), f"{self.path}/late", batch_id)
+        now = F.max(at) - F.expr(f"interval {self.delay}")
+        counts = batch.agg(
+            F.count_if(~late).alias("n_in_time"),
+            F.count_if(late).alias("n_late"),
+            F.greatest(now, F.lit(before).cast("timestamp")).alias("watermark"),
+        )
+        write_batch(counts, f"{self.path}/counts", batch_id)
+
+    def start(self, stream: DataFrame, checkpoint: str, continuous: bool = False) -> StreamingQuery:
+        return start_batches(stream, self.add_batch, checkpoint, continuous, reused=True)
+
+    def rows(self, spark: SparkSession) -> DataFrame:
+        """Both outputs, with a column ``late``."""
+        in_time = read_batches(spark, f"{self.path}/in_time").withColumn("late", F.lit(False))
+        return in_time.unionByName(read_batches(spark, f"{self.path}/late").withColumn("late", F.lit(True)))
+
+
 def finish(query: StreamingQuery) -> None:
     """Wait until an available-now query has ended; its failure is raised here."""
     query.awaitTermination()
