@@ -97,6 +97,13 @@ def event_time(spark, folder):
     return events.select(F.col("seq").alias("event_id"), "event_ms")
 
 
+def event_time_now(spark, folder):
+    """Events without any time take that of their processing."""
+    now = F.lit("2030-01-01 00:00:00").cast("timestamp")
+    events = envelope.parse_changes(fixtures.change_log(spark, folder, timeless=True), OFFSET, now)
+    return events.select(F.col("seq").alias("event_id"), "event_ms")
+
+
 def rejects(spark, folder):
     events = envelope.parse_changes(fixtures.change_log(spark, folder, broken=True), OFFSET)
     return envelope.rejected(events).select(F.col("seq").alias("event_id"), "reject")
@@ -255,6 +262,7 @@ QUERIES = {
     "cdc_conditional_document": conditional_document,
     "cdc_keyed_messages": keyed_messages,
     "cdc_event_time": event_time,
+    "cdc_event_time_now": event_time_now,
     "cdc_rejects": rejects,
     "cdc_full_document": full_document,
     "cdc_points_rows": points_rows,
@@ -295,6 +303,8 @@ ORACLE = {
           '{{"_id":"' || id || '","operationType":"' || op || '","offset":' || seq || '}}' END AS value FROM ev""",
     "cdc_event_time": """SELECT event_id,
         CASE WHEN event_id % 7 = 0 THEN cast(floor(epoch(ts)) AS bigint) * 1000 ELSE epoch_us(ts) // 1000 END AS event_ms FROM events""",
+    "cdc_event_time_now": """SELECT event_id, CASE WHEN event_id % 14 = 0 THEN epoch_ms(timestamp '2030-01-01')
+        WHEN event_id % 7 = 0 THEN cast(floor(epoch(ts)) AS bigint) * 1000 ELSE epoch_us(ts) // 1000 END AS event_ms FROM events""",
     "cdc_rejects": """SELECT event_id, CASE WHEN event_id % 107 = 0 THEN 'malformed_json'
              WHEN event_id % 101 = 0 THEN 'missing_key' ELSE 'unknown_operation' END AS reject
         FROM events WHERE event_id % 101 = 0 OR event_id % 103 = 0 OR event_id % 107 = 0 OR event_id % 109 = 0""",

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import shards
+from tidemark import session
+from tidemark.operators import shards, tables
 from tidemark.plans import fixtures
 from tidemark.sources import files
 
@@ -77,7 +78,17 @@ def hashed_shard_report(spark, folder):
 _LINE = """CASE WHEN o_orderkey % 97 = 0 THEN 'no separator ' || o_orderkey
     ELSE '{"transaction_id":"' || o_orderkey || '"}|{"note":"a|b","status":"' || o_orderstatus || '"}' END"""
 
+def append_twice(spark, folder):
+    """Rows added to a stored table by two writes."""
+    path = session.scratch_dir(spark, "appended")
+    for name, kind in (("r_regionkey", "region"), ("n_nationkey", "nation")):
+        rows = fixtures.table(spark, folder, kind)
+        tables.append_rows(rows.select(F.col(name).cast("bigint").alias("id"), F.lit(kind).alias("kind")), path)
+    return spark.read.parquet(path)
+
+
 QUERIES = {
+    "append_rows": append_twice,
     "keyed_lines": keyed_lines,
     "keyed_lines_rejected": unkeyed_lines,
     "dump_fix": dump_fix,
@@ -89,6 +100,8 @@ QUERIES = {
 }
 
 ORACLE = {
+    "append_rows": """SELECT r_regionkey::BIGINT AS id, 'region' AS kind FROM region
+        UNION ALL SELECT n_nationkey::BIGINT, 'nation' FROM nation""",
     "keyed_lines": f"""SELECT substr(line, 1, instr(line, '|') - 1) AS key, substr(line, instr(line, '|') + 1) AS value
         FROM (SELECT {_LINE} AS line FROM orders) WHERE instr(line, '|') > 0""",
     "keyed_lines_rejected": "SELECT 'no separator ' || o_orderkey AS line FROM orders WHERE o_orderkey % 97 = 0",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions.jsondoc import json_text
-from tidemark.operators import asof, eligibility, lookup
+from tidemark.operators import asof, eligibility, fold, lookup
 from tidemark.plans import fixtures
 from tidemark.plans.cdc import _KEYWORD_DOC
 from tidemark.sources import envelope
@@ -47,6 +47,22 @@ def left_regular(spark, folder):
     return joined.select("transaction_id", "keyword", "start_period", "end_period")
 
 
+def left_many(spark, folder):
+    """Three keywords a name, some redeems without an id (dropped) or keyword, some keywords without a name or period."""
+    log = fixtures.changing_log(spark, folder).drop("phase")
+    redeems = envelope.accepted(envelope.parse_redeems(log.filter("topic = 'redeem'")))
+    changes = envelope.accepted(envelope.parse_changes(log.filter("topic = 'keyword'"), "offset"))
+    joined = lookup.redeem_periods(redeems, fold.fold(changes))
+    return joined.select("transaction_id", "keyword", "start_period", "end_period")
+
+
+def arrival(spark, folder):
+    """The time of a redeem event is that of its processing."""
+    now = F.lit("2024-03-01 12:00:00").cast("timestamp")
+    redeems = envelope.accepted(envelope.parse_redeems(fixtures.redeem_log(spark, folder), now))
+    return redeems.select("transaction_id", F.unix_millis("event_time").alias("event_ms"))
+
+
 def exists(spark, folder):
     flagged = lookup.with_existence(_redeems(spark, folder), fixtures.keywords(spark, folder))
     return flagged.select("transaction_id", "found")
@@ -131,6 +147,15 @@ def asof_two(spark, folder):
     return twice.select("probe_id", "signup_id", F.col("version_id").alias("view_id"))
 
 
+def asof_two_keys(spark, folder):
+    """Two lookups in a row by different keys: the user's signup, and the newest view of the user's tenth."""
+    tenth = (F.col("user_id") % 10).alias("tenth")
+    once = _joined(spark, folder, "left").select("probe_id", "probe_ts", tenth, F.col("version_id").alias("signup_id"))
+    views = fixtures.versions(spark, folder, "view").select(tenth, "version_ts", "version_id")
+    twice = asof.asof_join(once, views, ["tenth"], "probe_ts", "version_ts", tie_order=F.col("version_id"))
+    return twice.select("probe_id", "signup_id", F.col("version_id").alias("view_id"))
+
+
 def asof_closed(spark, folder):
     """Errors end the validity of a user's signup version."""
     versions = fixtures.versions(spark, folder, "signup").withColumn("ended", F.lit(False)).unionByName(
@@ -174,12 +199,33 @@ def _version(kind: str) -> str:
         FROM events WHERE event_type = '{kind}' GROUP BY user_id, ts)"""
 
 
+# The changing log: keywords and programs after each phase, redeems in theirs.
+PHASES = """ph AS (SELECT unnest([0, 1, 2]) AS phase),
+  kp AS (SELECT phase, cast(c_custkey AS varchar) AS id, CASE WHEN phase > 0 AND c_custkey % 5 = 0 THEN 1 ELSE 0 END AS moved,
+      c_custkey, c_nationkey, c_mktsegment, 820454400000 + (c_custkey % 1000) * 86400000 AS start_ms
+    FROM customer, ph WHERE NOT (phase = 2 AND c_custkey % 19 = 0)),
+  k AS (SELECT phase, id, CASE WHEN c_custkey % 23 <> 0 THEN 'KW' || ((c_custkey + 3 * moved) // 3) END AS name,
+      CASE WHEN c_custkey % 17 = 0 THEN '99' ELSE cast((c_nationkey + moved) % 25 AS varchar) END AS program_id,
+      CASE WHEN c_custkey % 11 <> 0 THEN start_ms END AS start_period,
+      CASE WHEN c_custkey % 11 <> 0 THEN start_ms + 365 * 86400000::bigint END AS end_period, c_mktsegment FROM kp),
+  kd AS (SELECT *, '{"eligibility":{' || coalesce('"end_period":{"$date":' || end_period || '},', '') ||
+      coalesce('"name":"' || name || '",', '') || '"program_id":{"_id":{"$oid":"' || program_id || '"}}' ||
+      coalesce(',"start_period":{"$date":' || start_period || '}', '') || '},"segment":"' || c_mktsegment || '"}' AS doc FROM k),
+  p AS (SELECT phase, cast(n_nationkey AS varchar) AS id, '{"name":"' ||
+      CASE WHEN phase = 2 AND n_nationkey % 6 = 0 THEN lower(n_name) ELSE n_name END || '","region":' || n_regionkey || '}' AS doc
+    FROM nation, ph WHERE phase > 0 OR n_nationkey % 5 <> 4),
+  r AS (SELECT cast(o_orderkey % 3 AS integer) AS phase, CASE WHEN o_orderkey % 97 <> 0 THEN cast(o_orderkey AS varchar) END AS tx,
+      CASE WHEN o_orderkey % 13 = 0 THEN 'NONE' || o_orderkey ELSE 'KW' || (o_custkey // 3) END AS keyword FROM orders)"""
+
 QUERIES = {
     "lookup_join_pairs": join_pairs,
     "lookup_enrich": enrich,
     "lookup_message": message,
     "lookup_message_with_event": message_with_event,
     "lookup_left_regular": left_regular,
+    "lookup_left_many": left_many,
+    "redeem_arrival": arrival,
+    "asof_left_two_keys": asof_two_keys,
     "lookup_exists": exists,
     "redeem_rejects": redeem_rejects,
     "redeem_columns": redeem_columns,
@@ -204,6 +250,14 @@ ORACLE = {
         FROM r JOIN f ON r.keyword = f.name""",
     "lookup_left_regular": f"""WITH {_OWN_KW}, {_OWN_R}
         SELECT transaction_id, keyword, start_period, end_period FROM r LEFT JOIN k ON r.keyword = k.name""",
+    "lookup_left_many": f"""WITH {PHASES} SELECT tx AS transaction_id, keyword, start_period, end_period
+        FROM r LEFT JOIN k ON k.phase = 2 AND k.name = r.keyword WHERE tx IS NOT NULL""",
+    "redeem_arrival": """SELECT cast(o_orderkey AS varchar) AS transaction_id, epoch_ms(timestamp '2024-03-01 12:00:00') AS event_ms
+        FROM orders""",
+    "asof_left_two_keys": f"""SELECT probe_id, v.version_id AS signup_id, w.version_id AS view_id FROM {_PROBE} b
+        ASOF LEFT JOIN {_version("signup")} v ON b.user_id = v.user_id AND b.ts >= v.ts
+        ASOF LEFT JOIN (SELECT user_id % 10 AS tenth, ts, max(event_id) AS version_id FROM events WHERE event_type = 'view'
+          GROUP BY ALL) w ON b.user_id % 10 = w.tenth AND b.ts >= w.ts""",
     "lookup_exists": f"""WITH {_KW}, {_R}
         SELECT transaction_id, EXISTS (SELECT 1 FROM k WHERE k.name = r.keyword) AS found FROM r""",
     "redeem_rejects": """SELECT o_orderkey AS "offset",

@@ -22,7 +22,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 _DOCUMENT = "named_struct('cents', cents, 'k', if(op = 'replace', null, k), 'last_type', event_type)"
 
 
-def change_log(spark: SparkSession, folder: str, removals: bool = True, broken: bool = False) -> DataFrame:
+def change_log(
+    spark: SparkSession, folder: str, removals: bool = True, broken: bool = False, timeless: bool = False
+) -> DataFrame:
+    """``timeless``: every fourteenth event carries no time at all."""
+    cluster = "named_struct('$timestamp', named_struct('t', unix_seconds(cast(ts AS timestamp)), 'i', 1))"
+    if timeless:
+        cluster = f"if(event_id % 14 = 0, null, {cluster})"
     events = table(spark, folder, "events").selectExpr(
         "*",
         "cast(get_json_object(props, '$.k') as bigint) AS k",
@@ -38,7 +44,7 @@ def change_log(spark: SparkSession, folder: str, removals: bool = True, broken:
         text = "CASE WHEN event_id % 107 = 0 THEN substring(json, 1, length(json) - 2) ELSE json END"
     event = f"""named_struct(
         'operationType', {operation},
-        'clusterTime', named_struct('$timestamp', named_struct('t', unix_seconds(cast(ts AS timestamp)), 'i', 1)),
+        'clusterTime', {cluster},
         'wallTime', if(event_id % 7 = 0, null, named_struct('$date', unix_millis(cast(ts AS timestamp)))),
         'fullDocument', CASE WHEN op IN ('insert', 'replace') THEN {_DOCUMENT} END,
         'updateDescription', CASE WHEN op = 'update' THEN named_struct(

@@ -297,24 +297,6 @@ _LATE = """e AS (SELECT event_id, epoch_us(ts) AS us FROM events), ends AS (SELE
   w AS (SELECT phase, max(max(us)) OVER (ORDER BY phase) - 5000000 AS after FROM p GROUP BY phase),
   l AS (SELECT p.event_id, p.phase, coalesce(p.us <= w.after, false) AS late FROM p LEFT JOIN w ON w.phase = p.phase - 1)"""
 
-# The changing log: keywords and programs after each phase, redeems in theirs.
-_PHASES = """ph AS (SELECT unnest([0, 1, 2]) AS phase),
-  kp AS (SELECT phase, cast(c_custkey AS varchar) AS id, CASE WHEN phase > 0 AND c_custkey % 5 = 0 THEN 1 ELSE 0 END AS moved,
-      c_custkey, c_nationkey, c_mktsegment, 820454400000 + (c_custkey % 1000) * 86400000 AS start_ms
-    FROM customer, ph WHERE NOT (phase = 2 AND c_custkey % 19 = 0)),
-  k AS (SELECT phase, id, CASE WHEN c_custkey % 23 <> 0 THEN 'KW' || ((c_custkey + 3 * moved) // 3) END AS name,
-      CASE WHEN c_custkey % 17 = 0 THEN '99' ELSE cast((c_nationkey + moved) % 25 AS varchar) END AS program_id,
-      CASE WHEN c_custkey % 11 <> 0 THEN start_ms END AS start_period,
-      CASE WHEN c_custkey % 11 <> 0 THEN start_ms + 365 * 86400000::bigint END AS end_period, c_mktsegment FROM kp),
-  kd AS (SELECT *, '{"eligibility":{' || coalesce('"end_period":{"$date":' || end_period || '},', '') ||
-      coalesce('"name":"' || name || '",', '') || '"program_id":{"_id":{"$oid":"' || program_id || '"}}' ||
-      coalesce(',"start_period":{"$date":' || start_period || '}', '') || '},"segment":"' || c_mktsegment || '"}' AS doc FROM k),
-  p AS (SELECT phase, cast(n_nationkey AS varchar) AS id, '{"name":"' ||
-      CASE WHEN phase = 2 AND n_nationkey % 6 = 0 THEN lower(n_name) ELSE n_name END || '","region":' || n_regionkey || '}' AS doc
-    FROM nation, ph WHERE phase > 0 OR n_nationkey % 5 <> 4),
-  r AS (SELECT cast(o_orderkey % 3 AS integer) AS phase, CASE WHEN o_orderkey % 97 <> 0 THEN cast(o_orderkey AS varchar) END AS tx,
-      CASE WHEN o_orderkey % 13 = 0 THEN 'NONE' || o_orderkey ELSE 'KW' || (o_custkey // 3) END AS keyword FROM orders)"""
-
 QUERIES = {
     "stream_cdc_fold": stream_fold,
     "stream_cdc_fold_compacted": stream_fold_compacted,
@@ -350,13 +332,13 @@ ORACLE = {
     "stream_cdc_rejects": cdc.ORACLE["cdc_rejects"],
     "stream_latest_per_key": cdc.ORACLE["cdc_latest_per_key"],
     "stream_enrich": enrich.ORACLE["lookup_message"],
-    "stream_enrich_following": f"""WITH {_PHASES},
+    "stream_enrich_following": f"""WITH {enrich.PHASES},
         f AS (SELECT kd.phase, kd.name, arg_min(kd.doc, kd.id) AS keyword_doc, arg_min(p.doc, kd.id) AS program_doc
               FROM kd JOIN p ON p.phase = kd.phase AND p.id = kd.program_id WHERE kd.name IS NOT NULL GROUP BY kd.phase, kd.name)
         SELECT '{{"event":{{"transaction_id":' || coalesce('"' || tx || '"', 'null') || '}},"keyword":' || keyword_doc ||
           ',"program":' || program_doc || ',"customer":null}}' AS value
         FROM r JOIN f ON f.phase = r.phase AND f.name = r.keyword""",
-    "stream_left_following": f"""WITH {_PHASES}
+    "stream_left_following": f"""WITH {enrich.PHASES}
         SELECT '{{"transaction_id":"' || tx || '","keyword_id":' || coalesce('"' || k.id || '"', 'null') || '}}' AS key,
           '{{"transaction_id":"' || tx || '","keyword":"' || keyword || '","keyword_id":' || coalesce('"' || k.id || '"', 'null') ||
           ',"start_period":' || coalesce(cast(start_period AS varchar), 'null') ||
