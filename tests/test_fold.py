@@ -297,3 +297,67 @@ def test_documents_that_are_no_objects(spark, document, reject):
     value = '{"operationType":"insert","fullDocument":' + document + ',"documentKey":{"_id":{"$oid":"a"}}}'
     rows = spark.createDataFrame([("a", value, "t", 0, 1, None)], LOG)
     assert envelope.parse_changes(rows, "offset").first()["reject"] == reject
+
+
+def set_place(document, path, value=None, gone=False):
+    """A walk with lists: numbers are places in them, other steps are ignored, and so is an empty last step."""
+    *outer, last = path.split(".")
+    where = document
+    for step in outer:
+        if isinstance(where, list):
+            if not step.isdigit() or (gone and int(step) >= len(where)):
+                return
+            where += [None] * (int(step) + 1 - len(where))
+            step = int(step)
+        inside = where[step] if isinstance(where, list) else where.get(step)
+        if not isinstance(inside, (dict, list)):
+            if gone:
+                return
+            inside = where[step] = {}
+        where = inside
+    if not last:
+        return
+    if isinstance(where, list):
+        if not last.isdigit() or (gone and int(last) >= len(where)):
+            return
+        where += [None] * (int(last) + 1 - len(where))
+        where[int(last)] = None if gone else value
+    elif gone:
+        where.pop(last, None)
+    else:
+        where[last] = value
+
+
+@pytest.mark.parametrize("seed", [31, 32])
+def test_places_among_objects_and_lists(spark, seed):
+    """Written objects with fields that later entries reach into, names with dots and blanks inside them, and some lists."""
+    rng = random.Random(seed)
+    paths = ["a", "a.b", "a.b.c", "a.b.c.d", "a..e", "f.g", "f", "h.", "", "l", "l.0", "l.2.x"]
+    values = [1, "s", None, {"b": {"c": {"d": 1, "z.z": 2}, "y": 0}, "": {"e": 5}}, {"c": 3}, {}, {"b": 7}, {"g": {"": 1}}]
+    log, want = [], {}
+    for _ in range(500):
+        key = f"id{rng.randint(0, 14)}"
+        if rng.random() < 0.08:
+            log.append(event("insert", key, {"f": {"g": 0, "k": 1}}))
+            want[key] = {"f": {"g": 0, "k": 1}}
+            continue
+        some = paths if key in ("id0", "id1") else paths[:-3]
+        path = rng.choice(some)
+        fields = {path: [1, {"x": 2}] if path == "l" and rng.random() < 0.5 else rng.choice(values)}
+        removed = [p for p in rng.sample(some, rng.randint(0, 1)) if p not in fields]
+        log.append(event("update", key, updated=fields, removed=removed))
+        if key in want:
+            for name, value in fields.items():
+                set_place(want[key], name, json.loads(json.dumps(value)))
+            for name in removed:
+                set_place(want[key], name, gone=True)
+    got = documents(fold.fold_paths(parsed(spark, log)))
+    assert got == want
+
+
+def test_places_keep_numbers(spark):
+    value = '{"operationType":"insert","fullDocument":{"a":{"b":1.10,"c":{"d":2.50}}},"documentKey":{"_id":{"$oid":"k"}}}'
+    change = '{"operationType":"update","updateDescription":{"updatedFields":{"a.c.e":0.30}},"documentKey":{"_id":{"$oid":"k"}}}'
+    rows = spark.createDataFrame([("k", value, "t", 0, 1, None), ("k", change, "t", 0, 2, None)], LOG)
+    state = fold.fold_paths(envelope.accepted(envelope.parse_changes(rows, "offset")))
+    assert state.first()["document"] == '{"a":{"b":1.10,"c":{"d":2.50,"e":0.30}}}'

@@ -17,11 +17,13 @@ or after the newest barrier of its id.
 from __future__ import annotations
 
 import json
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark import session
 from tidemark.functions.jsondoc import json_fields, object_from_entries, without_keys
 
 REMOVAL_MODES = ("intended", "as_written")
@@ -261,15 +263,11 @@ def _apply_paths(ordered: Column) -> Column:
     return F.pandas_udf(documents, "string")(ordered)
 
 
-def fold_paths(events: DataFrame) -> DataFrame:
-    """As ``fold``, but a dotted field name means a place inside the document.
+def _place_entries(events: DataFrame) -> DataFrame:
+    """What still matters of dotted fields: ``_id, field, at, gone, value``, and per document a row without a field.
 
-    Entries are reduced per (id, path) as before. What is left, at most one
-    entry per distinct path of a document, is applied in log order; a later
-    write to an outer object replaces what was set inside it before. A nested
-    write also leaves an entry ``outer.`` for each object around it, which then
-    exists even if the field itself is removed again. A step into a list that is
-    no number, or lies more than 1.5 million places behind its end, is ignored.
+    A nested write also leaves an entry ``outer.`` for each object around it, which then exists even if the field itself
+    is removed again.
     """
     steps = F.split("field", "\\.")
     outer = F.transform(
@@ -278,16 +276,105 @@ def fold_paths(events: DataFrame) -> DataFrame:
     )
     nested = F.col("field").contains(".") & ~F.col("gone")
     fields = F.when(nested, F.concat(F.array("field"), outer)).otherwise(F.array("field"))
-    entries = change_entries(events).select(
+    # A field name that ends in a dot names no place, so its removal does nothing.
+    nothing = F.coalesce(F.col("gone") & (F.col("field").endswith(".") | (F.col("field") == "")), F.lit(False))
+    entries = change_entries(events).filter(~nothing).select(
         "_id", F.explode(fields).alias("field"), "at", "gone", "value"
     )
-    reduced = reduce_entries(entries)
+    exists = F.col("barrier").isNotNull() & ~F.col("barrier.gone")
+    return with_barriers(reduce_entries(entries)).filter(exists & _since_barrier()).drop("barrier")
+
+
+def _through_lists(entries: DataFrame) -> DataFrame:
+    """Documents built entry by entry, for those with steps into lists."""
     entry = F.when(F.col("field").isNotNull(), F.struct("at", "field", "gone", "value"))
-    kept = (
-        with_barriers(reduced)
-        .filter(F.col("barrier").isNotNull() & ~F.col("barrier.gone") & _since_barrier())
-        .groupBy("_id")
-        .agg(F.array_sort(F.collect_list(entry)).alias("entries"))
-    )
+    kept = entries.groupBy("_id").agg(F.array_sort(F.collect_list(entry)).alias("entries"))
     ordered = F.transform("entries", lambda e: F.struct(e["field"], e["gone"], e["value"]))
     return kept.select("_id", _apply_paths(ordered).alias("document"))
+
+
+_PLACE = ["_id", "steps"]
+
+
+def _heads(rows: DataFrame, own: bool) -> DataFrame:
+    """``_id, steps`` of every place around the given places, and with ``own`` of these too, as ``head``."""
+    last = F.size("steps") if own else F.size("steps") - 1
+    lengths = F.when(last > 0, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
+    return rows.select(*_PLACE, F.explode(lengths).alias("n")).select(
+        *_PLACE, F.slice("steps", F.lit(1), F.col("n")).alias("head")
+    )
+
+
+def _opened(sets: DataFrame, inner: DataFrame, depth: int) -> tuple[DataFrame, DataFrame]:
+    """Written values, objects replaced by their fields where another entry lies inside them; and those that are lists there."""
+    parts, lists = [], []
+    for level in range(depth):
+        inside = sets.join(inner, _PLACE, "left_semi")
+        lists.append(inside.filter(F.col("value").startswith("[")).select("_id"))
+        is_open = F.col("value").startswith("{")
+        opened = inside.filter(is_open)
+        parts.append(sets.join(opened.select(*_PLACE, "at"), [*_PLACE, "at"], "left_anti").withColumn("is_object", F.lit(False)))
+        if level == depth - 1:
+            break
+        parts.append(opened.withColumn("is_object", F.lit(True)))
+        fields = opened.select("_id", "steps", "at", F.explode(json_fields("value")).alias("key", "value"))
+        sets = fields.select("_id", F.concat("steps", F.array("key")).alias("steps"), "at", "value")
+    return reduce(DataFrame.unionByName, parts), reduce(DataFrame.unionByName, lists).distinct()
+
+
+def _assembled(nodes: DataFrame, documents: DataFrame, depth: int) -> DataFrame:
+    """Documents from their places, the deepest first: one aggregation per depth."""
+    below = None
+    for level in range(depth, 0, -1):
+        here = nodes.filter(F.size("steps") == level)
+        text = F.when(F.col("is_object"), "{}").otherwise(F.col("value"))
+        if below is not None:
+            here = here.join(below, _PLACE, "left")
+            text = F.when(F.col("is_object"), F.coalesce("inside", F.lit("{}"))).otherwise(F.col("value"))
+        member = F.struct(F.element_at("steps", -1).alias("key"), text.alias("value"))
+        parent = F.slice("steps", 1, level - 1).alias("steps")
+        below = here.groupBy("_id", parent).agg(object_from_entries(F.collect_list(member)).alias("inside"))
+    if below is None:
+        return documents.select("_id", F.lit("{}").alias("document"))
+    whole = documents.join(below.select("_id", "inside"), "_id", "left")
+    return whole.select("_id", F.coalesce("inside", F.lit("{}")).alias("document"))
+
+
+def fold_paths(events: DataFrame) -> DataFrame:
+    """As ``fold``, but a dotted field name means a place inside the document.
+
+    Entries are reduced per (id, path) as before. A written object is replaced by its fields where another entry lies
+    inside it, an entry is dead if its place or one around it was written or removed later, and what is alive is put
+    together from the deepest place up. A later write to an outer object replaces what was set inside it before; a
+    nested write makes an object of what is around it. Documents with a step into a list are built entry by entry
+    instead: a step that is no number, or lies more than 1.5 million places behind the end, is ignored there, and numbers
+    are rewritten. The entries are written to the shared folder once, since they are read for each depth.
+    """
+    spark = events.sparkSession
+    path = session.scratch_dir(spark, "places")
+    _place_entries(events).write.parquet(path)
+    entries = spark.read.parquet(path)
+    documents = entries.filter(F.col("field").isNull()).select("_id")
+    touch = F.col("field").endswith(".")
+    name = F.when(touch, F.expr("left(field, length(field) - 1)")).otherwise(F.col("field"))
+    placed = entries.filter(F.col("field").isNotNull() & (F.col("field") != "")).select(
+        "_id", F.split(name, "\\.").alias("steps"), "at", "gone", touch.alias("touch"), "value"
+    )
+    depth = placed.agg(F.max(F.size("steps"))).first()[0] or 0
+    if depth == 0:
+        return documents.select("_id", F.lit("{}").alias("document"))
+    own = placed.filter(~F.col("touch"))
+    inner = _heads(own.select(*_PLACE).distinct(), own=False).select("_id", F.col("head").alias("steps")).distinct()
+    sets, lists = _opened(own.filter(~F.col("gone")).select(*_PLACE, "at", "value"), inner, depth)
+    touches = placed.filter("touch").select(*_PLACE, "at", F.lit(None).cast("string").alias("value"), F.lit(True).alias("is_object"))
+    found = sets.select(*_PLACE, "at", "value", "is_object").unionByName(touches)
+    written = own.groupBy("_id", F.col("steps").alias("head")).agg(F.max("at").alias("written"))
+    resets = _heads(found.select(*_PLACE).distinct(), own=True).join(written, ["_id", "head"])
+    resets = resets.groupBy(*_PLACE).agg(F.max("written").alias("reset"))
+    alive = found.join(resets, _PLACE, "left").filter(F.col("reset").isNull() | (F.col("at") >= F.col("reset")))
+    nodes = alive.groupBy(*_PLACE).agg(F.max("is_object").alias("is_object"), F.max_by("value", "at").alias("value"))
+    if lists.isEmpty():
+        return _assembled(nodes, documents, depth)
+    plain = documents.join(lists, "_id", "left_anti")
+    listed = _through_lists(entries.join(lists, "_id", "left_semi"))
+    return _assembled(nodes.join(plain, "_id", "left_semi"), plain, depth).unionByName(listed)
