@@ -107,17 +107,19 @@ def _leaves(classes: DataFrame, small: int) -> DataFrame:
     while True:
         ends.append(live.where(F.col("size") <= small))
         large = live.where(F.col("size") > small)
-        if large.isEmpty():
+        left = large.count()
+        if not left:
             return reduce(DataFrame.unionByName, ends)
+        parts = 1 + left // 200_000  # no more files than the rows need
         branches = large.join(sketch, "id").select("node", "size", "id", F.explode(picked).alias("branch"))
-        branches = scratch.keep(branches, "branches")
-        counts = scratch.keep(branches.groupBy("node", "size", "branch").agg(F.count("*").alias("c")), "counts")
+        branches = scratch.keep(branches, "branches", parts)
+        counts = scratch.keep(branches.groupBy("node", "size", "branch").agg(F.count("*").alias("c")), "counts", parts)
         after = counts.groupBy("node", "size").agg(F.sum(F.col("c") * F.col("c")).alias("after"))
-        dense = scratch.keep(after.where(F.col("after") >= _DENSE * F.col("size") * F.col("size")).select("node"), "dense")
+        dense = after.where(F.col("after") >= _DENSE * F.col("size") * F.col("size")).select("node")
         ends.append(large.join(dense, "node", "left_semi"))
         on = counts.where("c > 1").join(dense, "node", "left_anti").select("branch", F.col("c").alias("now"))
         live = branches.select("branch", "id").join(on, "branch")
-        live = scratch.keep(live.select(F.col("branch").alias("node"), F.col("now").alias("size"), "id"), "live")
+        live = scratch.keep(live.select(F.col("branch").alias("node"), F.col("now").alias("size"), "id"), "live", parts)
 
 
 def _agreeing(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -175,7 +177,7 @@ def _groups(classes: DataFrame, small: int) -> DataFrame:
     )
 
 
-def groups(docs: DataFrame, shingle: int = 5, trees: int = 20, small: int = 64, percent: int = 75) -> DataFrame:
+def groups(docs: DataFrame, shingle: int = 5, trees: int = 20, small: int = 512, percent: int = 75) -> DataFrame:
     """doc_id, text_code, n_shingles, component_id, component of every row; component is null for empty sets."""
     if percent < 75:
         raise ValueError("sketches are compared for similarities of 75% or more")

@@ -35,12 +35,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark import session
-from tidemark.llm import scratch
+from tidemark.llm import scratch, texts
 
 MAGIC = b"TMRANS01"
 _HEAD = struct.Struct("<8s7I")
 _LOW = np.uint64(1 << 31)  # lower bound of a lane's state
 _32 = np.uint64(32)
+#: Tokens of a part, about, where the session has fewer partitions than that takes.
+_PART_TOKENS = 1 << 26
 
 
 # ---- tokens
@@ -62,7 +64,7 @@ class PieceEncoder:
     _LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ɏ]+(?=[\n!-@\[-`{-~])")
     _of: ClassVar[dict[str, PieceEncoder]] = {}
 
-    def __init__(self, path: str, most_words: int = 300_000, longest: int = 48):
+    def __init__(self, path: str, most_words: int = 150_000, longest: int = 48):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -151,22 +153,20 @@ def tokens(docs: DataFrame, tokenizer: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, place = PieceEncoder.of(tokenizer), TaskContext.get().partitionId() << 33
-        for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                part = batch.slice(start, 500)
-                ids = [x + encoder.end for x in encoder.encode([text or "" for text in part.column(1).to_pylist()])]
-                wide = [np.frombuffer(x, encoder.kind).astype("<u4") for x in ids]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0),
-                        pa.array(ids, pa.binary()),
-                        pa.array([len(x) for x in wide], pa.int64()),
-                        pa.array([zlib.crc32(x) for x in wide], pa.int64()),
-                        pa.array(range(place, place + len(ids)), pa.int64()),
-                    ],
-                    ["doc_id", "ids", "n_tokens", "crc", "row"],
-                )
-                place += len(ids)
+        for part, _, _ in texts.chunks(batches, 1, 1 << 20):
+            ids = [x + encoder.end for x in encoder.encode([text or "" for text in part.column(1).to_pylist()])]
+            crcs = [zlib.crc32(np.frombuffer(x, encoder.kind).astype("<u4")) for x in ids]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column(0),
+                    pa.array(ids, pa.binary()),
+                    pa.array([len(x) // encoder.kind.itemsize for x in ids], pa.int64()),
+                    pa.array(crcs, pa.int64()),
+                    pa.array(range(place, place + len(ids)), pa.int64()),
+                ],
+                ["doc_id", "ids", "n_tokens", "crc", "row"],
+            )
+            place += len(ids)
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return scratch.keep(
@@ -353,7 +353,8 @@ def write(
             yield finished()
 
     order = ["doc_id", "crc", "n_tokens", "row"]
-    dealt = rows.repartitionByRange(scratch.partitions(spark), *order).sortWithinPartitions(*order)
+    parts = max(scratch.partitions(spark), int(counted["n"].to_numpy().sum()) // _PART_TOKENS + 1)
+    dealt = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     blocks = dealt.select("doc_id", "ids").mapInArrow(
         run, "part long, block long, first long, n_tokens long, payload binary"
     )
