@@ -11,7 +11,8 @@ codes in a shuffled semi-join instead, with the same result.
 
 Defined cases: null or empty texts have no words and no hits; an item without words is ignored; items with
 equal windows are all reported; an item_id that is null marks words but is not listed; document rows that
-agree in every column are judged each for itself; other columns are ignored; an empty benchmark hits nothing.
+agree in every column are judged each for itself; a very long text is scanned whole;
+other columns are ignored; an empty benchmark hits nothing.
 """
 
 from __future__ import annotations

@@ -9,7 +9,7 @@ result does not depend on ANSI mode.
 
 Defined cases: a null key counts as key 0; a null text has size 1 and the checksum of no bytes; rows
 that agree in every column are told apart by their slot only; an output column replaces an input column
-of the same name; an empty table gives an empty result.
+of the same name; a very long text counts with all its bytes; an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ times languages; it is gathered on the driver and sent to the tasks.
 
 Defined cases: `und` for null texts, texts without a letter, and where nothing could be learned; a text with
 letters but no known n-gram gets the most frequent learned language with score 0; ties go to the language
-that sorts first; a null doc_id is not held out; other columns are ignored; equal rows get equal results.
+that sorts first; a null doc_id is not held out; a very long text is judged by all its
+n-grams; other columns are ignored; equal rows get equal results; an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -17,7 +17,7 @@ Targets: shares per margin value, or, where none are given, the actual shares ra
 Defined cases: null is a margin value of its own; a document without words has weight 0 and the probability of
 its cell; a value without a target gets the share 0 and is not kept; cells of weight 0 have probability 0 if
 other cells have weight, and 1 if none has; equal ids are drawn alike, so repeated rows stay or go together; a null
-id is drawn as an empty text; columns of ``docs`` may have any names not starting with two underscores.
+id is drawn as an empty text; very long texts are counted whole; an empty table gives an empty result; columns of ``docs`` may have any names not starting with two underscores.
 """
 
 from __future__ import annotations

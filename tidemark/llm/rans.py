@@ -14,7 +14,8 @@ CRC-32 of the frequency table; per document int64 id, uint8 null flag, uint32 to
 offset and a uint64 state per lane (the first one is the head); the words as uint32; CRC-32 of all before it.
 
 Defined cases: a null text counts as empty and has only the end id; a null doc_id sorts first; rows of one doc_id
-are ordered by the CRC-32 of their ids, then their number, then by the place of their row; other columns are ignored;
+are ordered by the CRC-32 of their ids, then their number, then by the place of their row; a very long
+text is one block with what was waiting before it; other columns are ignored;
 an empty table gives an empty file and an empty result.
 """
 

@@ -15,8 +15,8 @@ shuffle moves few large rows.
 
 Defined cases: null and blank texts have no words; texts with fewer words than a window lose none; equal doc_ids
 do not count as smaller, and a null doc_id neither removes nor is removed from; rows that agree in doc_id and
-text get the same result; a window repeated inside one document only is kept; other columns are ignored; an empty
-table gives an empty result.
+text get the same result; a window repeated inside one document only is kept; a very long
+text is read whole, as a chunk of its own; other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations

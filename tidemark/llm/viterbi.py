@@ -9,8 +9,8 @@ unknown characters fuse into one token, or into one per byte where the vocabular
 Text is split before each space, as that tokenizer's pre-tokenizer does, and a space is put in front if there is
 none; so words are counted apart, and those already seen in the task are remembered.
 
-Defined cases: null and empty texts have 0 tokens and score 0; rows are counted one by one; other columns are
-ignored; an empty table gives an empty result.
+Defined cases: null and empty texts have 0 tokens and score 0; rows are counted one by one, so repeated ones too;
+very long texts and words are counted whole; other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
