@@ -1,4 +1,11 @@
-"""A corpus pipeline of five operators; each stage is written and read again before the next one."""
+"""A corpus pipeline of five operators; each stage is written and read again before the next one.
+
+Defined cases, in the order of the stages: null texts and texts without letters are dropped as of no known language; of
+near copies the smallest doc_id stays, a null one only if there is no other, and of rows equal in doc_id and text one;
+texts without words are no copies and hit nothing; mixing draws equal ids alike and takes null as a margin value of its
+own; token files order rows of one doc_id by checksum and length. Very long texts pass every stage whole. Columns beside
+doc_id, text, lang and source pass through the stages; an empty table gives an empty result.
+"""
 
 from __future__ import annotations
 
