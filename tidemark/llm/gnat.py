@@ -141,9 +141,13 @@ def prepared(rows: DataFrame, label: Column | None = None, scale: float = 256.0)
     )
     one = taken.groupBy("vec_id").agg(F.min(F.struct("label", "v")).alias("one")).select("vec_id", "one.*")
     kept = scratch.keep(one, "vectors")
-    dims = kept.agg(F.max(F.size("v"))).first()[0] or 1
+    dims, low, high = kept.agg(F.max(F.size("v")), F.min(F.array_min("v")), F.max(F.array_max("v"))).first()
+    dims, reach = max(dims or 1, 1), max(-(low or 0), high or 0)
+    # Vectors travel to every leaf they have to visit, so in the narrowest type that holds all of them.
+    kind = next(name for name, bits in (("smallint", 15), ("int", 31), ("bigint", 64)) if reach < 1 << bits)
     zeros = F.array_repeat(F.lit(0).cast("long"), F.lit(dims) - F.size("v"))
-    return kept.withColumn("v", F.concat("v", zeros)).withMetadata("v", {"dims": max(dims, 1)})
+    padded = kept.withColumn("v", F.concat("v", zeros).cast(f"array<{kind}>"))
+    return padded.withMetadata("v", {"dims": dims, "kind": kind})
 
 
 class Index:
@@ -151,7 +155,7 @@ class Index:
 
     def __init__(self, vectors: DataFrame):
         self.vectors = vectors
-        self.dims = vectors.schema["v"].metadata["dims"]
+        self.dims, self.kind = (vectors.schema["v"].metadata[name] for name in ("dims", "kind"))
         # The sample is of bounded size: SAMPLE rows.
         sample = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("v").collect()
         self.tree = Tree(np.array([row.v for row in sample], np.float64).reshape(-1, self.dims))
@@ -206,7 +210,7 @@ class Index:
                 leaf = tree.place(_vectors(batch.column(2), dims).astype(np.float64))
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaf)], ["vec_id", "label", "v", "leaf"])
 
-        placed = vectors.select("vec_id", "label", "v").mapInArrow(run, "vec_id long, label long, v array<long>, leaf long")
+        placed = vectors.select("vec_id", "label", "v").mapInArrow(run, f"vec_id long, label long, v array<{self.kind}>, leaf long")
         return scratch.keep(_dealt(placed, self.sizes, BLOCK, "vec_id", ["vec_id", "label", "v"], "block"), "blocks")
 
     def routed(self, queries: DataFrame, everywhere: bool) -> DataFrame:
@@ -228,7 +232,7 @@ class Index:
                 out = batch.take(pa.array(which))
                 yield pa.RecordBatch.from_arrays([*out.columns, pa.array(leaves)], [*_QUERY, "leaf"])
 
-        schema = "anchor long, label long, v array<long>, tags array<long>, lows array<long>, highs array<long>, leaf long"
+        schema = f"anchor long, label long, v array<{self.kind}>, tags array<long>, lows array<long>, highs array<long>, leaf long"
         return queries.select(*_QUERY).mapInArrow(run, schema)
 
     def search(self, queries: DataFrame, same: bool, want: int, everywhere: bool = True) -> DataFrame:
@@ -273,10 +277,11 @@ def _best(queries: list[pa.Array], rows: list[pa.Array], dims: int, same: bool,
     anchors, labels = queries[0].to_numpy(), queries[1].to_numpy()
     ids, kinds = rows[0].to_numpy(), rows[1].to_numpy()
     left, right = _vectors(queries[2], dims), _vectors(rows[2], dims)
-    if float(np.abs(left).max(initial=0)) * float(np.abs(right).max(initial=0)) * dims < 2**53:
-        scores = (left.astype(np.float64) @ right.T.astype(np.float64)).astype(np.int64)
+    left_wide, right_wide = left.astype(np.float64), right.astype(np.float64)
+    if np.abs(left_wide).max(initial=0) * np.abs(right_wide).max(initial=0) * dims < 2**53:
+        scores = (left_wide @ right_wide.T).astype(np.int64)
     else:
-        scores = left @ right.T
+        scores = left.astype(np.int64) @ right.T.astype(np.int64)
     fits = labels[:, None] == kinds[None, :]
     if not same:
         fits = ~fits
