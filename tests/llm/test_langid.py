@@ -78,3 +78,63 @@ def test_more_languages_than_one_plane(spark):
     docs = spark.createDataFrame(rows, DOCS)
     got = langid.predict(docs, langid.learn(docs)).collect()
     assert all(r.lang == r.lang_pred for r in got)
+
+
+def brute_profiles(rows, least_ratio=0.3):
+    """Language to its n-grams: those at least 0.3 times as common there as where they are most common."""
+    counts = {}
+    for _, text, lang, *_ in rows:
+        if text is not None and lang is not None:
+            own = counts.setdefault(lang, {})
+            for gram in brute_ngrams(text):
+                own[gram] = own.get(gram, 0) + 1
+    shares = {lang: {g: n / sum(own.values()) for g, n in own.items()} for lang, own in counts.items()}
+    best = {}
+    for own in shares.values():
+        for gram, share in own.items():
+            best[gram] = max(best.get(gram, 0), share)
+    return {lang: {g for g, share in own.items() if share >= best[g] * least_ratio} for lang, own in shares.items()}
+
+
+def brute_judge(model, profiles, text):
+    """By sets; a gram that no set holds counts where the filter says so, and the expected number of those is taken off."""
+    grams, values = brute_ngrams(text), []
+    for i, lang in enumerate(model.langs):
+        hits = 0
+        for gram in grams:
+            code = int.from_bytes(gram, "little")
+            places = [(code * int(factor)) % (1 << 32) >> model.shift for factor in langid._HASHES]
+            passed = all(int(model.planes[i // 64][p]) >> (i % 64) & 1 for p in places)
+            assert passed or gram not in profiles[lang]  # the filter loses nothing
+            hits += gram in profiles[lang] or passed
+        chance = float(model.chance[i])
+        values.append((hits - len(grams) * chance) / (1 - chance))
+    best = max(range(len(values)), key=lambda i: (values[i], -i))
+    score = min(1.0, max(0.0, values[best] / max(len(grams), 1)))
+    if not any(c.isalpha() for c in text):
+        return "und", 0.0
+    return (model.langs[best] if score > 0 else model.default), score
+
+
+def test_decisions_equal_sets(spark):
+    rows = corpus(120) + [(2000, "qqqq zzzz", "fr", "s", None), (2001, "12 ?", "en", "s", None), (2002, "der the der the", "de", "s", None)]
+    rows += [(2003, "", "es", "s", None), (2004, "日本 の", "fr", "s", None), (2005, "x", "es", "s", None)]
+    docs = spark.createDataFrame(rows, DOCS)
+    model, profiles = langid.learn(docs), brute_profiles(rows)
+    assert model.langs == sorted(profiles)
+    texts = {d: t for d, t, *_ in rows}
+    unseen = [(5000 + i, t, None, None, None) for i, t in enumerate(["the der of ing le", "ñññ los ción x", "wholly unseen words", "a", "b 1 c"])]
+    texts |= {d: t for d, t, *_ in unseen}
+    got = langid.predict(docs.unionByName(spark.createDataFrame(unseen, DOCS)), model).collect()
+    for row in got:
+        lang, score = brute_judge(model, profiles, texts[row.doc_id])
+        assert row.lang_pred == lang and abs(row.score - score) < 1e-12, texts[row.doc_id]
+    # False positives are as rare as the model says: grams that no language has.
+    wrong = np.random.default_rng(1).integers(0, 1 << 32, 50_000, dtype=np.uint64)
+    known = {int.from_bytes(g, "little") for own in profiles.values() for g in own}
+    wrong = [int(c) for c in wrong if int(c) not in known]
+    for i in range(len(model.langs)):
+        passed = sum(
+            all(int(model.planes[0][(c * int(f)) % (1 << 32) >> model.shift]) >> i & 1 for f in langid._HASHES) for c in wrong
+        )
+        assert abs(passed / len(wrong) - model.chance[i]) < 0.002 + 3 * model.chance[i]
