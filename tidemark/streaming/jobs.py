@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -329,8 +330,10 @@ def watch(
 
 
 def _last(spark, path: str) -> DataFrame:
+    """The rows of the last batch, told by its files: a batch without rows has one too."""
     stored = spark.read.parquet(path)
-    return stored.join(stored.agg(F.max("batch").alias("batch")), "batch", "left_semi").drop("batch")
+    newest = max(int(re.search(r"/batch=(\d+)/", name).group(1)) for name in stored.inputFiles())
+    return stored.filter(F.col("batch") == newest).drop("batch")
 
 
 def watched(spark, path: str) -> DataFrame:
