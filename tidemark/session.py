@@ -5,15 +5,16 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every job of this package relies on.
 #  - LAST_WIN gives map_concat the right-hand-wins rule of a JSON object merge.
 #  - Repeated keys inside a document are legal input; the last one is kept.
 #  - AQE picks broadcast joins from measured shuffle sizes and splits skewed
 #    join partitions, also where a later aggregate then needs another shuffle.
-#  - Compressed files are taken for several times their size, so that the
-#    planner broadcasts a scanned side only when it is surely small.
+#  - Compressed files are taken for several times their size. The planner still
+#    takes rows cut out of parsed JSON for far smaller than they are (102 MB for
+#    3 MB), so only AQE, which has measured them, may choose a broadcast.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
@@ -23,6 +24,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.fileCompressionFactor": "4.0",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
     # Keyed stream state lives on disk, not in executor heaps.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -59,3 +62,10 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="run-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def kept(rows: DataFrame, label: str) -> DataFrame:
+    """Rows that are read several times, written once to the shared folder."""
+    path = scratch_dir(rows.sparkSession, label)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
