@@ -39,42 +39,41 @@ def without_keys(document: Column, keys: Column) -> Column:
     return F.map_filter(document, lambda key, _: ~F.array_contains(names, key))
 
 
-# Private characters that tell numbers and strings apart once both are JSON strings, and one that no JSON text holds raw.
-_NUMBER, _STRING, _CUT = "\ue000", "\ue001", "\u0001"
-_INSIDE = r'(?:[^"\\]|\\.)*+'
+# Private characters around a string and before a number, once both are JSON strings.
+_OPEN, _CLOSE = "\ue001", "\ue000"
+_INSIDE = r'[^"\\]*+(?:\\.[^"\\]*+)*+'
+_CLOSED = rf'[^"\\{_CLOSE}]*+(?:(?:\\.|{_CLOSE}(?!"))[^"\\{_CLOSE}]*+)*+'
 
 
 def marked(text: Column | str) -> Column:
-    """JSON text with every number as a string after ``_NUMBER`` and every string, names too, after ``_STRING``.
+    """JSON text with every string, names too, between ``_OPEN`` and ``_CLOSE`` and every number as a string after both.
 
-    A JSON reader turns numbers into doubles; as strings they keep their characters.
+    A JSON reader turns numbers into doubles; as strings they keep their characters. A number never ends with
+    ``_CLOSE``, a string always does, so one pass over the text is enough.
     """
-    strings = F.regexp_replace(text, f'"({_INSIDE})"', f'"{_STRING}$1"')
-    cut = F.regexp_replace(strings, f'("{_INSIDE}")|(-?[0-9][-+.0-9eE]*+)', f"$1{_CUT}$2{_CUT}")
-    return F.regexp_replace(F.replace(cut, F.lit(_CUT * 2), F.lit("")), f"{_CUT}([^{_CUT}]*){_CUT}", f'"{_NUMBER}$1"')
+    return F.regexp_replace(text, f'"({_INSIDE})"|(-?[0-9][-+.0-9eE]*+)', f'"{_OPEN}$1{_CLOSE}$2"')
 
 
 def marked_name(name: str) -> str:
     """A field name as ``marked`` writes it."""
-    return _STRING + name
+    return f"{_OPEN}{name}{_CLOSE}"
 
 
 def _unmarked(value: Column) -> Column:
-    rest = F.substring(value, F.lit(2), F.length(value))
-    quoted = F.to_json(F.array(rest))
-    numbers = F.regexp_replace(value, f'"{_NUMBER}([-+.0-9eE]*)"', "$1")
-    nested = F.regexp_replace(numbers, f'"{_STRING}({_INSIDE})"', '"$1"')
+    quoted = F.to_json(F.array(F.substring(value, F.lit(2), F.length(value) - 2)))
+    numbers = F.regexp_replace(value, f'"{_OPEN}{_CLOSE}([-+.0-9eE]++)"', "$1")
+    nested = F.regexp_replace(numbers, f'"{_OPEN}({_CLOSED}){_CLOSE}"', '"$1"')
     return (
         F.when(value.isNull(), "null")
-        .when(value.startswith(_STRING), F.substring(quoted, F.lit(2), F.length(quoted) - 2))
-        .when(value.startswith(_NUMBER), rest)
-        .otherwise(nested)
+        .when(~value.startswith(_OPEN), nested)
+        .when(value.endswith(_CLOSE), F.substring(quoted, F.lit(2), F.length(quoted) - 2))
+        .otherwise(F.substring(value, F.lit(3), F.length(value)))
     )
 
 
 def exact_fields(fields: Column) -> Column:
     """A ``map<string,string>`` read from marked text, as names and the JSON text of their values, digit by digit."""
-    names = F.transform_keys(fields, lambda name, _: F.substring(name, F.lit(2), F.length(name)))
+    names = F.transform_keys(fields, lambda name, _: F.substring(name, F.lit(2), F.length(name) - 2))
     return F.transform_values(names, lambda _, value: _unmarked(value))
 
 

@@ -16,6 +16,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(spark: SparkSession, folder: str, name: str, key: str) -> DataFrame:
+    """A table in even parts for all cores. The records made of its rows cost far more than their few bytes on disk tell."""
+    return table(spark, folder, name).repartition(key)
+
+
 # One record per event: signups insert, purchases replace, clicks and views
 # update, errors delete. A view also removes field k. A replacement does not
 # name k, so what was stored under it tells a merge from an overwrite.
@@ -29,7 +34,7 @@ def change_log(
     cluster = "named_struct('$timestamp', named_struct('t', unix_seconds(cast(ts AS timestamp)), 'i', 1))"
     if timeless:
         cluster = f"if(event_id % 14 = 0, null, {cluster})"
-    events = table(spark, folder, "events").selectExpr(
+    events = spread(spark, folder, "events", "event_id").selectExpr(
         "*",
         "cast(get_json_object(props, '$.k') as bigint) AS k",
         "cast(round(value * 100) as bigint) AS cents",
@@ -66,7 +71,7 @@ def exact_change_log(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as texts whose values a reader of JSON numbers would change: decimals, fifty digits, nested ones."""
     document = """concat('{"amount":', event_id, '.10,"big":', repeat('9', 40), lpad(event_id, 10, '0'),
         ',"nested":{"x":', cents, '.50,"y":[1e2,null,"1.10"]},"none":null,"dotted.key":"a\\\\"', event_type, '","text":"1.10"}')"""
-    events = table(spark, folder, "events").selectExpr("*", "cast(round(value * 100) as bigint) AS cents")
+    events = spread(spark, folder, "events", "event_id").selectExpr("*", "cast(round(value * 100) as bigint) AS cents")
     return events.selectExpr("*", f"{document} AS document").selectExpr(
         "cast(user_id AS string) AS key",
         """concat('{"operationType":"', CASE event_type WHEN 'signup' THEN 'insert' WHEN 'error' THEN 'delete' ELSE 'update' END, '"',
@@ -174,7 +179,7 @@ def redeem_log(
     if broken:
         keyword = f"if(o_orderkey % 101 = 0, null, {keyword})"
     text = "if(o_orderkey % 107 = 0, substring(json, 1, 40), json)" if broken else "json"
-    return table(spark, folder, "orders").selectExpr(
+    return spread(spark, folder, "orders", "o_orderkey").selectExpr(
         "*",
         f"""to_json(named_struct(
               'data', named_struct(
@@ -224,7 +229,7 @@ def changing_log(spark: SparkSession, folder: str) -> DataFrame:
         )
 
     customers = table(spark, folder, "customer").selectExpr("*", "820454400000 + (c_custkey % 1000) * 86400000 AS start_ms")
-    nations, orders = table(spark, folder, "nation"), table(spark, folder, "orders")
+    nations, orders = table(spark, folder, "nation"), spread(spark, folder, "orders", "o_orderkey")
     whole = f"named_struct('eligibility', {eligibility(0)}, 'segment', c_mktsegment)"
     program = "named_struct('name', n_name, 'region', n_regionkey)"
     keyword = "if(o_orderkey % 13 = 0, concat('NONE', o_orderkey), concat('KW', o_custkey div 3))"
