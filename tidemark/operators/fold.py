@@ -160,20 +160,22 @@ def fold(events: DataFrame, snapshot: DataFrame | None = None, removal: str = "i
 
     Stored rows without an event pass through with their text as it is. A stored
     document that is damaged (see ``damaged_rows``) keeps its text unless an
-    insert or delete replaces it.
+    insert or delete replaces it. Events are read for their entries and their ids,
+    and the state for three outcomes, so both are written to the shared folder once.
     """
-    entries = change_entries(events, removal)
     if snapshot is None:
-        return state_from_entries(reduce_entries(entries))
-    stored = snapshot.select("_id", "document")
-    touched = stored.join(events.select("_id").distinct(), "_id", "left_semi")
-    renewed = events.filter(F.col("op").isin("insert", "delete")).select("_id").distinct()
+        return state_from_entries(reduce_entries(change_entries(events, removal)))
+    events = session.kept(events.select("_id", "op", "seq", "patch", "removed"), "events")
+    renews = F.max(F.coalesce(F.col("op").isin("insert", "delete"), F.lit(False))).alias("renewed")
+    stored = snapshot.select("_id", "document").join(events.groupBy("_id").agg(renews), "_id", "left")
+    stored = session.kept(stored, "stored")
+    touched = stored.filter(F.col("renewed").isNotNull())
     sound = F.from_json("document", "map<string,variant>").isNotNull()
-    entries = entries.unionByName(snapshot_entries(touched.filter(sound), events))
-    untouched = stored.join(events.select("_id").distinct(), "_id", "left_anti")
-    held_back = damaged_rows(touched).join(renewed, "_id", "left_anti")
-    folded = state_from_entries(reduce_entries(entries))
-    return folded.unionByName(untouched).unionByName(held_back)
+    old = snapshot_entries(touched.filter(sound).drop("renewed"), events)
+    untouched = stored.filter(F.col("renewed").isNull())
+    held_back = damaged_rows(touched).filter(~F.col("renewed"))
+    folded = state_from_entries(reduce_entries(change_entries(events, removal).unionByName(old)))
+    return folded.unionByName(untouched.drop("renewed")).unionByName(held_back.drop("renewed"))
 
 
 def latest_per_key(log: DataFrame, keys: list[str], order: Column, tombstone: Column | None = None) -> DataFrame:

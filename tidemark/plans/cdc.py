@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark import session
 from tidemark.functions.jsondoc import document_text, fields_text, merge_objects, unwrap_id, without_keys
 from tidemark.operators import fold, lookup, tables
 from tidemark.plans import fixtures
@@ -39,7 +40,7 @@ def fold_guarded(spark, folder):
 
 def fold_snapshot(spark, folder):
     """The log up to a moment as snapshot, then the rest over it."""
-    events = _events(spark, folder)
+    events = session.kept(_events(spark, folder), "log")
     moment = F.unix_millis(F.lit("2024-01-15 00:00:00").cast("timestamp"))
     earlier, later = F.col("event_ms") < moment, F.col("event_ms") >= moment
     return fold.fold(events.filter(later), fold.fold(events.filter(earlier)))
@@ -156,7 +157,7 @@ def nested_rows(spark, folder):
 
 def verify_written(spark, folder):
     """Look every inserted id up in the folded state."""
-    events = _events(spark, folder)
+    events = session.kept(_events(spark, folder).select("_id", "op", "seq", "patch", "removed"), "log")
     return tables.verify_written(events.filter(F.col("op") == "insert"), fold.fold(events))
 
 
