@@ -20,29 +20,32 @@ from tidemark.streaming.lookups import FollowingJoin, Lookups, enrich_following
 from tidemark.streaming.versions import VersionedJoin
 
 
-FILES = 4  # per part
+FILES = 4  # per part, at least
+ROWS = 100_000  # a file, so that a batch of many rows is read by many tasks
 BUCKETS = 8  # of keyed tables, for inputs of this size
 
 
-def _parts(rows, by: str, path: str, cuts=(1 / 3, 2 / 3)) -> None:
-    """Write rows in consecutive ranges of ``by``, one after the other; the last takes all others too."""
+def _parts(rows, by: str, path: str, cuts=(1 / 3, 2 / 3)) -> int:
+    """Write rows in consecutive ranges of ``by``, one after the other; the last takes all others too. Gives the files of each."""
     column = F.col(by)
     number = (column.cast("timestamp") if "timestamp" in dict(rows.dtypes)[by] else column).cast("double")
     finite = F.when(~F.isnan(number), number)
-    low, high = rows.agg(F.min(finite), F.max(finite)).first()
+    low, high, n = rows.agg(F.min(finite), F.max(finite), F.count("*")).first()
+    files = max(FILES, n // ((len(cuts) + 1) * ROWS))
     place = (finite - (low or 0)) / (((high or 0) - (low or 0)) or 1)
     part = F.lit(len(cuts))
     for i in reversed(range(len(cuts))):
         part = F.when(place < cuts[i], i).otherwise(part)
     for i in range(len(cuts) + 1):
-        rows.filter(part == i).repartition(FILES).write.mode("append").parquet(path)
+        rows.filter(part == i).repartition(files).write.mode("append").parquet(path)
+    return files
 
 
 def _stream(spark, rows, by: str, label: str):
     """Rows written in parts and read back as a stream, with a folder for its outputs."""
     base = session.scratch_dir(spark, label)
-    _parts(rows, by, f"{base}/in")
-    reader = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", FILES)
+    files = _parts(rows, by, f"{base}/in")
+    reader = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files)
     return reader.parquet(f"{base}/in"), base
 
 
@@ -178,8 +181,8 @@ def stream_asof(spark, folder):
     """Both sides stream in parts; the second half of each part's versions comes one batch after its probes."""
     probes, base = _stream(spark, fixtures.probes(spark, folder), "probe_ts", "asof")
     history = fixtures.versions(spark, folder, "signup")
-    _parts(history, "version_ts", f"{base}/versions", cuts=(1 / 6, 1 / 2))
-    reader = spark.readStream.schema(history.schema).option("maxFilesPerTrigger", FILES)
+    files = _parts(history, "version_ts", f"{base}/versions", cuts=(1 / 6, 1 / 2))
+    reader = spark.readStream.schema(history.schema).option("maxFilesPerTrigger", files)
     join = VersionedJoin(
         spark, f"{base}/join", ["user_id"], "probe_ts", "version_ts", 5, tie_order="version_id", buckets=BUCKETS
     )

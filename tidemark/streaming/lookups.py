@@ -46,7 +46,15 @@ class DocumentTable:
         """Take in change events; the rows of the changed documents before and after, or None without changes.
 
         Columns: ``_id``, and as structs ``old`` and ``new`` the lookup columns; null where there is no document.
+        The events are read for their ids and their entries, so they are kept meanwhile.
         """
+        events = events.select("_id", "op", "seq", "patch", "removed").persist()
+        try:
+            return self._add(events, batch_id)
+        finally:
+            events.unpersist()
+
+    def _add(self, events: DataFrame, batch_id: int) -> DataFrame | None:
         if events.isEmpty():
             return None
         before, self.now = self.rows.head(batch_id), batch_id
