@@ -3,6 +3,7 @@ import random
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import chosen, components
 
@@ -105,6 +106,26 @@ def test_links_in_a_dense_family(spark):
     assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id), r.kept) for r in rows) == want
 
 
+def test_dense_nodes_put_out_no_branches(spark, monkeypatch):
+    members, trees = 60, 4
+    docs = spark.createDataFrame(family(8, members, 0), DOCS)
+    rows = chosen.sketches(docs, 5, trees)
+    classes = rows.select("roots", "sketch", F.monotonically_increasing_id().alias("id"))
+    kept, keep = [], chosen.scratch.keep
+
+    def counted(table, *how):
+        table = keep(table, *how)
+        kept.append(table.count())
+        return table
+
+    monkeypatch.setattr(chosen.scratch, "keep", counted)
+    leaves = chosen._leaves(classes, 2)
+    first, most = kept[0], max(kept)
+    assert 0 < first <= members * trees
+    assert leaves.where("size > 2").count() > first / 2  # most are in dense nodes
+    assert most <= first  # before, each row of these was put out once per position
+
+
 def test_recall_of_the_trees_at_any_depth():
     n, trees = chosen.POSITIONS, 20
     assert len(set(chosen.first_positions(trees))) == trees

@@ -102,7 +102,7 @@ def _leaves(classes: DataFrame, small: int) -> DataFrame:
     first, second = (F.xxhash64("node", F.lit(i)) for i in (0, 1))
     first = F.pmod(first, F.lit(POSITIONS)).cast("int")
     second = F.pmod(first + 1 + F.pmod(second, F.lit(POSITIONS - 1)), F.lit(POSITIONS)).cast("int")  # another one
-    picked = F.array(*[F.xxhash64("node", at, F.expr("sketch").substr(at + 1, F.lit(1))) for at in (first, second)])
+    picked = [F.xxhash64("node", at, F.expr("sketch").substr(at + 1, F.lit(1))) for at in (first, second)]
     ends = []
     while True:
         ends.append(live.where(F.col("size") <= small))
@@ -111,14 +111,17 @@ def _leaves(classes: DataFrame, small: int) -> DataFrame:
         if not left:
             return reduce(DataFrame.unionByName, ends)
         parts = 1 + left // 200_000  # no more files than the rows need
-        branches = large.join(sketch, "id").select("node", "size", "id", F.explode(picked).alias("branch"))
-        branches = scratch.keep(branches, "branches", parts)
-        counts = scratch.keep(branches.groupBy("node", "size", "branch").agg(F.count("*").alias("c")), "counts", parts)
+        picks = large.join(sketch, "id").select("node", "size", "id", *[p.alias(f"to_{i}") for i, p in enumerate(picked)])
+        picks = scratch.keep(picks, "picks", parts)
+        # Branches are counted per position, and rows are put out only for the nodes that branch.
+        sums = [picks.groupBy("node", "size", F.col(f"to_{i}").alias("branch")).agg(F.count("*").alias("c")) for i in (0, 1)]
+        counts = scratch.keep(reduce(DataFrame.unionByName, sums), "counts", parts)
         after = counts.groupBy("node", "size").agg(F.sum(F.col("c") * F.col("c")).alias("after"))
         dense = after.where(F.col("after") >= _DENSE * F.col("size") * F.col("size")).select("node")
         ends.append(large.join(dense, "node", "left_semi"))
         on = counts.where("c > 1").join(dense, "node", "left_anti").select("branch", F.col("c").alias("now"))
-        live = branches.select("branch", "id").join(on, "branch")
+        branching = picks.join(dense, "node", "left_anti")
+        live = branching.select("id", F.explode(F.array("to_0", "to_1")).alias("branch")).join(on, "branch")
         live = scratch.keep(live.select(F.col("branch").alias("node"), F.col("now").alias("size"), "id"), "live", parts)
 
 
