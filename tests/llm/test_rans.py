@@ -32,6 +32,24 @@ def test_words_remembered_equal_the_library(library):
             assert np.frombuffer(ids, encoder.kind).tolist() == want, text[:200]
 
 
+def test_a_word_is_coded_once_whatever_stands_after_it(library):
+    words = [f"{a}{b}{c}" for a in ("tha", "ondi", "Größ", "жи") for b in ("ner", "lith", "éau", "日本") for c in "abcde"]
+    tails = [",", ".", "!", ".\n", "--", " ", "  ", "\n\n", ")", "###"]
+    texts = [f"{tail} ".join(words) for tail in tails]
+    encoder = rans.PieceEncoder(PATH)
+    for text, ids in zip(texts, encoder.encode(texts), strict=True):
+        assert np.frombuffer(ids, encoder.kind).tolist() == library.encode(text, add_special_tokens=False).ids
+    assert len(encoder.words) < 4 * len(words)  # before, one for each word and tail
+
+
+def test_pieces_of_sure_characters_equal_the_library(library):
+    encoder = rans.PieceEncoder(PATH)
+    for c in [chr(i) for i in range(0x2100) if rans._SURE.fullmatch(chr(i))] + list("一龥ぁゖァヺ가힣"):
+        text = f"a{c}b {c}1{c} {c}{c} {c}'s\n{c}! {c} \n {c}\t{c}. "
+        assert rans._SURE.fullmatch(text)
+        assert np.frombuffer(encoder.encode([text])[0], encoder.kind).tolist() == library.encode(text, add_special_tokens=False).ids, c
+
+
 @pytest.mark.parametrize("n", [1, 63, 64, 1000, 70_000])
 @pytest.mark.parametrize("distinct", [1, 7, 5000])
 def test_round_trip(n, distinct):

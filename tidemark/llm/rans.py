@@ -21,6 +21,7 @@ an empty table gives an empty file and an empty result.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -49,20 +50,27 @@ _PART_TOKENS = 1 << 26
 # ---- tokens
 
 
-class PieceEncoder:
-    """Ids of texts by the tokenizers library, remembering those of words.
+#: Letters, digits and white space of which it is certain what the pre-tokenizer's patterns take them for.
+_LETTER = "A-Za-zÀ-ÖØ-öø-ɏА-я一-龥ぁ-ゖァ-ヺ가-힣"
+_SURE = re.compile(f"[\\t\\n\\r -~{_LETTER}‐-‧‰-⁞]*")
+_PIECE = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[0-9]+| ?[^\s{_LETTER}0-9]+|\s+(?!\S)|\s+")
+_BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+
 
-    A byte-level pre-tokenizer always begins a new piece at a space that is followed by a visible
-    character, and pieces are coded apart, so " word" has the same ids wherever it stands. New words are
-    coded together in one text, and told apart by the ids that begin with a space; punctuation after
-    a word is coded apart from it. Texts with an added token in
-    them are coded whole. At most twice ``most_words`` words are remembered; those not used for long go.
+class PieceEncoder:
+    """Ids of texts by the tokenizers library, remembering those of pieces.
+
+    A byte-level pre-tokenizer cuts a text into pieces, and pieces are coded apart, so " word" has the same ids wherever
+    it stands. In texts of ``_SURE`` characters the pieces are found by its pattern, and new ones go to the library's
+    model alone. Other texts are cut where a space is followed by a visible character, which always begins a
+    piece; of these words, those of other characters go through the whole tokenizer. Nothing but white space merges with
+    a space after it, which is made sure of, so new pieces that begin with one are coded in a row. Texts with an added token in
+    them are coded whole, and so are all texts of a tokenizer of another kind. Of twice ``most_words`` pieces and words,
+    and those of one call, the ids are remembered; those not used for long go.
     """
 
     _BREAK = re.compile(r" (?=[!-~\w])")
-    _ODD = re.compile(r" (?![!-~\w])")
-    # Latin letters before an ASCII character that is none: a piece always ends there.
-    _LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ɏ]+(?=[\n!-@\[-`{-~])")
+    _SPACES = re.compile("(?:[ĠĉĊċČč]|Âł)+")  # as the vocabulary shows them; only these merge with a space after them
     _of: ClassVar[dict[str, PieceEncoder]] = {}
 
     def __init__(self, path: str, most_words: int = 150_000, longest: int = 48):
@@ -74,11 +82,19 @@ class PieceEncoder:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.kind = np.dtype("<u2" if max(vocabulary.values()) < 1 << 16 else "<u4")
         self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        rules = json.loads(self.tokenizer.to_str())
+        self.apart = rules["normalizer"] is None and rules["pre_tokenizer"] == _BYTE_LEVEL
+        self.apart = self.apart and not any(rules[name] for name in ("truncation", "padding"))
+        self.model = self.tokenizer.model
+        self.bare = Tokenizer(self.model)
+        pairs = [pair.split(" ") if isinstance(pair, str) else pair for pair in rules["model"].get("merges", ())]
+        self.apart = self.apart and not any(b[0] == "\u0120" and not self._SPACES.fullmatch(a) for a, b in pairs)
         self.heads = np.zeros(max(vocabulary.values()) + 1, bool)
         self.heads[[i for piece, i in vocabulary.items() if piece.startswith("\u0120")]] = True
+        shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]  # the others follow at 256
+        self.letters = {b: 256 + i for i, b in enumerate(sorted({*range(256)} - {*shown}))}
         self.words: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        self.tails: dict[str, bytes] = {}
         self.end = np.zeros(1, self.kind).tobytes()
 
     @classmethod
@@ -91,61 +107,65 @@ class PieceEncoder:
     def ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind)
 
-    def _tail(self, tail: str) -> bytes:
-        if tail not in self.tails:
-            if len(self.tails) >= self.most_words:
-                self.tails.clear()
-            self.tails[tail] = self.ids(tail).tobytes()
-        return self.tails[tail]
-
-    def _new_words(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of words, none of which was remembered lately."""
-        found, split, single = {}, [], []
-        for word in words:
-            if word in self.older:
-                found[word] = self.older[word]
-            elif head := self._LETTERS.match(word):
-                split.append((word, head.group(), word[head.end() :]))
-            else:
-                single.append(word)
-        known = {head: self.words.get(head) or self.older.get(head) or found.get(head) for _, head, _ in split}
-        new = dict.fromkeys([*single, *[head for head, ids in known.items() if ids is None]])
-        left = [word for word in new if " " not in word]
-        for start in range(0, len(left), 500):
-            some = left[start : start + 500]
-            ids = self.ids(" " + " ".join(some))
-            at = np.flatnonzero(self.heads[ids])
+    def _shown(self, text: str) -> str:
+        """The characters that stand for the bytes of a text in the vocabulary."""
+        if text.isascii() and text.isprintable():
+            return text.replace(" ", "\u0120")
+        return text.encode().decode("latin-1").translate(self.letters)
+
+    def _piece(self, piece: str) -> bytes:
+        """Ids of one piece, by the model alone."""
+        return np.array([token.id for token in self.model.tokenize(self._shown(piece))], self.kind).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        if _SURE.fullmatch(word):
+            return b"".join(map(self._piece, _PIECE.findall(word)))
+        return self.ids(word).tobytes()
+
+    def _pieces(self, pieces: list[str]) -> None:
+        """Remember pieces. Nothing merges across a space, so those that begin with one are coded in a row."""
+        spaced = [piece for piece in pieces if piece[0] == " " and not piece.isspace()]
+        rows = [spaced[start : start + 64] for start in range(0, len(spaced), 64)]
+        coded = self.bare.encode_batch_fast([self._shown("".join(some)) for some in rows], add_special_tokens=False)
+        for some, encoding in zip(rows, coded, strict=True):
+            ids = np.array(encoding.ids, self.kind)
+            at = (np.flatnonzero(self.heads[ids]) * self.kind.itemsize).tolist()
             if len(at) == len(some):
-                pieces = np.split(ids, at[1:])
-                found.update(zip(some, [piece.tobytes() for piece in pieces], strict=True))
-        for word in new:
-            if word not in found:
-                found[word] = self.ids(" " + word).tobytes()
-        for word, head, tail in split:
-            found[word] = (known[head] or found[head]) + self._tail(tail)
-        if len(self.words) + len(found) > self.most_words:
-            self.older, self.words = self.words, {}
-        self.words.update((word, ids) for word, ids in found.items() if len(word) <= self.longest)
-        return found
+                data = ids.tobytes()
+                self.words.update(zip(some, [data[low:high] for low, high in zip(at, [*at[1:], len(data)], strict=True)], strict=True))
+        for piece in pieces:
+            if piece not in self.words:
+                self.words[piece] = self._piece(piece)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as bytes."""
-        out: list = [b""] * len(texts)
-        known, waiting = self.words.get, []
+        out: list = [None] * len(texts)
+        cut, sure, other = [], set(), set()
         for i, text in enumerate(texts):
-            if any(token in text for token in self.added):
+            if not self.apart or any(token in text for token in self.added):
                 out[i] = self.ids(text).tobytes()
-                continue
-            first, *rest = self._BREAK.split(text) if self._ODD.search(text) else text.split(" ")
-            ids = [self.ids(first).tobytes() if first else b"", *map(known, rest)]
-            if None in ids:
-                waiting.append((i, rest, ids))
+            elif _SURE.fullmatch(text):
+                cut.append((i, _PIECE.findall(text)))
+                sure.update(cut[-1][1])
             else:
-                out[i] = b"".join(ids)
-        new = dict.fromkeys(word for _, rest, ids in waiting for word, have in zip(rest, ids[1:], strict=True) if have is None)
-        found = self._new_words(list(new))
-        for i, rest, ids in waiting:
-            out[i] = b"".join([ids[0], *[found[w] if have is None else have for w, have in zip(rest, ids[1:], strict=True)]])
+                first, *rest = self._BREAK.split(text)
+                cut.append((i, [first, *[" " + word for word in rest]]))
+                other.update(cut[-1][1])
+        new = (sure | other).difference(self.words)
+        again = {text: self.older[text] for text in new if text in self.older}
+        self.words.update(again)
+        self._pieces([text for text in new if text in sure and text not in again])
+        for text in new:
+            if text not in self.words:
+                self.words[text] = self._word(text)
+        ids = {text: self.words[text] for text in sure | other}
+        for i, pieces in cut:
+            out[i] = b"".join(map(ids.__getitem__, pieces))
+        for text in new:
+            if len(text) > self.longest:
+                del self.words[text]
+        if len(self.words) > self.most_words:
+            self.older, self.words = self.words, {}
         return out
 
 
