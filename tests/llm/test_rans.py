@@ -50,6 +50,22 @@ def test_pieces_of_sure_characters_equal_the_library(library):
         assert np.frombuffer(encoder.encode([text])[0], encoder.kind).tolist() == library.encode(text, add_special_tokens=False).ids, c
 
 
+def test_pieces_are_cut_in_bytes_and_not_one_by_one(library, monkeypatch):
+    draw = random.Random(6)
+    parts = [*"  \n\t\r'''sstmdrvell.,-aZ09éß", "…", "—", "一", "가", "‰"]
+    texts = ["".join(draw.choice(parts) for _ in range(draw.randrange(14))) for _ in range(6000)]
+    data = b"".join(text.encode() + b"\0" for text in texts)
+    starts = rans.cut(np.frombuffer(data, np.uint8)).tolist()
+    want = [piece.encode() for text in texts for piece in [*rans._PIECE.findall(text), "\0"]]
+    assert [data[low:high] for low, high in zip(starts, [*starts[1:], len(data)], strict=True)] == want
+    monkeypatch.setattr(rans, "_PIECE", None)  # before, it made one string for each piece of a text
+    encoder = rans.PieceEncoder(PATH, most_words=500)
+    for start in range(0, len(texts), 100):
+        some = texts[start : start + 100]
+        for text, ids in zip(some, encoder.encode(some), strict=True):
+            assert np.frombuffer(ids, encoder.kind).tolist() == library.encode(text, add_special_tokens=False).ids, text
+
+
 @pytest.mark.parametrize("n", [1, 63, 64, 1000, 70_000])
 @pytest.mark.parametrize("distinct", [1, 7, 5000])
 def test_round_trip(n, distinct):

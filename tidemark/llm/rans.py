@@ -26,7 +26,7 @@ import os
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import ClassVar
 
 import numpy as np
@@ -54,19 +54,51 @@ _PART_TOKENS = 1 << 26
 _LETTER = "A-Za-zÀ-ÖØ-öø-ɏА-я一-龥ぁ-ゖァ-ヺ가-힣"
 _SURE = re.compile(f"[\\t\\n\\r -~{_LETTER}‐-‧‰-⁞]*")
 _PIECE = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[0-9]+| ?[^\s{_LETTER}0-9]+|\s+(?!\S)|\s+")
+#: Kinds of the bytes of such texts: a byte beyond ASCII is of a letter, but for those of a character that begins with
+#: 0xE2. Texts end with a zero.
+_END, _WHITE, _WORD, _DIGIT, _OTHER = range(5)
+_KIND = np.full(256, _OTHER, np.uint8)
+_KIND[0] = _END
+_KIND[[0x09, 0x0A, 0x0D, 0x20]] = _WHITE
+_KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = _WORD
+_KIND[0x30:0x3A] = _DIGIT
+_KIND[0xE2] = _OTHER
 _BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
 
 
+def cut(data: np.ndarray) -> np.ndarray:
+    """Starts of the pieces that ``_PIECE`` finds in texts of ``_SURE`` characters, and of the zero after each text."""
+    kind = _KIND[data]
+    at = np.flatnonzero(data == 0xE2)
+    kind[at + 1] = kind[at + 2] = _OTHER
+    end, white = kind == _END, kind == _WHITE
+    change = kind[1:] != kind[:-1]
+    head = end.copy()
+    head[0] = True
+    # A space goes with what it stands before; the last of other white space before that stands alone.
+    head[1:] |= change & (data[:-1] != 0x20)
+    head[:-1] |= white[:-1] & change & ~end[1:]
+    # An apostrophe that begins a piece takes s, t, m, d, re, ve or ll, and nothing else.
+    at = np.flatnonzero(head & (data == 0x27))
+    after, later = data[at + 1], data[np.minimum(at + 2, len(data) - 1)]
+    short = at[np.isin(after, [*b"stmd"])]
+    long = at[((after == 0x72) | (after == 0x76)) & (later == 0x65) | (after == 0x6C) & (later == 0x6C)]
+    head[short + 1] = head[long + 1] = False
+    head[short + 2] = head[long + 3] = True
+    return np.flatnonzero(head)
+
+
 class PieceEncoder:
     """Ids of texts by the tokenizers library, remembering those of pieces.
 
     A byte-level pre-tokenizer cuts a text into pieces, and pieces are coded apart, so " word" has the same ids wherever
-    it stands. In texts of ``_SURE`` characters the pieces are found by its pattern, and new ones go to the library's
-    model alone. Other texts are cut where a space is followed by a visible character, which always begins a
-    piece; of these words, those of other characters go through the whole tokenizer. Nothing but white space merges with
-    a space after it, which is made sure of, so new pieces that begin with one are coded in a row. Texts with an added token in
-    them are coded whole, and so are all texts of a tokenizer of another kind. Of twice ``most_words`` pieces and words,
-    and those of one call, the ids are remembered; those not used for long go.
+    it stands. In texts of ``_SURE`` characters the pieces are found in their bytes, as its pattern would; each different
+    one is looked up once a call, and new ones go to the library's model alone. Other texts are cut where a space is
+    followed by a visible character, which always begins a piece; of these words, those of other characters go through
+    the whole tokenizer. Nothing but white space merges with a space after it, which is made sure of, so new pieces that
+    begin with one are coded in a row. Texts with an added token in them are coded whole, and so are all texts of a
+    tokenizer of another kind. Of twice ``most_words`` pieces and words, and those of one call, the ids are remembered;
+    those not used for long go.
     """
 
     _BREAK = re.compile(r" (?=[!-~\w])")
@@ -92,9 +124,10 @@ class PieceEncoder:
         self.heads = np.zeros(max(vocabulary.values()) + 1, bool)
         self.heads[[i for piece, i in vocabulary.items() if piece.startswith("\u0120")]] = True
         shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]  # the others follow at 256
-        self.letters = {b: 256 + i for i, b in enumerate(sorted({*range(256)} - {*shown}))}
-        self.words: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.letters = np.arange(256, dtype="<u4")
+        self.letters[sorted({*range(256)} - {*shown})] = np.arange(256, 512 - len(shown))
+        self.words: dict[bytes | str, bytes] = {}
+        self.older: dict[bytes | str, bytes] = {}
         self.end = np.zeros(1, self.kind).tobytes()
 
     @classmethod
@@ -107,61 +140,87 @@ class PieceEncoder:
     def ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind)
 
-    def _shown(self, text: str) -> str:
-        """The characters that stand for the bytes of a text in the vocabulary."""
-        if text.isascii() and text.isprintable():
-            return text.replace(" ", "\u0120")
-        return text.encode().decode("latin-1").translate(self.letters)
+    def _shown(self, piece: bytes) -> str:
+        """The characters that stand for bytes in the vocabulary."""
+        return self.letters[np.frombuffer(piece, np.uint8)].tobytes().decode("utf-32-le")
 
-    def _piece(self, piece: str) -> bytes:
+    def _piece(self, piece: bytes) -> bytes:
         """Ids of one piece, by the model alone."""
         return np.array([token.id for token in self.model.tokenize(self._shown(piece))], self.kind).tobytes()
 
     def _word(self, word: str) -> bytes:
         if _SURE.fullmatch(word):
-            return b"".join(map(self._piece, _PIECE.findall(word)))
+            return b"".join([self._piece(piece.encode()) for piece in _PIECE.findall(word)])
         return self.ids(word).tobytes()
 
-    def _pieces(self, pieces: list[str]) -> None:
+    def _pieces(self, pieces: list[bytes]) -> None:
         """Remember pieces. Nothing merges across a space, so those that begin with one are coded in a row."""
-        spaced = [piece for piece in pieces if piece[0] == " " and not piece.isspace()]
+        spaced = [piece for piece in pieces if piece[0] == 0x20 and not piece.isspace()]
         rows = [spaced[start : start + 64] for start in range(0, len(spaced), 64)]
-        coded = self.bare.encode_batch_fast([self._shown("".join(some)) for some in rows], add_special_tokens=False)
-        for some, encoding in zip(rows, coded, strict=True):
-            ids = np.array(encoding.ids, self.kind)
-            at = (np.flatnonzero(self.heads[ids]) * self.kind.itemsize).tolist()
-            if len(at) == len(some):
-                data = ids.tobytes()
-                self.words.update(zip(some, [data[low:high] for low, high in zip(at, [*at[1:], len(data)], strict=True)], strict=True))
-        for piece in pieces:
-            if piece not in self.words:
-                self.words[piece] = self._piece(piece)
+        rows += [[piece] for piece in pieces if piece[0] != 0x20 or piece.isspace()]
+        for start in range(0, len(rows), 1024):
+            part = rows[start : start + 1024]
+            coded = self.bare.encode_batch_fast([self._shown(b"".join(some)) for some in part], add_special_tokens=False)
+            for some, encoding in zip(part, coded, strict=True):
+                ids = np.array(encoding.ids, self.kind)
+                at = (np.flatnonzero(self.heads[ids]) * self.kind.itemsize).tolist() if len(some) > 1 else [0]
+                if len(at) == len(some):
+                    data = ids.tobytes()
+                    self.words.update(zip(some, [data[low:high] for low, high in zip(at, [*at[1:], len(data)], strict=True)], strict=True))
+                else:
+                    self.words.update((piece, self._piece(piece)) for piece in some)
+
+    @staticmethod
+    def _split(data: pa.Array, ends: np.ndarray | None = None) -> list[bytes]:
+        """The values of a binary array, or what lies between these of its places; Arrow's own way makes a scalar of each."""
+        places = np.frombuffer(data.buffers()[1], np.int64)[: len(data) + 1]
+        places = (places if ends is None else places[ends]).tolist()
+        whole = (data.buffers()[2] or pa.py_buffer(b"")).to_pybytes()
+        return [whole[low:high] for low, high in zip(places[:-1], places[1:], strict=True)]
+
+    def _new(self, texts: Iterable) -> list:
+        """Those of the texts that are not remembered; those remembered longer ago are taken over."""
+        new = [text for text in texts if text not in self.words]
+        again = {text: self.older[text] for text in new if text in self.older}
+        self.words.update(again)
+        return [text for text in new if text not in again]
+
+    def _sure(self, texts: list[str]) -> tuple[list[bytes], list[bytes]]:
+        """Ids of texts of ``_SURE`` characters, looked up once for each different piece, and the new pieces."""
+        if not texts:
+            return [], []
+        data = np.frombuffer(b"".join([text.encode() + b"\0" for text in texts]), np.uint8)
+        starts = cut(data)
+        places = pa.py_buffer(np.append(starts, len(data)))
+        found = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, places, pa.py_buffer(data)]).dictionary_encode()
+        pieces = self._split(found.dictionary)
+        self.words[b"\0"] = b""
+        new = self._new(pieces)
+        self._pieces(new)
+        ids = pa.array([self.words[piece] for piece in pieces], pa.large_binary()).take(found.indices)
+        return self._split(ids, np.append(0, np.flatnonzero(data[starts] == 0))), new
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as bytes."""
         out: list = [None] * len(texts)
-        cut, sure, other = [], set(), set()
+        sure, others, words = [], [], set()
         for i, text in enumerate(texts):
             if not self.apart or any(token in text for token in self.added):
                 out[i] = self.ids(text).tobytes()
             elif _SURE.fullmatch(text):
-                cut.append((i, _PIECE.findall(text)))
-                sure.update(cut[-1][1])
+                sure.append(i)
             else:
                 first, *rest = self._BREAK.split(text)
-                cut.append((i, [first, *[" " + word for word in rest]]))
-                other.update(cut[-1][1])
-        new = (sure | other).difference(self.words)
-        again = {text: self.older[text] for text in new if text in self.older}
-        self.words.update(again)
-        self._pieces([text for text in new if text in sure and text not in again])
-        for text in new:
-            if text not in self.words:
-                self.words[text] = self._word(text)
-        ids = {text: self.words[text] for text in sure | other}
-        for i, pieces in cut:
-            out[i] = b"".join(map(ids.__getitem__, pieces))
-        for text in new:
+                others.append((i, [first, *[" " + word for word in rest]]))
+                words.update(others[-1][1])
+        ids, new = self._sure([texts[i] for i in sure])
+        for i, some in zip(sure, ids, strict=True):
+            out[i] = some
+        more = self._new(words)
+        self.words.update((word, self._word(word)) for word in more)
+        for i, some in others:
+            out[i] = b"".join(map(self.words.__getitem__, some))
+        for text in (*new, *more):
             if len(text) > self.longest:
                 del self.words[text]
         if len(self.words) > self.most_words:
@@ -174,7 +233,7 @@ def tokens(docs: DataFrame, tokenizer: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, place = PieceEncoder.of(tokenizer), TaskContext.get().partitionId() << 33
-        for part, _, _ in texts.chunks(batches, 1, 1 << 20):
+        for part, _, _ in texts.chunks(batches, 1, 4 << 20):
             ids = [x + encoder.end for x in encoder.encode([text or "" for text in part.column(1).to_pylist()])]
             crcs = [zlib.crc32(np.frombuffer(x, encoder.kind).astype("<u4")) for x in ids]
             yield pa.RecordBatch.from_arrays(
